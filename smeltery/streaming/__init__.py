@@ -1,0 +1,5 @@
+"""No streaming operators: every job of this engine is a batch job.
+
+The row-wise functions (text cleaning, hashes, bands, request checks) are plain
+column expressions and may be used on a streaming DataFrame as they are.
+"""
