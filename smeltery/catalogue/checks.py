@@ -10,6 +10,7 @@ from smeltery.catalogue.registry import query
 from smeltery.functions.measures import BAND_NAMES
 from smeltery.operators import models, quality, rules
 from smeltery.plans import reporting
+from smeltery.sources.folders import working_folder
 
 
 def _gate(name: str, actual: str, threshold: str, passed: str, source: str = "") -> str:
@@ -94,9 +95,10 @@ _PRIMARY = "(select count(entries_and_exits) from mart)"
     ),
 )
 def dq_gold(spark, folder):
-    gold = inputs.gold(spark, folder)
+    silver = inputs.written_silver(spark, folder)
+    gold = inputs.gold_frames(silver)
     return quality.gold_checks(
-        inputs.silver(spark, folder),
+        silver,
         gold.mart,
         gold.features,
         gold.metrics,
@@ -292,7 +294,8 @@ _FEATURE_RULES = [
     ),
 )
 def model_rules(spark, folder):
-    return reporting.model_rules(_models(spark, folder))
+    reporting.publish(spark, _models(spark, folder), working_folder(spark, "models"))
+    return reporting.model_rules(reporting.published(spark))
 
 
 @query(

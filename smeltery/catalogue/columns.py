@@ -27,6 +27,49 @@ def dedupe_names(spark, folder):
     return shaping.canonical_columns(chosen.toDF(" A ", "a!", "a_2", "?", "!"))
 
 
+@query("identity_columns", with_inputs("select station_name, station_code from messy"))
+def identity_columns(spark, folder):
+    frame = inputs.canonical_messy(spark, folder)
+    return frame.select(*names.identity_columns(frame.columns))
+
+
+_HINTED = with_inputs("select entries_and_exits, interchanges, usage_note from messy")
+
+
+@query("numeric_hint", _HINTED)
+def numeric_hint(spark, folder):
+    frame = inputs.canonical_messy(spark, folder)
+    return frame.select(*filter(names.numeric_hint, frame.columns))
+
+
+@query("metric_hint", _HINTED)
+def metric_hint(spark, folder):
+    frame = inputs.canonical_messy(spark, folder)
+    return frame.select(*filter(names.metric_hint, frame.columns))
+
+
+@query("excluded_hint", with_inputs("select station_code, _record_hash from bronze"))
+def excluded_hint(spark, folder):
+    frame = inputs.bronze(spark, folder)
+    return frame.select(*filter(names.excluded_hint, [*CANONICAL, "_record_hash"]))
+
+
+@query("primary_metric", with_inputs("select c9, entries_and_exits from messy"))
+def primary_metric(spark, folder):
+    frame = inputs.canonical_messy(spark, folder)
+    metrics = list(filter(names.metric_hint, frame.columns))
+    return frame.select("c9", names.primary_metric(metrics))
+
+
+@query(
+    "dimensions",
+    with_inputs("select station_name, station_code, usage_note, free_text, c9 from silver"),
+)
+def dimensions(spark, folder):
+    silver = inputs.silver(spark, folder)
+    return silver.select(*names.dimensions(silver, []))
+
+
 @query("trim_strings", with_inputs("select * from trimmed"))
 def trim_strings(spark, folder):
     return shaping.trim_text(inputs.canonical_messy(spark, folder))

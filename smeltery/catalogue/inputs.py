@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.operators.shaping import SourceInfo
+from smeltery.sources.folders import working_folder
 from smeltery.plans.medallion import Gold, Release, bronze_frame, gold_frames, silver_frame
 
 SOURCE = SourceInfo("test_tables", "part_usage", "2024_25", "run-1")
@@ -75,8 +76,15 @@ def silver(spark: SparkSession, folder: str) -> DataFrame:
     return silver_frame(bronze(spark, folder), RELEASE).frame
 
 
+def written_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver as gold reads it: a written table, without a plan behind it."""
+    path = working_folder(spark, "silver")
+    silver(spark, folder).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def gold(spark: SparkSession, folder: str) -> Gold:
-    return gold_frames(silver(spark, folder))
+    return gold_frames(written_silver(spark, folder))
 
 
 def stable(df: DataFrame) -> DataFrame:

@@ -203,7 +203,7 @@ def win_percent_rank_asc(spark, folder):
 @query("win_percent_rank_bucketed", _ASCENDING)
 def win_percent_rank_bucketed(spark, folder):
     """The same through the path for many distinct values."""
-    return _ascending(spark, folder, value_limit=1_000, values_per_bucket=4_000)
+    return _ascending(spark, folder, value_limit=1_000, rows_per_bucket=4_000)
 
 
 @query(

@@ -34,9 +34,9 @@ def is_numeric_text(column: Column) -> Column:
     return column.rlike(NUMERIC_TEXT)
 
 
-def is_blank(column: Column) -> Column:
-    """Null, or empty once written as text and trimmed."""
-    return column.isNull() | (F.trim(column.cast("string")) == "")
+def is_blank(column: Column, is_text: bool = True) -> Column:
+    """Null, or text that is empty once trimmed; other types are only null."""
+    return column.isNull() | (F.trim(column) == "") if is_text else column.isNull()
 
 
 def is_populated(column: Column) -> Column:

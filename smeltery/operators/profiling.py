@@ -193,11 +193,14 @@ def profile_rows(df: DataFrame, profile: Sequence[MetricProfile]) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """One row: rows, columns, and null-or-blank values of every column."""
+
+    def blanks(field):
+        column = F.col(f"`{field.name}`")
+        is_text = isinstance(field.dataType, StringType)
+        return F.count_if(text.is_blank(column, is_text)).alias(f"nulls__{field.name}")
+
     return df.agg(
         F.count("*").alias("row_count"),
         F.lit(len(df.columns)).cast("bigint").alias("column_count"),
-        *[
-            F.count_if(text.is_blank(F.col(f"`{name}`"))).alias(f"nulls__{name}")
-            for name in df.columns
-        ],
+        *[blanks(field) for field in df.schema.fields],
     )

@@ -49,9 +49,14 @@ def _side_by_side(*one_row_frames: DataFrame) -> DataFrame:
 
 
 def bronze_checks(df: DataFrame, minimum: int = MINIMUM_ROWS) -> DataFrame:
+    return count_checks(null_counts(df), minimum)
+
+
+def count_checks(counts: DataFrame, minimum: int = MINIMUM_ROWS) -> DataFrame:
+    """Gates of the first layer from its one-row null profile."""
     rows, columns = F.col("row_count"), F.col("column_count")
     return _checks(
-        null_counts(df).select("row_count", "column_count"),
+        counts.select("row_count", "column_count"),
         [
             _check("minimum_expected_rows", rows, rows >= minimum, F.lit(minimum)),
             _check("dataset_not_empty", rows, rows > 0, F.lit(1)),

@@ -76,7 +76,7 @@ def _order_statistics(
     """Values at the wanted positions (from 0) of the ascending column ``v``."""
     if rows <= value_limit:
         return _from_small(values, wanted)
-    cuts = set(cut_points(values, "v", rows, buckets))
+    cuts = set(cut_points(values, {"v": buckets}, rows)["v"])
     # A very frequent value gets a range of its own, and any range can be halved.
     cuts |= {math.nextafter(c, math.inf) for c in cuts if math.isfinite(c)}
     edges = values.agg(F.min("v"), F.max("v")).first()

@@ -1,19 +1,22 @@
 """Dense rank and percent rank over a whole table, without a whole-table sort.
 
-``Window.orderBy`` without partitions would send every row to one task. Here
-equal values are collapsed first (``groupBy(value).count`` combines on the map
-side, so a value that fills a third of the table becomes one row), the ranks of
-the distinct values are computed, and the ranks are joined back.
-
-* Few distinct values: their number is checked first, so the value table is
-  small enough to be ordered in one window and broadcast. Rows are not shuffled.
-* Many distinct values: the value table is cut into buckets at sampled quantiles.
-  Each bucket is ordered on its own and shifted by the totals of the buckets
-  before it. The join back is a plain equi-join, so adaptive execution may split
-  skewed partitions. The sample only decides where buckets begin: whatever it
-  returns, ranks are exact.
-
-Nulls rank last in both directions and count as rows. NaN is the largest value.
+``Window.orderBy`` without partitions would send every row to one task. The
+number of distinct values decides how that is avoided:
+
+* Few values: they are counted (combined on the map side) and ranked as a small
+  table, which is broadcast. The rows are not shuffled at all.
+* Many values: the column is cut into buckets at sampled quantiles and the rows
+  of every bucket are counted exactly. When no bucket stands out, each bucket is
+  ranked on its own and shifted by the totals of the buckets before it: one
+  shuffle of the rows, no join.
+* Many values and a bucket that stands out (one value, or null, fills much of
+  the table): equal values are collapsed before anything is shuffled, the
+  distinct values are ranked bucket by bucket, and the ranks are joined back. The
+  join is a plain equi-join, whose skewed partitions adaptive execution splits.
+
+The sample only decides where buckets begin: whatever it returns, ranks are
+exact. Nulls rank last in both directions and count as rows; NaN is the largest
+value.
 """
 
 from __future__ import annotations
@@ -21,18 +24,23 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A value table up to this many rows is ordered in one window and broadcast
-# (a few MB). Above it, values are bucketed and the join back is a shuffle join.
+# (a few MB).
 VALUE_LIMIT = 200_000
-VALUES_PER_BUCKET = 50_000
+# Above it, a bucket aims at this many rows; buckets grow once there are
+# MAX_BUCKETS of them.
+ROWS_PER_BUCKET = 50_000
 MAX_BUCKETS = 32_768
 SAMPLES_PER_BUCKET = 200
 SAMPLE_SEED = 17
+# A bucket stands out when it holds this many times its fair share of the rows.
+OUTSTANDING = 8
 
 
 @dataclass(frozen=True)
@@ -66,25 +74,42 @@ def read_spreads(row, columns: Sequence[str]) -> dict[str, Spread]:
     return {name: Spread(row["__rows"], row[f"__values__{name}"]) for name in columns}
 
 
-def cut_points(values: DataFrame, column: str, rows: int, buckets: int) -> list[float]:
-    """Ascending quantiles of a sample, to be used as bucket boundaries only."""
-    if buckets < 2:
-        return []
-    fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / max(rows, 1))
-    number = (F.col(f"`{column}`").cast("double") + F.lit(0.0)).alias("v")
-    sample = values.select(number).where("v is not null and not isnan(v)")
+def cut_points(df: DataFrame, buckets: dict[str, int], rows: int) -> dict[str, list[float]]:
+    """Ascending quantiles of a sample of each column, for bucket boundaries only.
+
+    One job for all columns. Sampling bounds what is merged in the end, however
+    many tasks read the table.
+    """
+    wanted = {name: count for name, count in buckets.items() if count > 1}
+    cuts: dict[str, list[float]] = {name: [] for name in buckets}
+    if not wanted:
+        return cuts
+    fraction = min(1.0, max(wanted.values()) * SAMPLES_PER_BUCKET / max(rows, 1))
+    sample = df.select(*[_position(F.col(f"`{name}`")).alias(name) for name in wanted])
     if fraction < 1.0:
         sample = sample.sample(fraction, SAMPLE_SEED)
-    steps = [i / buckets for i in range(1, buckets)]
-    found = sample.agg(F.percentile_approx("v", steps, 10 * buckets).alias("q")).first()["q"]
-    finite = {q + 0.0 for q in found or () if math.isfinite(q)}
-    return sorted(finite)
+    quantiles = [
+        F.percentile_approx(
+            F.when(~F.isnan(f"`{name}`"), F.col(f"`{name}`")),
+            [i / count for i in range(1, count)],
+            10 * count,
+        ).alias(name)
+        for name, count in wanted.items()
+    ]
+    row = sample.agg(*quantiles).first()
+    for name in wanted:
+        cuts[name] = sorted({q + 0.0 for q in row[name] or () if math.isfinite(q)})
+    return cuts
+
+
+def _position(value: Column) -> Column:
+    """A number to compare with cut points; 0.0 is added to turn -0.0 into 0.0."""
+    return value.cast("double") + F.lit(0.0)
 
 
 def with_bucket(df: DataFrame, column: str, cuts: Sequence[float], bucket: str) -> DataFrame:
     """Add the bucket number: 0 .. len(cuts), then one for NaN and one for null.
 
-    Adding 0.0 turns -0.0 into 0.0, which the lookup would otherwise tell apart.
     The bucket is declared non-null, or a join on it would filter the raw rows
     by it and the counted values could not be reused between branches.
     """
@@ -92,10 +117,9 @@ def with_bucket(df: DataFrame, column: str, cuts: Sequence[float], bucket: str)
     nan_bucket, null_bucket = len(cuts) + 1, len(cuts) + 2
     if cuts:
         splits = [-math.inf, *cuts, math.inf]
-        number = value.cast("double") + F.lit(0.0)
         placed = Bucketizer(
             splits=splits, inputCol="__number", outputCol=raw, handleInvalid="keep"
-        ).transform(df.withColumn("__number", number)).drop("__number")
+        ).transform(df.withColumn("__number", _position(value))).drop("__number")
     else:
         placed = df.withColumn(raw, F.lit(0.0))
     return placed.withColumn(
@@ -122,56 +146,119 @@ def _small_value_ranks(counted: DataFrame, descending: bool) -> DataFrame:
     )
 
 
-def _large_value_ranks(counted: DataFrame, descending: bool, cuts: Sequence[float]) -> DataFrame:
-    """Ranks of a value table of any size, bucket by bucket."""
-    bucketed = with_bucket(counted, "__value", cuts, "__bucket")
-    null_bucket = len(cuts) + 2
-    bucket = F.col("__bucket")
-    place = F.when((bucket == null_bucket) | F.lit(not descending), bucket).otherwise(-bucket)
-
-    # At most len(cuts) + 3 rows, each knowing what lies before it.
-    running = Window.orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy("__bucket")
-        .agg(F.sum("__count").alias("__rows"), F.count("*").alias("__values"))
-        .withColumn("__place", place)
-        .select(
-            "__bucket",
-            F.coalesce(F.sum("__rows").over(running), F.lit(0)).alias("__rows_before"),
-            F.coalesce(F.sum("__values").over(running), F.lit(0)).alias("__values_before"),
-        )
-    )
-    ordered = Window.partitionBy("__bucket").orderBy(_order(descending, "__value"))
+@dataclass(frozen=True)
+class Bucketing:
+    """Boundaries of the buckets of a column, and what each bucket holds."""
+
+    cuts: list[float]
+    totals: list[tuple[int, int, int]]  # bucket, rows, distinct values (0 if not asked)
+    rows_per_bucket: int
+
+    @property
+    def null_bucket(self) -> int:
+        return len(self.cuts) + 2
+
+    def outstanding(self) -> bool:
+        """One bucket would be too much for the task that orders it."""
+        largest = max(rows for _, rows, _ in self.totals)
+        fair = sum(rows for _, rows, _ in self.totals) / (len(self.cuts) + 1)
+        return largest > OUTSTANDING * max(fair, self.rows_per_bucket)
+
+    def offsets(self, spark: SparkSession, descending: bool) -> DataFrame:
+        """Rows and values that rank before each bucket: one small local table."""
+
+        def place(entry):
+            bucket = entry[0]
+            is_null = bucket == self.null_bucket
+            return (is_null, -bucket if descending else bucket)
+
+        shifts, rows_before, values_before = [], 0, 0
+        for bucket, rows, values in sorted(self.totals, key=place):
+            shifts.append((bucket, rows_before, values_before))
+            rows_before += rows
+            values_before += values
+        schema = "__bucket int, __rows_before bigint, __values_before bigint"
+        return F.broadcast(spark.createDataFrame(shifts, schema))
+
+
+def _totals(df: DataFrame, ranking: Ranking, cuts: Sequence[float]) -> DataFrame:
+    """Rows of every bucket; distinct values only where a dense rank needs them."""
+    value = F.col(f"`{ranking.column}`").alias("__value")
+    if ranking.dense:
+        counted = df.groupBy(value).agg(F.count("*").alias("__count"))
+        grouped = with_bucket(counted, "__value", cuts, "__bucket").groupBy("__bucket")
+        sums = (F.sum("__count"), F.count("*"))
+    else:
+        grouped = with_bucket(df.select(value), "__value", cuts, "__bucket").groupBy("__bucket")
+        sums = (F.count("*"), F.lit(0))
+    return grouped.agg(sums[0].alias("rows"), sums[1].cast("bigint").alias("values"))
+
+
+def bucketings(
+    df: DataFrame,
+    rankings: Sequence[Ranking],
+    spreads: dict[str, Spread],
+    rows_per_bucket: int,
+) -> list[Bucketing]:
+    """Cut points and bucket totals of several columns: two jobs for all of them."""
+    buckets = {
+        r.column: min(MAX_BUCKETS, math.ceil(spreads[r.column].rows / rows_per_bucket))
+        for r in rankings
+    }
+    rows = max((spreads[r.column].rows for r in rankings), default=0)
+    cuts = cut_points(df, buckets, rows)
+    tagged = [
+        _totals(df, r, cuts[r.column]).select(F.lit(i).alias("ranking"), "*")
+        for i, r in enumerate(rankings)
+    ]
+    totals: list[list[tuple[int, int, int]]] = [[] for _ in rankings]
+    if tagged:
+        for row in reduce(DataFrame.union, tagged).collect():
+            totals[row["ranking"]].append((row["__bucket"], row["rows"], row["values"]))
+    return [
+        Bucketing(cuts[r.column], found, rows_per_bucket)
+        for r, found in zip(rankings, totals)
+    ]
+
+
+def _ranked_in_buckets(df: DataFrame, ranking: Ranking, bucketing: Bucketing) -> DataFrame:
+    """Rank the rows themselves, bucket by bucket."""
+    window = Window.partitionBy("__bucket").orderBy(_order(ranking.descending, ranking.column))
+    offsets = bucketing.offsets(df.sparkSession, ranking.descending)
+    local = {"__rank": F.rank().over(window)}
+    if ranking.dense:
+        local["__number"] = F.dense_rank().over(window)
+    placed = with_bucket(df, ranking.column, bucketing.cuts, "__bucket").withColumns(local)
+    shifted = {"__before": F.col("__rank") - 1 + F.col("__rows_before")}
+    if ranking.dense:
+        shifted["__dense"] = F.col("__number") + F.col("__values_before")
+    joined = placed.join(offsets, "__bucket", "left").withColumns(shifted)
+    return joined.drop("__bucket", "__rank", "__number", "__rows_before", "__values_before")
+
+
+def _bucketed_value_ranks(
+    counted: DataFrame, ranking: Ranking, bucketing: Bucketing
+) -> DataFrame:
+    """Rank the distinct values, bucket by bucket."""
+    ordered = Window.partitionBy("__bucket").orderBy(_order(ranking.descending, "__value"))
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    local = bucketed.select(
+    offsets = bucketing.offsets(counted.sparkSession, ranking.descending)
+    local = with_bucket(counted, "__value", bucketing.cuts, "__bucket").select(
         "__bucket",
         "__value",
         F.coalesce(F.sum("__count").over(before), F.lit(0)).alias("__local"),
         F.row_number().over(ordered).alias("__number"),
     )
-    return local.join(F.broadcast(offsets), "__bucket").select(
+    return local.join(offsets, "__bucket").select(
         "__value",
         (F.col("__local") + F.col("__rows_before")).alias("__before"),
         (F.col("__number") + F.col("__values_before")).alias("__dense"),
     )
 
 
-def value_ranks(
-    df: DataFrame,
-    ranking: Ranking,
-    spread: Spread,
-    *,
-    value_limit: int = VALUE_LIMIT,
-    values_per_bucket: int = VALUES_PER_BUCKET,
-) -> DataFrame:
-    """Rank of every distinct value: ``__value``, rows before it, dense rank."""
-    value = F.col(f"`{ranking.column}`").alias("__value")
-    counted = df.groupBy(value).agg(F.count("*").alias("__count"))
-    if spread.values <= value_limit:
-        return F.broadcast(_small_value_ranks(counted, ranking.descending))
-    buckets = min(MAX_BUCKETS, math.ceil(spread.values / values_per_bucket))
-    cuts = cut_points(df, ranking.column, spread.rows, buckets)
-    return _large_value_ranks(counted, ranking.descending, cuts)
+def _join_value_ranks(ranked: DataFrame, column: str, ranks: DataFrame) -> DataFrame:
+    same = F.col(f"`{column}`").eqNullSafe(F.col("__value"))
+    return ranked.join(ranks, same, "left").drop("__value")
 
 
 def with_ranks(
@@ -180,36 +267,37 @@ def with_ranks(
     *,
     spreads: dict[str, Spread] | None = None,
     value_limit: int = VALUE_LIMIT,
-    values_per_bucket: int = VALUES_PER_BUCKET,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Add the ranks of several columns; one aggregate sizes all of them.
 
-    ``df`` is read again per ranking, for that one column: give it a written
-    table, or a cheap projection of one, when it is expensive to compute.
+    ``df`` is read again for sizes, boundaries and counted values, one column at
+    a time: give it a written table, or a cheap projection of one, when it is
+    expensive to compute.
     """
     columns = [ranking.column for ranking in rankings]
     if spreads is None:
         spreads = read_spreads(df.agg(*spread_expressions(columns)).first(), columns)
+    large = [r for r in rankings if spreads[r.column].values > value_limit]
+    bucketing_of = dict(zip(large, bucketings(df, large, spreads, rows_per_bucket)))
     ranked = df
     for ranking in rankings:
-        spread = spreads[ranking.column]
-        ranks = value_ranks(
-            df,
-            ranking,
-            spread,
-            value_limit=value_limit,
-            values_per_bucket=values_per_bucket,
-        )
+        value = F.col(f"`{ranking.column}`").alias("__value")
+        counted = df.groupBy(value).agg(F.count("*").alias("__count"))
+        bucketing = bucketing_of.get(ranking)
+        if bucketing is None:
+            ranks = F.broadcast(_small_value_ranks(counted, ranking.descending))
+            ranked = _join_value_ranks(ranked, ranking.column, ranks)
+        elif bucketing.outstanding():
+            ranks = _bucketed_value_ranks(counted, ranking, bucketing)
+            ranked = _join_value_ranks(ranked, ranking.column, ranks)
+        else:
+            ranked = _ranked_in_buckets(ranked, ranking, bucketing)
         results = {}
         if ranking.dense:
             results[ranking.dense] = F.col("__dense").cast("bigint")
         if ranking.percent:
-            last = F.lit(float(max(spread.rows - 1, 1)))
+            last = F.lit(float(max(spreads[ranking.column].rows - 1, 1)))
             results[ranking.percent] = F.col("__before").cast("double") / last
-        same = F.col(f"`{ranking.column}`").eqNullSafe(F.col("__value"))
-        ranked = (
-            ranked.join(ranks, same, "left")
-            .withColumns(results)
-            .drop("__value", "__before", "__dense")
-        )
+        ranked = ranked.withColumns(results).drop("__before", "__dense")
     return ranked

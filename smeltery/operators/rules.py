@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,12 +16,22 @@ def _verdict(counted: DataFrame, rule: str) -> DataFrame:
     )
 
 
-def count_failures(df: DataFrame, fails: Column, rule: str) -> DataFrame:
-    return _verdict(df.agg(F.count_if(fails).alias("failures")), rule)
+def row_rules(df: DataFrame, failing: Mapping[str, Column]) -> DataFrame:
+    """Several row-wise rules in one pass; ``failing`` maps a rule to its condition."""
+    counted = df.agg(*[F.count_if(fails).alias(rule) for rule, fails in failing.items()])
+    entries = [
+        F.struct(
+            F.lit(rule).alias("rule"),
+            F.col(f"`{rule}`").alias("failures"),
+            (F.col(f"`{rule}`") == 0).alias("passed"),
+        )
+        for rule in failing
+    ]
+    return counted.select(F.inline(F.array(*entries)))
 
 
-def not_null(df: DataFrame, column: str) -> DataFrame:
-    return count_failures(df, F.col(column).isNull(), f"not_null_{column}")
+def not_null(df: DataFrame, *columns: str) -> DataFrame:
+    return row_rules(df, {f"not_null_{c}": F.col(c).isNull() for c in columns})
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:
@@ -57,7 +67,7 @@ def negative_rows(df: DataFrame, column: str) -> DataFrame:
 
 
 def non_negative(df: DataFrame, column: str) -> DataFrame:
-    return count_failures(df, F.col(column) < 0, f"non_negative_{column}")
+    return row_rules(df, {f"non_negative_{column}": F.col(column) < 0})
 
 
 def row_counts(**tables: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.operators import contracts, scoring, training
+from smeltery.operators.results import settled
 from smeltery.operators.training import BASELINE, TrainingSetup
 from smeltery.sources.folders import working_folder
 
@@ -66,10 +67,7 @@ def train_and_choose(
     fingerprint = contracts.dataset_fingerprint(features.select(*setup.required)).first()
     train, test, medians, rows = training_frames(features, setup, order)
     scored, fitted = candidate_predictions(train, test, setup)
-    comparison = training.compare(scored, setup.target, setup.metric)
-    # A handful of rows; kept so that choosing does not score everything again.
-    found = comparison.collect()
-    comparison = features.sparkSession.createDataFrame(found, comparison.schema)
+    comparison = settled(training.compare(scored, setup.target, setup.metric))
     champion = training.require_champion(training.champion(comparison, setup.metric))
     tested = test.count()
     return Trained(
@@ -91,12 +89,10 @@ def train_if_needed(
 ) -> tuple[DataFrame, Trained | None]:
     """Train only when the data differs from what the champion was trained on."""
     current = contracts.dataset_fingerprint(features.select(*setup.required))
-    decision = training.retrain_decision(current, champion_fingerprint)
-    row = decision.first()
-    decided = features.sparkSession.createDataFrame([row], decision.schema)
-    if row["action"] == "skipped":
-        return decided, None
-    return decided, train_and_choose(features, setup, order)
+    decision = settled(training.retrain_decision(current, champion_fingerprint))
+    if decision.first()["action"] == "skipped":
+        return decision, None
+    return decision, train_and_choose(features, setup, order)
 
 
 def save_and_reload(model: PipelineModel, spark: SparkSession) -> tuple[str, PipelineModel]:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from smeltery.functions import names
 from smeltery.operators import contracts, dedup, marts, profiling, quality, shaping
 from smeltery.operators.profiling import MetricProfile
+from smeltery.operators.results import settled
 from smeltery.operators.shaping import SourceInfo
 from smeltery.sources import writers
 from smeltery.vocabulary import DEFAULT, Vocabulary
@@ -111,10 +112,11 @@ def refine_bronze(
     )
     writers.write_release(bronze, f"{folder}/bronze", label)
     written = writers.release_rows(spark, f"{folder}/bronze", label)
-    nulls = profiling.null_counts(written)
+    counts = settled(profiling.null_counts(written))
+    checks = quality.count_checks(counts, release.minimum_rows)
     report = (
-        writers.check_rows("quality_checks", quality.bronze_checks(written, release.minimum_rows))
-        .unionByName(writers.report_rows("profile", nulls))
+        writers.check_rows("quality_checks", checks)
+        .unionByName(writers.report_rows("profile", counts))
         .unionByName(writers.report_rows("profile", dedup.exact_duplicates(written)))
     )
     writers.write_json(report, f"{folder}/reports/bronze_quality")
@@ -127,16 +129,18 @@ def refine_silver(spark: SparkSession, release: Release, folder: str) -> DataFra
     label, words = release.source.release, release.words
     bronze = writers.release_rows(spark, f"{folder}/bronze", label)
     silver = silver_frame(bronze, release)
-    # Hard gates before the write need only hash and key of the bronze rows.
-    survivors = dedup.dedup_counts(bronze).select(F.col("rows_after").alias("rows"))
-    if survivors.first()["rows"] == 0:
+    # The gate before the write needs only the hashes of the bronze rows.
+    counts = settled(dedup.dedup_counts(bronze))
+    if counts.first()["rows_after"] == 0:
         raise quality.GateError("quality gate failed: dataset_not_empty")
     writers.write_release(silver.frame, f"{folder}/silver", label)
     written = writers.release_rows(spark, f"{folder}/silver", label)
-    checks = quality.silver_checks(
-        bronze, written, written, minimum=release.minimum_rows, words=words
+    checks = settled(
+        quality.silver_checks(
+            bronze, written, written, minimum=release.minimum_rows, words=words
+        )
     )
-    rows = quality.enforce(
+    quality.enforce(
         checks,
         [
             "dataset_not_empty",
@@ -146,9 +150,8 @@ def refine_silver(spark: SparkSession, release: Release, folder: str) -> DataFra
             "persisted_row_reconciliation",
         ],
     )
-    checked = spark.createDataFrame(rows, checks.schema)
-    report = writers.check_rows("quality_checks", checked).unionByName(
-        writers.report_rows("profile", dedup.dedup_counts(bronze))
+    report = writers.check_rows("quality_checks", checks).unionByName(
+        writers.report_rows("profile", counts)
     )
     writers.write_json(report, f"{folder}/reports/silver_quality")
     contract = contracts.data_contract(
@@ -179,21 +182,22 @@ def refine_gold(spark: SparkSession, release: Release, folder: str) -> Gold:
     written = {
         name: writers.release_rows(spark, f"{folder}/gold/{name}", label) for name in plan
     }
-    checks = quality.gold_checks(
-        silver,
-        written["mart"],
-        written["features"],
-        gold.metrics,
-        gold.primary,
-        written,
-        minimum=release.minimum_rows,
-        words=words,
+    checks = settled(
+        quality.gold_checks(
+            silver,
+            written["mart"],
+            written["features"],
+            gold.metrics,
+            gold.primary,
+            written,
+            minimum=release.minimum_rows,
+            words=words,
+        )
     )
-    hard = [row["check"] for row in checks.select("check").collect()]
-    rows = quality.enforce(checks, [c for c in hard if c != "minimum_expected_rows"])
-    checked = spark.createDataFrame(rows, checks.schema)
+    reported_only = F.col("check") == "minimum_expected_rows"
+    quality.enforce(checks.where(~reported_only))
     writers.write_json(
-        writers.check_rows("quality_checks", checked), f"{folder}/reports/gold_quality"
+        writers.check_rows("quality_checks", checks), f"{folder}/reports/gold_quality"
     )
     writers.write_json(
         profiling.profile_rows(silver, gold.profile), f"{folder}/reports/metric_profile"

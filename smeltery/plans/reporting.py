@@ -74,52 +74,65 @@ def publish(
     return required + [(MARTS, name) for name in tables]
 
 
-def model_rules(built: Models, words: Vocabulary = DEFAULT) -> DataFrame:
-    """All rules of the models: rule, failures, passed."""
+def published(spark: SparkSession, words: Vocabulary = DEFAULT) -> Models:
+    """The models as published, so that checks read tables instead of plans."""
+    return Models(
+        spark.table(f"stg_{words.entity}_usage"),
+        spark.table(f"stg_ml_{words.entity}_features"),
+        spark.table(f"int_{words.entity}_usage_enriched"),
+        spark.table(f"{MARTS}.dim_{words.entity}"),
+        spark.table(f"{MARTS}.fct_{words.entity}_usage"),
+        spark.table(f"{MARTS}.mart_{words.entity}_usage_summary"),
+        spark.table(f"{MARTS}.ml_{words.entity}_features"),
+    )
 
-    def named(model: str, *checks: DataFrame) -> list[DataFrame]:
-        return [c.withColumn("rule", F.concat(F.lit(f"{model}."), "rule")) for c in checks]
 
-    key = words.key
-    feature_key_rules = [
-        (rules.not_null, "feature_entity_key"),
-        (rules.unique, "feature_entity_key"),
-        (rules.not_null, key),
+def model_rules(built: Models, words: Vocabulary = DEFAULT) -> DataFrame:
+    """All rules of the models: rule, failures, passed.
+
+    The row-wise rules of a model share one pass; only uniqueness and references
+    need a shuffle of their own.
+    """
+    key, value = words.key, "primary_usage_value"
+    feature_rules = [
+        lambda df: rules.not_null(df, "feature_entity_key", key),
+        lambda df: rules.unique(df, "feature_entity_key"),
     ]
-    found = named(
-        "staged_mart",
-        rules.not_null(built.staged_mart, key),
-        rules.not_null(built.staged_mart, "_record_hash"),
-        rules.unique(built.staged_mart, "_record_hash"),
-    )
-    found += named(
-        "enriched",
-        rules.not_null(built.enriched, key),
-        rules.not_null(built.enriched, words.band),
-        rules.accepted_values(built.enriched, words.band, BAND_NAMES),
-        rules.not_null(built.enriched, "metric_completeness_ratio"),
-    )
-    found += named(
-        "dimension", rules.not_null(built.dimension, key), rules.unique(built.dimension, key)
-    )
-    found += named(
-        "fact",
-        rules.not_null(built.fact, key),
-        rules.relationships(built.fact, key, built.dimension, key),
-        rules.not_null(built.fact, "_record_hash"),
-        rules.unique(built.fact, "_record_hash"),
-        rules.non_negative(built.fact, "primary_usage_value"),
-        rules.reconciles(built.staged_mart, built.fact, "reconciles_to_staging"),
-    )
-    found += named(
-        "staged_features", *[rule(built.staged_features, c) for rule, c in feature_key_rules]
-    )
-    found += named(
-        "features",
-        *[rule(built.features, c) for rule, c in feature_key_rules],
-        rules.reconciles(built.staged_features, built.features, "reconciles_to_gold"),
-    )
-    return rules.all_rules(*found)
+    per_model = {
+        "staged_mart": [
+            rules.not_null(built.staged_mart, key, "_record_hash"),
+            rules.unique(built.staged_mart, "_record_hash"),
+        ],
+        "enriched": [
+            rules.not_null(built.enriched, key, words.band, "metric_completeness_ratio"),
+            rules.accepted_values(built.enriched, words.band, BAND_NAMES),
+        ],
+        "dimension": [rules.not_null(built.dimension, key), rules.unique(built.dimension, key)],
+        "fact": [
+            rules.row_rules(
+                built.fact,
+                {
+                    f"not_null_{key}": F.col(key).isNull(),
+                    "not_null__record_hash": F.col("_record_hash").isNull(),
+                    f"non_negative_{value}": F.col(value) < 0,
+                },
+            ),
+            rules.unique(built.fact, "_record_hash"),
+            rules.relationships(built.fact, key, built.dimension, key),
+            rules.reconciles(built.staged_mart, built.fact, "reconciles_to_staging"),
+        ],
+        "staged_features": [rule(built.staged_features) for rule in feature_rules],
+        "features": [
+            *[rule(built.features) for rule in feature_rules],
+            rules.reconciles(built.staged_features, built.features, "reconciles_to_gold"),
+        ],
+    }
+    named = [
+        found.withColumn("rule", F.concat(F.lit(f"{model}."), "rule"))
+        for model, checks in per_model.items()
+        for found in checks
+    ]
+    return rules.all_rules(*named)
 
 
 def row_checks(built: Models, minimum: int = quality.MINIMUM_ROWS) -> DataFrame:
