@@ -210,7 +210,7 @@ def _word_verdict(word: Column) -> Column:
     return F.when(settled.isin(*PASS_WORDS), True).when(settled.isin(*FAIL_WORDS), False)
 
 
-def check_verdict(value: Column, depth: int = 3) -> Column:
+def check_verdict(value: Column, depth: int = 2) -> Column:
     """True, false or null (unknown) for a reported check.
 
     ``value`` is text: a word, or a JSON object whose result sits under one of
