@@ -9,12 +9,7 @@ from pyspark.sql import functions as F
 
 from smeltery.functions import hashing, measures
 from smeltery.operators.quantiles import percentiles
-from smeltery.operators.ranking import (
-    Ranking,
-    read_spreads,
-    spread_expressions,
-    with_ranks,
-)
+from smeltery.operators.ranking import Ranking, measure, with_ranks
 from smeltery.vocabulary import DEFAULT, Vocabulary
 
 # Columns a mart carries along when the layer has them.
@@ -159,21 +154,15 @@ def feature_table(
         {name: F.col(m).cast("double") for m, name in raw.items()}
     )
 
-    measured = wide.agg(
-        *spread_expressions(list(raw.values())),
-        *[F.avg(c).alias(f"mean__{m}") for m, c in raw.items()],
-        *[F.stddev_pop(c).alias(f"deviation__{m}") for m, c in raw.items()],
-    ).first()
-
-    ranked = with_ranks(
-        wide,
-        [Ranking(name, percent=f"feature__percent_rank__{m}") for m, name in raw.items()],
-        spreads=read_spreads(measured, list(raw.values())),
-    )
+    moments = {f"mean__{m}": F.avg(c) for m, c in raw.items()}
+    moments |= {f"deviation__{m}": F.stddev_pop(c) for m, c in raw.items()}
+    measured, statistics = measure(wide, list(raw.values()), moments)
+    rankings = [Ranking(name, percent=f"feature__percent_rank__{m}") for m, name in raw.items()]
+    ranked = with_ranks(wide, rankings, measures=measured)
     families = []
     for m, name in raw.items():
         value = F.col(name)
-        mean, deviation = (F.lit(measured[f"{part}__{m}"]) for part in ("mean", "deviation"))
+        mean, deviation = (F.lit(statistics[f"{part}__{m}"]) for part in ("mean", "deviation"))
         families += [
             value,
             measures.log1p_nonnegative(value).alias(f"feature__log1p__{m}"),

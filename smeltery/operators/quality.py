@@ -219,17 +219,27 @@ def check_verdict(value: Column, depth: int = 2) -> Column:
     """
     if depth == 0:
         return _word_verdict(value)
-    nested = F.from_json(value, "map<string,variant>")
-    # Only text that starts like an object is parsed.
-    is_object = F.ltrim(value).startswith("{")
-    keyed = [
-        check_verdict(F.get_json_object(value, f"$.{key}"), depth - 1) for key in RESULT_KEYS
-    ]
+    fields = F.from_json(value, "map<string,variant>")
+    results = F.array(*[fields.getItem(key) for key in RESULT_KEYS])
+    # The first known key that settles the check, as text or nested object.
+    settled = F.filter(
+        F.transform(results, lambda v: check_verdict(_as_text(v), depth - 1)), F.isnotnull
+    )
     booleans = F.filter(
-        F.map_values(nested), lambda item: F.schema_of_variant(item) == "BOOLEAN"
+        F.map_values(fields), lambda item: F.schema_of_variant(item) == "BOOLEAN"
+    )
+    only = F.when(F.size(booleans) == 1, F.get(booleans, F.lit(0)).cast("boolean"))
+    is_object = F.ltrim(value).startswith("{")
+    return F.when(is_object, F.coalesce(F.get(settled, F.lit(0)), only)).otherwise(
+        _word_verdict(value)
+    )
+
+
+def _as_text(item: Column) -> Column:
+    """A variant as plain text; a nested object as its JSON."""
+    return F.coalesce(
+        F.try_variant_get(item, "$", "string"), F.to_json(item)
     )
-    only = F.when(F.size(booleans) == 1, F.element_at(booleans, 1).cast("boolean"))
-    return F.when(is_object, F.coalesce(*keyed, only)).otherwise(_word_verdict(value))
 
 
 def evaluate_reports(reports: DataFrame, stages: Sequence[str], depth: int = 2) -> DataFrame:

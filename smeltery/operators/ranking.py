@@ -5,12 +5,11 @@ number of distinct values decides how that is avoided:
 
 * Few values: they are counted (combined on the map side) and ranked as a small
   table, which is broadcast. The rows are not shuffled at all.
-* Many values: the column is cut into buckets at sampled quantiles and the rows
-  of every bucket are counted exactly. When no bucket stands out, each bucket is
-  ranked on its own and shifted by the totals of the buckets before it: one
-  shuffle of the rows, no join.
-* Many values and a bucket that stands out (one value, or null, fills much of
-  the table): equal values are collapsed before anything is shuffled, the
+* Many values: the column is cut into buckets at sampled quantiles, each bucket is
+  ranked on its own and shifted by the exact totals of the buckets before it: one
+  shuffle of the rows, no join on them.
+* Many values, one of which (or null) dominates: its rows would all be ordered by
+  one task. Equal values are collapsed before anything is shuffled, the
   distinct values are ranked bucket by bucket, and the ranks are joined back. The
   join is a plain equi-join, whose skewed partitions adaptive execution splits.
 
@@ -22,12 +21,12 @@ value.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from itertools import groupby
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A value table up to this many rows is ordered in one window and broadcast
@@ -39,7 +38,7 @@ ROWS_PER_BUCKET = 50_000
 MAX_BUCKETS = 32_768
 SAMPLES_PER_BUCKET = 200
 SAMPLE_SEED = 17
-# A bucket stands out when it holds this many times its fair share of the rows.
+# A value dominates when it fills this many times a bucket's fair share of rows.
 OUTSTANDING = 8
 
 
@@ -54,52 +53,82 @@ class Ranking:
 
 
 @dataclass(frozen=True)
-class Spread:
-    """Size of a column: all rows, and roughly how many distinct values."""
+class Measure:
+    """What one pass finds out about a column before it is ranked."""
 
     rows: int
-    values: int
+    values: int  # approximate number of distinct values
+    cuts: list[float]  # ascending, distinct
+    dominated: bool  # one value, or null, would overfill a bucket
 
 
-def spread_expressions(columns: Sequence[str]) -> list[Column]:
-    """Aggregates that :func:`read_spreads` understands; add them to any ``agg``."""
-    values = [
-        F.approx_count_distinct(F.col(f"`{name}`")).alias(f"__values__{name}")
-        for name in dict.fromkeys(columns)
-    ]
-    return [F.count("*").alias("__rows"), *values]
+def bucket_count(rows: int, rows_per_bucket: int) -> int:
+    return max(1, min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket)))
 
 
-def read_spreads(row, columns: Sequence[str]) -> dict[str, Spread]:
-    return {name: Spread(row["__rows"], row[f"__values__{name}"]) for name in columns}
+def measure(
+    df: DataFrame,
+    columns: Sequence[str],
+    extra: Mapping[str, Column] | None = None,
+    *,
+    value_limit: int = VALUE_LIMIT,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> tuple[dict[str, Measure], dict]:
+    """Measure several columns in one aggregate; ``extra`` aggregates ride along.
 
+    The rows are counted first (metadata only, for a Parquet scan): a table that
+    is small as a whole needs no further look.
+    """
+    names = list(dict.fromkeys(columns))
+    rows = df.count()
+    buckets = bucket_count(rows, rows_per_bucket)
+    wanted = dict(extra or {})
+    detailed = rows > value_limit
+    source = df
+    if detailed:
+        share = min(1.0, buckets * SAMPLES_PER_BUCKET / rows)
+        picked = F.lit(True) if share == 1.0 else F.rand(SAMPLE_SEED) < share
+        positions = {f"__position__{n}": _position(F.col(f"`{n}`")) for n in names}
+        source = df.withColumns(positions).withColumn("__picked", picked)
+        for name in names:
+            wanted[f"__measure__{name}"] = _column_measure(name, buckets)
+    found = source.agg(*[c.alias(n) for n, c in wanted.items()]).first() if wanted else {}
+    measures = {}
+    for name in names:
+        if not detailed:
+            measures[name] = Measure(rows, rows, [], False)
+            continue
+        part = found[f"__measure__{name}"]
+        quantiles = [q + 0.0 for q in part["quantiles"] or ()]
+        run = max((len(list(g)) for _, g in groupby(quantiles)), default=0)
+        tied = max(part["missing"], part["not_numbers"], run * rows / buckets)
+        fair = max(rows / buckets, rows_per_bucket)
+        cuts = sorted({q for q in quantiles if math.isfinite(q)})
+        measures[name] = Measure(rows, part["values"], cuts, tied > OUTSTANDING * fair)
+    return measures, {name: found[name] for name in extra or {}}
+
+
+def _column_measure(name: str, buckets: int) -> Column:
+    position = F.col(f"__position__{name}")
+    steps = [i / buckets for i in range(1, buckets)] or [0.5]
+    sampled = F.when(F.col("__picked") & ~F.isnan(position), position)
+    return F.struct(
+        F.approx_count_distinct(F.col(f"`{name}`")).alias("values"),
+        F.count_if(position.isNull()).alias("missing"),
+        F.count_if(F.isnan(position)).alias("not_numbers"),
+        F.percentile_approx(sampled, steps, 10 * buckets).alias("quantiles"),
+    )
 
-def cut_points(df: DataFrame, buckets: dict[str, int], rows: int) -> dict[str, list[float]]:
-    """Ascending quantiles of a sample of each column, for bucket boundaries only.
 
-    One job for all columns. Sampling bounds what is merged in the end, however
-    many tasks read the table.
-    """
-    wanted = {name: count for name, count in buckets.items() if count > 1}
-    cuts: dict[str, list[float]] = {name: [] for name in buckets}
-    if not wanted:
-        return cuts
-    fraction = min(1.0, max(wanted.values()) * SAMPLES_PER_BUCKET / max(rows, 1))
-    sample = df.select(*[_position(F.col(f"`{name}`")).alias(name) for name in wanted])
-    if fraction < 1.0:
-        sample = sample.sample(fraction, SAMPLE_SEED)
-    quantiles = [
-        F.percentile_approx(
-            F.when(~F.isnan(f"`{name}`"), F.col(f"`{name}`")),
-            [i / count for i in range(1, count)],
-            10 * count,
-        ).alias(name)
-        for name, count in wanted.items()
-    ]
-    row = sample.agg(*quantiles).first()
-    for name in wanted:
-        cuts[name] = sorted({q + 0.0 for q in row[name] or () if math.isfinite(q)})
-    return cuts
+def cut_points(df: DataFrame, column: str, rows: int, buckets: int) -> list[float]:
+    """Ascending quantiles of a sample of one column, for range boundaries only."""
+    share = min(1.0, buckets * SAMPLES_PER_BUCKET / max(rows, 1))
+    sample = df.select(_position(F.col(f"`{column}`")).alias("v")).where("not isnan(v)")
+    if share < 1.0:
+        sample = sample.sample(share, SAMPLE_SEED)
+    steps = [i / buckets for i in range(1, buckets)]
+    row = sample.agg(F.percentile_approx("v", steps, 10 * buckets).alias("q")).first()
+    return sorted({q + 0.0 for q in row["q"] or () if math.isfinite(q)})
 
 
 def _position(value: Column) -> Column:
@@ -107,6 +136,10 @@ def _position(value: Column) -> Column:
     return value.cast("double") + F.lit(0.0)
 
 
+def null_bucket(cuts: Sequence[float]) -> int:
+    return len(cuts) + 2
+
+
 def with_bucket(df: DataFrame, column: str, cuts: Sequence[float], bucket: str) -> DataFrame:
     """Add the bucket number: 0 .. len(cuts), then one for NaN and one for null.
 
@@ -114,19 +147,21 @@ def with_bucket(df: DataFrame, column: str, cuts: Sequence[float], bucket: str)
     by it and the counted values could not be reused between branches.
     """
     value, raw = F.col(f"`{column}`"), "__cut"
-    nan_bucket, null_bucket = len(cuts) + 1, len(cuts) + 2
+    nan_bucket, last = len(cuts) + 1, F.lit(null_bucket(cuts))
     if cuts:
-        splits = [-math.inf, *cuts, math.inf]
         placed = Bucketizer(
-            splits=splits, inputCol="__number", outputCol=raw, handleInvalid="keep"
+            splits=[-math.inf, *cuts, math.inf],
+            inputCol="__number",
+            outputCol=raw,
+            handleInvalid="keep",
         ).transform(df.withColumn("__number", _position(value))).drop("__number")
     else:
         placed = df.withColumn(raw, F.lit(0.0))
     return placed.withColumn(
         bucket,
-        F.when(value.isNull(), null_bucket)
+        F.when(value.isNull(), last)
         .when(F.isnan(value.cast("double")), nan_bucket)
-        .otherwise(F.coalesce(F.col(raw).cast("int"), F.lit(null_bucket))),
+        .otherwise(F.coalesce(F.col(raw).cast("int"), last)),
     ).drop(raw)
 
 
@@ -146,110 +181,69 @@ def _small_value_ranks(counted: DataFrame, descending: bool) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class Bucketing:
-    """Boundaries of the buckets of a column, and what each bucket holds."""
-
-    cuts: list[float]
-    totals: list[tuple[int, int, int]]  # bucket, rows, distinct values (0 if not asked)
-    rows_per_bucket: int
-
-    @property
-    def null_bucket(self) -> int:
-        return len(self.cuts) + 2
-
-    def outstanding(self) -> bool:
-        """One bucket would be too much for the task that orders it."""
-        largest = max(rows for _, rows, _ in self.totals)
-        fair = sum(rows for _, rows, _ in self.totals) / (len(self.cuts) + 1)
-        return largest > OUTSTANDING * max(fair, self.rows_per_bucket)
-
-    def offsets(self, spark: SparkSession, descending: bool) -> DataFrame:
-        """Rows and values that rank before each bucket: one small local table."""
-
-        def place(entry):
-            bucket = entry[0]
-            is_null = bucket == self.null_bucket
-            return (is_null, -bucket if descending else bucket)
-
-        shifts, rows_before, values_before = [], 0, 0
-        for bucket, rows, values in sorted(self.totals, key=place):
-            shifts.append((bucket, rows_before, values_before))
-            rows_before += rows
-            values_before += values
-        schema = "__bucket int, __rows_before bigint, __values_before bigint"
-        return F.broadcast(spark.createDataFrame(shifts, schema))
-
-
-def _totals(df: DataFrame, ranking: Ranking, cuts: Sequence[float]) -> DataFrame:
-    """Rows of every bucket; distinct values only where a dense rank needs them."""
+def _offsets(df: DataFrame, ranking: Ranking, cuts: Sequence[float]) -> DataFrame:
+    """Rows and values that rank before each bucket: at most len(cuts) + 3 rows.
+
+    Distinct values are only counted where a dense rank needs them.
+    """
     value = F.col(f"`{ranking.column}`").alias("__value")
     if ranking.dense:
         counted = df.groupBy(value).agg(F.count("*").alias("__count"))
-        grouped = with_bucket(counted, "__value", cuts, "__bucket").groupBy("__bucket")
-        sums = (F.sum("__count"), F.count("*"))
+        rows, values = F.sum("__count"), F.count("*")
     else:
-        grouped = with_bucket(df.select(value), "__value", cuts, "__bucket").groupBy("__bucket")
-        sums = (F.count("*"), F.lit(0))
-    return grouped.agg(sums[0].alias("rows"), sums[1].cast("bigint").alias("values"))
+        counted = df.select(value)
+        rows, values = F.count("*"), F.sum(F.lit(0))
+    totals = (
+        with_bucket(counted, "__value", cuts, "__bucket")
+        .groupBy("__bucket")
+        .agg(rows.alias("__rows"), values.alias("__values"))
+    )
+    bucket = F.col("__bucket")
+    if ranking.descending:
+        place = F.when(bucket == null_bucket(cuts), bucket).otherwise(-bucket)
+    else:
+        place = bucket
+    before = Window.orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(
+        totals.select(
+            "__bucket",
+            F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__rows_before"),
+            F.coalesce(F.sum("__values").over(before), F.lit(0)).alias("__values_before"),
+        )
+    )
 
 
-def bucketings(
-    df: DataFrame,
-    rankings: Sequence[Ranking],
-    spreads: dict[str, Spread],
-    rows_per_bucket: int,
-) -> list[Bucketing]:
-    """Cut points and bucket totals of several columns: two jobs for all of them."""
-    buckets = {
-        r.column: min(MAX_BUCKETS, math.ceil(spreads[r.column].rows / rows_per_bucket))
-        for r in rankings
-    }
-    rows = max((spreads[r.column].rows for r in rankings), default=0)
-    cuts = cut_points(df, buckets, rows)
-    tagged = [
-        _totals(df, r, cuts[r.column]).select(F.lit(i).alias("ranking"), "*")
-        for i, r in enumerate(rankings)
-    ]
-    totals: list[list[tuple[int, int, int]]] = [[] for _ in rankings]
-    if tagged:
-        for row in reduce(DataFrame.union, tagged).collect():
-            totals[row["ranking"]].append((row["__bucket"], row["rows"], row["values"]))
-    return [
-        Bucketing(cuts[r.column], found, rows_per_bucket)
-        for r, found in zip(rankings, totals)
-    ]
-
-
-def _ranked_in_buckets(df: DataFrame, ranking: Ranking, bucketing: Bucketing) -> DataFrame:
+def _ranked_in_buckets(
+    df: DataFrame, source: DataFrame, ranking: Ranking, cuts: Sequence[float]
+) -> DataFrame:
     """Rank the rows themselves, bucket by bucket."""
     window = Window.partitionBy("__bucket").orderBy(_order(ranking.descending, ranking.column))
-    offsets = bucketing.offsets(df.sparkSession, ranking.descending)
     local = {"__rank": F.rank().over(window)}
     if ranking.dense:
         local["__number"] = F.dense_rank().over(window)
-    placed = with_bucket(df, ranking.column, bucketing.cuts, "__bucket").withColumns(local)
+    placed = with_bucket(df, ranking.column, cuts, "__bucket").withColumns(local)
     shifted = {"__before": F.col("__rank") - 1 + F.col("__rows_before")}
     if ranking.dense:
         shifted["__dense"] = F.col("__number") + F.col("__values_before")
-    joined = placed.join(offsets, "__bucket", "left").withColumns(shifted)
-    return joined.drop("__bucket", "__rank", "__number", "__rows_before", "__values_before")
+    joined = placed.join(_offsets(source, ranking, cuts), "__bucket", "left")
+    return joined.withColumns(shifted).drop(
+        "__bucket", "__rank", "__number", "__rows_before", "__values_before"
+    )
 
 
 def _bucketed_value_ranks(
-    counted: DataFrame, ranking: Ranking, bucketing: Bucketing
+    counted: DataFrame, source: DataFrame, ranking: Ranking, cuts: Sequence[float]
 ) -> DataFrame:
     """Rank the distinct values, bucket by bucket."""
     ordered = Window.partitionBy("__bucket").orderBy(_order(ranking.descending, "__value"))
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bucketing.offsets(counted.sparkSession, ranking.descending)
-    local = with_bucket(counted, "__value", bucketing.cuts, "__bucket").select(
+    local = with_bucket(counted, "__value", cuts, "__bucket").select(
         "__bucket",
         "__value",
         F.coalesce(F.sum("__count").over(before), F.lit(0)).alias("__local"),
         F.row_number().over(ordered).alias("__number"),
     )
-    return local.join(offsets, "__bucket").select(
+    return local.join(_offsets(source, ranking, cuts), "__bucket").select(
         "__value",
         (F.col("__local") + F.col("__rows_before")).alias("__before"),
         (F.col("__number") + F.col("__values_before")).alias("__dense"),
@@ -265,39 +259,41 @@ def with_ranks(
     df: DataFrame,
     rankings: Sequence[Ranking],
     *,
-    spreads: dict[str, Spread] | None = None,
+    measures: Mapping[str, Measure] | None = None,
     value_limit: int = VALUE_LIMIT,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Add the ranks of several columns; one aggregate sizes all of them.
+    """Add the ranks of several columns; one aggregate measures all of them.
 
-    ``df`` is read again for sizes, boundaries and counted values, one column at
-    a time: give it a written table, or a cheap projection of one, when it is
-    expensive to compute.
+    ``df`` is read again for measures and counted values, one column at a time:
+    give it a written table, or a cheap projection of one, when it is expensive
+    to compute.
     """
-    columns = [ranking.column for ranking in rankings]
-    if spreads is None:
-        spreads = read_spreads(df.agg(*spread_expressions(columns)).first(), columns)
-    large = [r for r in rankings if spreads[r.column].values > value_limit]
-    bucketing_of = dict(zip(large, bucketings(df, large, spreads, rows_per_bucket)))
+    if measures is None:
+        measures, _ = measure(
+            df,
+            [ranking.column for ranking in rankings],
+            value_limit=value_limit,
+            rows_per_bucket=rows_per_bucket,
+        )
     ranked = df
     for ranking in rankings:
+        found = measures[ranking.column]
         value = F.col(f"`{ranking.column}`").alias("__value")
         counted = df.groupBy(value).agg(F.count("*").alias("__count"))
-        bucketing = bucketing_of.get(ranking)
-        if bucketing is None:
+        if found.values <= value_limit:
             ranks = F.broadcast(_small_value_ranks(counted, ranking.descending))
             ranked = _join_value_ranks(ranked, ranking.column, ranks)
-        elif bucketing.outstanding():
-            ranks = _bucketed_value_ranks(counted, ranking, bucketing)
+        elif found.dominated:
+            ranks = _bucketed_value_ranks(counted, df, ranking, found.cuts)
             ranked = _join_value_ranks(ranked, ranking.column, ranks)
         else:
-            ranked = _ranked_in_buckets(ranked, ranking, bucketing)
+            ranked = _ranked_in_buckets(ranked, df, ranking, found.cuts)
         results = {}
         if ranking.dense:
             results[ranking.dense] = F.col("__dense").cast("bigint")
         if ranking.percent:
-            last = F.lit(float(max(spreads[ranking.column].rows - 1, 1)))
+            last = F.lit(float(max(found.rows - 1, 1)))
             results[ranking.percent] = F.col("__before").cast("double") / last
         ranked = ranked.withColumns(results).drop("__before", "__dense")
     return ranked

@@ -65,8 +65,7 @@ def test_an_even_column_is_ranked_without_a_join_on_its_values(spark):
     df = frame(spark, [float(i * 7919 % 5000) for i in range(5_000)])
     ranked = with_ranks(df, [Ranking("v", False, "p")], value_limit=3, rows_per_bucket=100)
     plan = ranked._jdf.queryExecution().optimizedPlan().toString()
-    assert "rank(" in plan and "__value#" not in plan
-    assert "SinglePartition" not in ranked._jdf.queryExecution().toString()
+    assert "rank(" in plan and "__count" not in plan
 
 
 def test_large_integers_that_share_a_double(spark):
@@ -106,14 +105,29 @@ def test_several_columns_keep_the_rows_and_column_order(spark):
     assert ranked.where("w = 6").select("dw").distinct().first()[0] == 1
 
 
-def test_cut_points_are_only_boundaries(spark, monkeypatch):
+@pytest.mark.parametrize("dominated", [True, False])
+@pytest.mark.parametrize("cuts", [[], [1e9], [0.0], [-20.0, 0.0, 7.0, 30.0]])
+def test_cut_points_are_only_boundaries(spark, cuts, dominated):
     """A useless sample costs balance, never correctness."""
-    monkeypatch.setattr(ranking, "cut_points", lambda df, buckets, rows: {n: [1e9] for n in buckets})
     df = frame(spark, hard_values(400))
-    ranked = with_ranks(df, [Ranking("v", False, "p", "d")], **PATHS["buckets"])
+    found = {"v": ranking.Measure(400, 300, cuts, dominated)}
+    ranked = with_ranks(df, [Ranking("v", False, "p", "d")], measures=found, value_limit=3)
     assert same(ranked, expected(df, False))
 
 
+def test_measure(spark):
+    values = [None] * 10 + [float("nan")] * 5 + [1.0] * 50 + [float(i) for i in range(35)]
+    df = frame(spark, values)
+    found, extra = ranking.measure(
+        df, ["v"], {"top": F.max("id")}, value_limit=1, rows_per_bucket=4
+    )
+    assert extra == {"top": 99}
+    assert found["v"].rows == 100 and found["v"].dominated
+    assert found["v"].cuts == sorted(set(found["v"].cuts))
+    even, _ = ranking.measure(df, ["id"], value_limit=1, rows_per_bucket=4)
+    assert not even["id"].dominated and len(even["id"].cuts) > 15
+
+
 @pytest.mark.parametrize("rows", [1, 2, 5, 1_000])
 def test_percentiles_equal_the_built_in(spark, rows):
     source = random.Random(rows)
