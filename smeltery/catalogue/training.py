@@ -11,6 +11,7 @@ from smeltery.functions.measures import clip_nonnegative
 from smeltery.operators import contracts, scoring, training
 from smeltery.operators.training import TrainingSetup
 from smeltery.plans import lifecycle
+from smeltery.sources.folders import working_folder
 
 FEATURES = ("lines", "total_quantity", "discounts", "taxes")
 
@@ -54,12 +55,18 @@ def prepared_parts(spark, folder):
 
 
 def split_parts(spark, folder):
-    return training.split(prepared_parts(spark, folder), SETUP)
+    """Training and test rows of the prepared table, which is written once."""
+    path = working_folder(spark, "prepared")
+    prepared_parts(spark, folder).write.parquet(path)
+    return training.split(spark.read.parquet(path), SETUP)
 
 
 def formula_predictions(spark, folder):
     """Baseline and two formula candidates on the test rows."""
-    train, test = split_parts(spark, folder)
+    return _formulas(*split_parts(spark, folder))
+
+
+def _formulas(train, test):
     base = training.baseline_value(train, "revenue")
     means = train.agg(
         F.struct(
@@ -254,8 +261,8 @@ def ml_batch_score(spark, folder):
     ),
 )
 def ml_validate_predictions(spark, folder):
-    _, test = split_parts(spark, folder)
-    scored = formula_predictions(spark, folder)["per_line"]
+    train, test = split_parts(spark, folder)
+    scored = _formulas(train, test)["per_line"]
     return scoring.validate_predictions(test, scored, "prediction")
 
 

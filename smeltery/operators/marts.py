@@ -141,34 +141,36 @@ def feature_table(
     """Model features: raw, log1p, percent rank and z-score of each metric.
 
     One aggregate gives the means, deviations and sizes of all metrics; the
-    ranks are then attached metric by metric.
+    ranks are then attached metric by metric. Keys and features that need no
+    other row are added last, so no shuffle carries them.
     """
     extras = [c for c in FEATURE_EXTRAS if c in mart.columns]
     base = mart.select(words.key, *extras, *[m for m in metrics if m not in extras])
+    types = dict(base.dtypes)
+    number = {m: m if types[m] == "double" else f"__number__{m}" for m in metrics}
+    converted = {n: F.col(m).cast("double") for m, n in number.items() if n != m}
+    ranked = base.withColumns(converted)
+
+    moments = {f"mean__{m}": F.avg(n) for m, n in number.items()}
+    moments |= {f"deviation__{m}": F.stddev_pop(n) for m, n in number.items()}
+    measures_found, statistics = measure(ranked, list(number.values()), moments)
+    rankings = [Ranking(n, percent=f"feature__percent_rank__{m}") for m, n in number.items()]
+    ranked = with_ranks(ranked, rankings, measures=measures_found)
+
     record = "_record_hash" if "_record_hash" in extras else None
-    keyed = {"feature_entity_key": hashing.feature_key(words.key, record)}
+    derived = [hashing.feature_key(words.key, record).alias("feature_entity_key")]
     if "financial_year_end" in extras:
-        keyed["feature_period_end"] = measures.period_end(F.col("financial_year_end"))
-    raw = {m: f"feature__{m}" for m in metrics}
-    wide = base.withColumns(keyed).withColumns(
-        {name: F.col(m).cast("double") for m, name in raw.items()}
-    )
-
-    moments = {f"mean__{m}": F.avg(c) for m, c in raw.items()}
-    moments |= {f"deviation__{m}": F.stddev_pop(c) for m, c in raw.items()}
-    measured, statistics = measure(wide, list(raw.values()), moments)
-    rankings = [Ranking(name, percent=f"feature__percent_rank__{m}") for m, name in raw.items()]
-    ranked = with_ranks(wide, rankings, measures=measured)
-    families = []
-    for m, name in raw.items():
-        value = F.col(name)
-        mean, deviation = (F.lit(statistics[f"{part}__{m}"]) for part in ("mean", "deviation"))
-        families += [
-            value,
+        end = measures.period_end(F.col("financial_year_end"))
+        derived.append(end.alias("feature_period_end"))
+    for m, n in number.items():
+        value = F.col(n)
+        mean, deviation = (
+            F.lit(statistics[f"{part}__{m}"]).cast("double") for part in ("mean", "deviation")
+        )
+        derived += [
+            value.alias(f"feature__{m}"),
             measures.log1p_nonnegative(value).alias(f"feature__log1p__{m}"),
             F.col(f"feature__percent_rank__{m}"),
-            measures.zscore(value, mean.cast("double"), deviation.cast("double")).alias(
-                f"feature__zscore__{m}"
-            ),
+            measures.zscore(value, mean, deviation).alias(f"feature__zscore__{m}"),
         ]
-    return ranked.select(*base.columns, *keyed, *families)
+    return ranked.select(*base.columns, *derived)
