@@ -49,11 +49,14 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFr
 def orphan_keys(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child keys without a parent, with their number of rows.
 
-    The child is grouped before the join, so a frequent key crosses the shuffle
-    once per map task.
+    Both sides are reduced to distinct keys before the join, so a frequent key
+    crosses the shuffle once per map task. An outer join keeps it that way: an
+    anti join would be pushed below the grouping and shuffle every child row.
     """
     used = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
-    return used.join(parent, used[key] == parent[parent_key], "left_anti")
+    known = parent.select(F.col(parent_key).alias("__parent")).distinct()
+    joined = used.join(known, F.col(key) == F.col("__parent"), "left")
+    return joined.where(F.col("__parent").isNull()).select(key, "rows")
 
 
 def relationships(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

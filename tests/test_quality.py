@@ -163,3 +163,12 @@ def test_stages(spark):
         "a": ("passed", True), "b": ("failed", False), "c": ("no_checks", False),
         "d": ("unknown", False), "e": ("missing", False),
     }
+
+
+def test_orphans_are_grouped_before_they_are_joined(spark, small):
+    lines = spark.read.parquet(f"{small}/lineitem.parquet")
+    orders = spark.read.parquet(f"{small}/orders.parquet")
+    found = rules.orphan_keys(lines, "l_orderkey", orders, "o_orderkey")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    join, grouped = plan.index("Join LeftOuter"), plan.index("Aggregate [l_orderkey")
+    assert join < grouped and "LeftAnti" not in plan
