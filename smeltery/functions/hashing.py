@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, TimestampType
 
 # Fixed value: what stands between two hashed values.
 JOINER = "||"
@@ -41,12 +41,17 @@ def feature_key(entity: str, record: str | None = "_record_hash") -> Column:
 
 
 def row_digest(df: DataFrame) -> Column:
-    """Unambiguous hash of a whole row: null and empty text differ, -0.0 equals 0.0."""
+    """Unambiguous hash of a whole row: null and empty text differ, -0.0 equals 0.0.
+
+    Instants are hashed as numbers, so the session's time zone does not matter.
+    """
 
     def plain(field):
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (DoubleType, FloatType)):
             column = column + F.lit(0.0)
+        elif isinstance(field.dataType, TimestampType):
+            column = F.unix_micros(column)
         return column.alias(field.name)
 
     row = F.struct(*[plain(field) for field in df.schema.fields])
