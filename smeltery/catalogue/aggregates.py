@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from smeltery.catalogue import inputs
 from smeltery.catalogue.inputs import CANONICAL, rounded, table, with_inputs
 from smeltery.catalogue.registry import query
-from smeltery.operators import dedup, marts, models, profiling, scoring, training
+from smeltery.catalogue.training import FEATURES, formula_predictions, split_parts
+from smeltery.operators import dedup, marts, models, profiling, scoring, shaping, training
 
 
 @query(
@@ -49,8 +50,6 @@ def _ratio_sql(column: str) -> str:
 
 @query("agg_parse_ratio", with_inputs(" union all ".join(map(_ratio_sql, CANONICAL))))
 def agg_parse_ratio(spark, folder):
-    from smeltery.operators import shaping
-
     cleaned = shaping.missing_to_null(inputs.canonical_messy(spark, folder))
     return rounded(profiling.parse_ratios(cleaned, CANONICAL))
 
@@ -72,8 +71,6 @@ def agg_dup_keys(spark, folder):
     ),
 )
 def agg_null_keys(spark, folder):
-    from smeltery.operators import shaping
-
     cleaned = shaping.missing_to_null(inputs.canonical_messy(spark, folder))
     return dedup.null_keys(cleaned, "station_code")
 
@@ -153,8 +150,6 @@ def agg_unique_count(spark, folder):
     ),
 )
 def agg_median_impute(spark, folder):
-    from smeltery.catalogue.training import FEATURES, split_parts
-
     train, test = split_parts(spark, folder)
     return training.impute(test, training.training_medians(train, FEATURES))
 
@@ -169,8 +164,6 @@ def agg_median_impute(spark, folder):
     ),
 )
 def agg_regression_metrics(spark, folder):
-    from smeltery.catalogue.training import formula_predictions
-
     scored = formula_predictions(spark, folder)["per_unit"]
     measured = training.regression_metrics(scored, "revenue", "prediction")
     digits = {"r2": 6, "rmsle": 6}
@@ -191,7 +184,5 @@ def agg_regression_metrics(spark, folder):
     ),
 )
 def agg_prediction_summary(spark, folder):
-    from smeltery.catalogue.training import formula_predictions
-
     scored = formula_predictions(spark, folder)["per_unit"]
     return rounded(scoring.prediction_summary(scored, "prediction"), 4)

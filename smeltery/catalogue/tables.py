@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from smeltery.catalogue import inputs
-from smeltery.catalogue.inputs import CANONICAL, stable, table, with_inputs
+from smeltery.catalogue.inputs import stable, table, with_inputs
 from smeltery.catalogue.registry import query
-from smeltery.operators import contracts, dedup, marts, profiling, quality, shaping, training
+from smeltery.catalogue.training import comparison
+from smeltery.operators import contracts, dedup, quality, shaping
 from smeltery.plans import reporting
 from smeltery.sources import catalog, manifest, readers, writers
 from smeltery.sources.folders import working_folder
@@ -103,10 +104,9 @@ def snk_json_report(spark, folder):
     with_inputs("select model_name, round(rmsle, 4) as rmsle from comparison"),
 )
 def snk_csv(spark, folder):
-    from smeltery.catalogue.training import comparison
-
     path = working_folder(spark, "comparison")
-    writers.write_csv(comparison(spark, folder).select("model_name", F.round("rmsle", 4).alias("rmsle")), path)
+    found = comparison(spark, folder).select("model_name", F.round("rmsle", 4).alias("rmsle"))
+    writers.write_csv(found, path)
     return readers.read_csv(spark, path, schema="model_name string, rmsle double")
 
 

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from smeltery.catalogue import inputs
 from smeltery.catalogue.inputs import rounded, table, with_inputs
 from smeltery.catalogue.registry import query
-from smeltery.functions.measures import clip_nonnegative
 from smeltery.operators import contracts, scoring, training
 from smeltery.operators.training import TrainingSetup
 from smeltery.plans import lifecycle
