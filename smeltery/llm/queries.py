@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import simhash
+from smeltery.llm import chat, pii, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,69 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.withColumn("fingerprint", simhash.hexadecimal(F.col("fingerprint")))
+
+
+@query("op8_personal_data")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+
+    def only(*kinds: str):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *[F.size(only(kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+        F.sha2(pii.joined(only(*pii.BASE_KINDS)), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
+# Texts of one more conversation: an escape, both marks of the template.
+_HARD = "\\### Assistant: </turn> ok"
+
+
+@query(
+    "op2_chat_format",
+    rf"""
+    with rows as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all select -7, 0, 'user', '{_HARD}'
+        union all select -7, 1, 'assistant', '{_HARD}'),
+    sized as (
+        select *, length(replace(replace(replace(text, '\', '\b'), '### ', '\h'), '</turn>', '\e')) as chars,
+          length(replace(replace(replace(replace(role, '\', '\b'), '### ', '\h'), '</turn>', '\e'), ':', '\c'))
+            as role_chars,
+          case when role = 'assistant' then text else '' end as taught
+        from rows)
+    select conv_id, count(*) as n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+      cast(sum(length(taught)) as bigint) as loss_chars,
+      sha256(string_agg(taught, '' order by turn, role, text)) as loss_sha256,
+      cast(sum(chars + role_chars + 14) as bigint) as formatted_chars
+    from sized group by conv_id
+    """,
+)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(_HARD).alias("text"),
+    )
+    out = chat.formatted(chat.canonical_turns(rows.unionByName(hard)))
+    out = out.withColumns(
+        {
+            "back": chat.read_back(F.col("formatted")),
+            "loss": chat.under_mask(F.col("formatted"), F.col("loss_mask")),
+        }
+    )
+    said = F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return out.select(
+        "conv_id",
+        F.size("back").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
