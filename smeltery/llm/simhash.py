@@ -1,7 +1,7 @@
 """SimHash near-duplicates: bit counts of segments, a grid, then exact distances.
 
 1. *Fingerprint* of each whole text: bit i is set where over half of the shingles' hashes set it.
-2. *Embedding*: the fingerprint is cut into segments of four bits; the bit counts of the segments
+2. *Embedding*: the fingerprint is cut into 32 segments of two bits; the bit counts of the segments
    are a point whose Manhattan distance to another never exceeds the Hamming distance.
 3. *Grid range join*: each point is put into its own cell and into the cells one step away. Two
    points share a cell exactly when they are at most two steps apart. Only counts leave a cell, so
@@ -72,19 +72,20 @@ def with_fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text", w
 
 
 def segment_counts(fingerprint: Column) -> Column:
-    """Bit counts of the 16 segments, four bits of the result for each."""
-    ones = F.lit(0x1111111111111111)
-    counts = [F.shiftrightunsigned(fingerprint, i).bitwiseAND(ones) for i in range(4)]
-    return counts[0] + counts[1] + counts[2] + counts[3]  # at most 4 in each: never overflows
+    """Bit counts of the 32 segments, two bits of the result for each."""
+    even = fingerprint.bitwiseAND(F.lit(0x5555555555555555))
+    odd = F.shiftrightunsigned(fingerprint, 1).bitwiseAND(F.lit(0x5555555555555555))
+    return even.bitwiseXOR(odd).bitwiseOR(F.shiftleft(even.bitwiseAND(odd), 1))
 
 
 def _cells(point: Column) -> Column:
-    """The point's own cell and those one step away: counts stay between 0 and 4."""
+    """The point's own cell and those one step away: counts stay between 0 and 2."""
     steps = []
-    for i in range(16):
-        count = F.shiftrightunsigned(point, 4 * i).bitwiseAND(F.lit(15))
-        one = F.shiftleft(F.lit(1).cast("bigint"), 4 * i)
-        steps += [F.when(count < 4, point + one), F.when(count > 0, point - one)]
+    for i in range(0, 64, 2):
+        count = F.shiftrightunsigned(point, i).bitwiseAND(F.lit(3))
+        low, both = (F.shiftleft(F.lit(bits).cast("bigint"), i) for bits in (1, 3))
+        # In two bits, 0 and 1 differ in the low one, 1 and 2 in both.
+        steps += [F.when(count != 2, point.bitwiseXOR(low)), F.when(count != 0, point.bitwiseXOR(both))]
     return F.filter(F.array(point, *steps), lambda x: x.isNotNull())
 
 
@@ -93,7 +94,9 @@ def near_links(prints: DataFrame) -> DataFrame:
 
     ``prints`` has one column ``fingerprint`` of distinct values.
     """
-    placed = prints.select("fingerprint", F.explode(_cells(segment_counts(F.col("fingerprint")))).alias("cell"))
+    # Each value becomes some fifty rows: spread the work before, not after.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = prints.repartition(parts, "fingerprint").select("fingerprint", F.explode(_cells(segment_counts(F.col("fingerprint")))).alias("cell"))
     shared = (
         placed.groupBy("cell")
         .agg(F.min("fingerprint").alias("least"), F.max("fingerprint").alias("most"))
