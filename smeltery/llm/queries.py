@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import chat, langid, pii, simhash
+from smeltery.llm import chat, langid, pii, repeats, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +114,13 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     network = langid.train(docs.where(~held_out(F.col("doc_id"))))
     found = langid.predict(docs.select("doc_id", "text"), network)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op1_substring_dedup")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.deduplicate(table(spark, folder, "documents")).drop("kept")
+
+
+@query("op9_maximal_repeats")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.deduplicate(table(spark, folder, "documents")).drop("kept")
