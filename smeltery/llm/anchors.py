@@ -106,17 +106,10 @@ def cut_segments(codes: np.ndarray, first: np.ndarray, cut: Cut):
     stops = np.flatnonzero(change | ~valid)
     following = np.append(stops, total)[np.searchsorted(stops, heads, "right")]
     doc = owner[heads]
-    content = _span_hashes(codes, heads, following + cut.window - 1)
+    content = texts.span_hashes(codes, heads, following + cut.window - 1)
     return doc, heads - first[doc], following - heads, grams[place[heads]], content
 
 
-def _span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    power, inverse = texts._powers(1 << max(20, int(len(codes)).bit_length()))
-    sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * power[: len(codes)], out=sums[1:])
-    return texts.mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-
-
 def _sorted_runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of rows by columns, the first counting most, and where the first column changes."""
     order = np.lexsort(columns[::-1])

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import chat, langid, pii, repeats, simhash, substrings
+from smeltery.llm import chat, langid, pieces, pii, repeats, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -124,3 +124,17 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_maximal_repeats")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.deduplicate(table(spark, folder, "documents")).drop("kept")
+
+
+@query("op10_sampled_pieces")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    model = pieces.load()
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = pieces.decode(pieces.encode(docs, model), model)
+    return out.select(
+        "doc_id",
+        (F.length("piece_ids") / 4).cast("bigint").alias("n_pieces"),
+        F.sha2("piece_ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )

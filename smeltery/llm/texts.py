@@ -82,16 +82,33 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def span_sums(codes: np.ndarray) -> np.ndarray:
+    """Sums of code * factor^position over prefixes, for ``sum_hashes``."""
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes * _tables(len(codes))[0][: len(codes)], out=sums[1:])
+    return sums
+
+
+def sum_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each span, equal for equal codes wherever they stand.
+
+    A difference of sums, shifted to position 0, is a polynomial of the span alone, modulo 2^64.
+    """
+    inverse = _tables(len(sums) - 1)[1]
+    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return sum_hashes(span_sums(codes), starts, ends)
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word, equal for equal words wherever they stand."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    # Sums of code * factor^position over prefixes; a difference, shifted to position 0, is a
-    # polynomial of the word alone, modulo 2^64.
-    power, inverse = _powers(1 << max(20, int(len(data)).bit_length()))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_CODES[data] * power[: len(data)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return span_hashes(BYTE_CODES[data], starts, ends)
+
+
+def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(1 << max(20, n.bit_length()))
 
 
 def rolling(values: np.ndarray, width: int) -> np.ndarray:
