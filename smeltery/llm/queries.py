@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import chat, langid, pieces, pii, repeats, simhash, substrings
+from smeltery.llm import chat, contamination, langid, pieces, pii, repeats, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -138,3 +138,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
     )
+
+
+@query("op6_benchmark_leaks")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
