@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.llm import texts
+from smeltery.llm.words import Terms, hashes_of, plain_words, words_of
 
 BLOCK_ITEMS = 256
 TERMS = 16
@@ -37,23 +38,6 @@ COSINE = 0.35
 SAME = 0.8
 SIMILAR = 0.6
 
-# Letters in lower case; ASCII punctuation and blanks as blanks.
-_PLAIN = np.arange(256, dtype=np.uint8)
-_PLAIN[65:91] += 32
-for _low, _high in ((0, 47), (58, 64), (91, 96), (123, 127)):
-    _PLAIN[_low : _high + 1] = 32
-
-
-def plain_words(text: str) -> list[bytes]:
-    return _PLAIN[np.frombuffer(text.encode(), np.uint8)].tobytes().split()
-
-
-def _hashes(words: list[bytes]) -> np.ndarray:
-    data = np.frombuffer(b"".join(words), np.uint8)
-    ends = np.cumsum([len(w) for w in words], dtype=np.int64)
-    return texts.word_hashes(data, ends - [len(w) for w in words], ends) if words else np.zeros(0, np.uint64)
-
-
 def common_subsequence(masks: dict, size: int, words) -> int:
     """Length of the longest common subsequence; ``masks`` has the places of each word as bits."""
     full = (1 << size) - 1
@@ -83,44 +67,15 @@ class Item:
 
 
 def make_item(item_id: int, text: str) -> Item | None:
-    words = _hashes(plain_words(text)).tolist()
+    words = hashes_of(plain_words(text)).tolist()
     if not words:
         return None
     cue = re.search(r"answer\s*:(.*)", text, re.I | re.S)
-    answer = _hashes(plain_words(cue[1])).tolist() if cue else []
+    answer = hashes_of(plain_words(cue[1])).tolist() if cue else []
     answer = answer or words[-max(1, len(words) // 5) :]
     return Item(item_id, words, _masks(words), answer, _masks(answer))
 
 
-@dataclass(frozen=True)
-class Terms:
-    hashes: np.ndarray  # sorted
-    filter: np.ndarray
-
-    @staticmethod
-    def of(hashes: np.ndarray) -> "Terms":
-        hashes = np.unique(hashes)
-        some = np.zeros(1 << 22, bool)
-        some[(hashes & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
-        return Terms(hashes, np.packbits(some))
-
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in ``hashes`` that hold a term, and which."""
-        low = (hashes & np.uint64((1 << 22) - 1)).astype(np.int64)
-        likely = np.flatnonzero(self.filter[low >> 3] >> (7 - (low & 7)).astype(np.uint8) & 1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes[likely]), len(self.hashes) - 1)
-        real = self.hashes[at] == hashes[likely]
-        return likely[real], at[real]
-
-
-def _words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, and the index of each text's first (one more at the end)."""
-    data, bounds = texts.flat(column)
-    data = _PLAIN[data]
-    starts, ends, first = texts.word_spans(data, bounds)
-    return texts.word_hashes(data, starts, ends), first
-
-
 def _frequencies(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
     """Number of documents, and of those that hold each term."""
     size = len(terms.hashes)
@@ -129,7 +84,7 @@ def _frequencies(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
         counts = np.zeros(size + 1, np.int64)
         for whole in batches:
             for batch in texts.groups(whole, "text"):
-                words, first = _words_of(batch.column(1))
+                words, first = words_of(batch.column(1))
                 places, term = terms.find(words)
                 doc = np.searchsorted(first, places, "right") - 1
                 held = np.unique(doc * size + term) % size
@@ -170,7 +125,7 @@ def _sketch(docs: DataFrame, terms: Terms, test: np.ndarray, block: int) -> np.n
         total = np.zeros(test.shape, np.float64)
         for whole in batches:
             for batch in texts.groups(whole, "text"):
-                words, first = _words_of(batch.column(1))
+                words, first = words_of(batch.column(1))
                 places, term = terms.find(words)
                 if not len(places):
                     continue
@@ -252,7 +207,7 @@ def _search_block(docs: DataFrame, key: str, items: list[Item]) -> DataFrame:
         for whole in batches:
             out: list[tuple] = []
             for batch in texts.groups(whole, "text"):
-                words, first = _words_of(batch.column(1))
+                words, first = words_of(batch.column(1))
                 places, term = terms.find(words)
                 if not len(places):
                     continue

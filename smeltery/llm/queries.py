@@ -11,7 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smeltery.llm import chat, contamination, langid, pieces, pii, repeats, simhash, substrings
+from smeltery.llm import (
+    chat,
+    contamination,
+    langid,
+    licenses,
+    neighbours,
+    pieces,
+    pii,
+    repeats,
+    simhash,
+    substrings,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -143,3 +154,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_benchmark_leaks")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op4_embedding_groups")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op5_license_matches")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.find(table(spark, folder, "documents"))

@@ -22,7 +22,7 @@ def brute(docs, items):
     block = max(32, -(-max(len(m.words) for m in made) // 2))
     held = set()
     for k, text in docs:
-        words = c._hashes(c.plain_words(text or "")).tolist()
+        words = c.hashes_of(c.plain_words(text or "")).tolist()
         for start in range(0, len(words), block):
             read = words[start : start + 3 * block]
             for m in made:
