@@ -84,7 +84,7 @@ def _frequencies(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
         counts = np.zeros(size + 1, np.int64)
         for whole in batches:
             for batch in texts.groups(whole, "text"):
-                words, first = words_of(batch.column(1))
+                words, first = words_of(batch.column(0))
                 places, term = terms.find(words)
                 doc = np.searchsorted(first, places, "right") - 1
                 held = np.unique(doc * size + term) % size
@@ -117,6 +117,13 @@ def _passages(places: np.ndarray, term: np.ndarray, first: np.ndarray, block: in
     return np.cumsum(new) - 1, term, doc[new], at[new]
 
 
+def _runs(passage: np.ndarray, most: int = 4096) -> Iterator[tuple[np.ndarray, int, int]]:
+    """Where passages begin, some at a time, and the first and last place of these."""
+    edges = np.flatnonzero(np.diff(passage, prepend=-1))
+    for a in range(0, len(edges), most):
+        yield edges[a : a + most], edges[a], edges[a + most] if a + most < len(edges) else len(passage)
+
+
 def _sketch(docs: DataFrame, terms: Terms, test: np.ndarray, block: int) -> np.ndarray:
     """``T'T test`` with T the term counts of all passages, added up over tasks."""
     width = test.shape[1]
@@ -125,16 +132,13 @@ def _sketch(docs: DataFrame, terms: Terms, test: np.ndarray, block: int) -> np.n
         total = np.zeros(test.shape, np.float64)
         for whole in batches:
             for batch in texts.groups(whole, "text"):
-                words, first = words_of(batch.column(1))
+                words, first = words_of(batch.column(0))
                 places, term = terms.find(words)
                 if not len(places):
                     continue
                 passage, term, _, _ = _passages(places, term, first, block)
-                edges = np.flatnonzero(np.diff(passage, prepend=-1))
-                for a in range(0, len(edges), 4096):
-                    low = edges[a]
-                    high = edges[a + 4096] if a + 4096 < len(edges) else len(passage)
-                    heard = np.add.reduceat(test[term[low:high]], edges[a : a + 4096] - low, axis=0)
+                for edges, low, high in _runs(passage):
+                    heard = np.add.reduceat(test[term[low:high]], edges - low, axis=0)
                     order = np.argsort(term[low:high], kind="stable")
                     own = term[low:high][order]
                     heads = np.flatnonzero(np.diff(own, prepend=-1))
@@ -176,7 +180,8 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(size > 0, size, 1)
 
 
-def _search_block(docs: DataFrame, key: str, items: list[Item]) -> DataFrame:
+def _searcher(docs: DataFrame, items: list[Item]):
+    """A function that finds items in a column of texts; ``docs`` have the corpus as ``text``."""
     everything = Terms.of(np.array([w for i in items for w in i.words], np.uint64))
     n_docs, held = _frequencies(docs, everything)
     rarity = np.log((n_docs + 1) / (held + 1)) + 1e-3
@@ -203,42 +208,46 @@ def _search_block(docs: DataFrame, key: str, items: list[Item]) -> DataFrame:
     basis = latent_basis(corpus + own, test).astype(np.float32)
     targets = _unit(_unit(known) @ basis).astype(np.float32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            out: list[tuple] = []
-            for batch in texts.groups(whole, "text"):
-                words, first = words_of(batch.column(1))
-                places, term = terms.find(words)
-                if not len(places):
+    def held_by(column: pa.Array) -> dict[tuple[int, int], tuple]:
+        """Shares and cosine of the best passage for each text and item that it holds."""
+        words, first = words_of(column)
+        places, term = terms.find(words)
+        best: dict[tuple[int, int], tuple] = {}
+        if not len(places):
+            return best
+        passage, term, doc, at = _passages(places, term, first, block)
+        weights = rarity[term].astype(np.float32)
+        for edges, low, high in _runs(passage):
+            heard = weights[low:high, None] * basis[term[low:high]]
+            near = _unit(np.add.reduceat(heard, edges - low, axis=0)) @ targets.T
+            for row, number in zip(*np.nonzero(near >= COSINE)):
+                where = passage[edges[row]]
+                d, item = int(doc[where]), items[number]
+                start = int(first[d] + at[where] * block)
+                read = words[start : min(start + 3 * block, int(first[d + 1]))].tolist()
+                share = common_subsequence(item.masks, len(item.words), read) / len(item.words)
+                if share < SIMILAR:
                     continue
-                passage, term, doc, at = _passages(places, term, first, block)
-                weights = (rarity[term]).astype(np.float32)
-                edges = np.flatnonzero(np.diff(passage, prepend=-1))
-                best: dict[tuple[int, int], tuple] = {}
-                for a in range(0, len(edges), 4096):
-                    low = edges[a]
-                    high = edges[a + 4096] if a + 4096 < len(edges) else len(passage)
-                    latent = _unit(np.add.reduceat(weights[low:high, None] * basis[term[low:high]], edges[a : a + 4096] - low, axis=0))
-                    near = latent @ targets.T
-                    for row, number in zip(*np.nonzero(near >= COSINE)):
-                        d, item = int(doc[a + row]), items[number]
-                        start = int(first[d] + at[a + row] * block)
-                        read = words[start : min(start + 3 * block, int(first[d + 1]))].tolist()
-                        share = common_subsequence(item.masks, len(item.words), read) / len(item.words)
-                        if share < SIMILAR:
-                            continue
-                        answer = common_subsequence(item.answer_masks, len(item.answer), read) / len(item.answer)
-                        if share >= SAME or answer >= SIMILAR:
-                            found = (share, answer, float(near[row, number]))
-                            best[d, number] = max(best.get((d, number), found), found)
-                ids = batch.column(0)
-                out += [(ids[d].as_py(), items[n].item_id, *found) for (d, n), found in sorted(best.items())]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*out)], names)
+                answer = common_subsequence(item.answer_masks, len(item.answer), read) / len(item.answer)
+                if share >= SAME or answer >= SIMILAR:
+                    found = (share, answer, float(near[row, number]))
+                    best[d, number] = max(best.get((d, number), found), found)
+        return best
 
-    names = [key, "item_id", "lcs_share", "answer_share", "cosine"]
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.mapInArrow(run, f"`{key}` {kind}, item_id bigint, lcs_share double, answer_share double, cosine double")
+    return held_by
+
+
+def _searchers(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str) -> Iterator:
+    """One for each block of items, and its items; the query set is read a block at a time."""
+    corpus, held = docs.select(F.col(text).cast("string").alias("text")), []
+    for number, value in benchmark.select(F.col(item).cast("bigint"), F.col(item_text).cast("string")).toLocalIterator():
+        made = make_item(number, value or "")
+        held += [made] if made else []
+        if len(held) == BLOCK_ITEMS:
+            yield _searcher(corpus, held), held
+            held = []
+    if held:
+        yield _searcher(corpus, held), held
 
 
 def find_leaks(
@@ -250,16 +259,38 @@ def find_leaks(
     null or blank items are held by nothing. A repeated row gives its results again; items that
     repeat give one result each. An empty table on either side gives an empty result.
     """
+    names = [key, "item_id", "lcs_share", "answer_share", "cosine"]
+    kind = docs.schema[key].dataType.simpleString()
+    schema = f"`{key}` {kind}, item_id bigint, lcs_share double, answer_share double, cosine double"
     rows = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("text"))
-    empty = rows.select(
-        key, F.lit(0).cast("bigint").alias("item_id"),
-        *[F.lit(0.0).alias(n) for n in ("lcs_share", "answer_share", "cosine")],
-    ).where(F.lit(False))
-    result, held = empty, []
-    asked = benchmark.select(F.col(item).cast("bigint"), F.col(item_text).cast("string"))
-    for number, value in asked.toLocalIterator():  # the query set, a block at a time
-        made = make_item(number, value or "")
-        held += [made] if made else []
-        if len(held) == BLOCK_ITEMS:
-            result, held = result.unionByName(_search_block(rows, key, held)), []
-    return result.unionByName(_search_block(rows, key, held)) if held else result
+    result = docs.sparkSession.createDataFrame([], schema)
+    for held_by, items in _searchers(docs, benchmark, text, item, item_text):
+
+        def run(batches: Iterator[pa.RecordBatch], held_by=held_by, items=items) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch in texts.groups(whole, "text"):
+                    best, ids = held_by(batch.column(1)), batch.column(0)
+                    out = [(ids[d].as_py(), items[n].item_id, *found) for (d, n), found in sorted(best.items())]
+                    if out:
+                        yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*out)], names)
+
+        result = result.unionByName(rows.mapInArrow(run, schema))
+    return result
+
+
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns."""
+    place, result = docs.columns.index(text), docs
+    for held_by, _ in _searchers(docs, benchmark, text, item, item_text):
+
+        def run(batches: Iterator[pa.RecordBatch], held_by=held_by) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch in texts.groups(whole, text):
+                    clean = np.ones(batch.num_rows, bool)
+                    clean[[d for d, _ in held_by(batch.column(place))]] = False
+                    yield batch.filter(pa.array(clean))
+
+        result = result.mapInArrow(run, docs.schema)
+    return result

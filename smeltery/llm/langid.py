@@ -198,15 +198,20 @@ def train(
     return fit(windows, labels, languages)
 
 
-def predict(docs: DataFrame, network: Network | None, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (0 to 1) added or replaced.
+def predict(
+    docs: DataFrame,
+    network: Network | None,
+    text: str = "text",
+    into: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """``docs`` with the language and its score (0 to 1) added or replaced.
 
     Texts that are null or have no letters are ``und`` with score 0; so is every text where there is
     no network. Rows and other columns stay as they are; an empty table stays empty.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(*into)
     place = docs.columns.index(text)
-    names = [*docs.columns, "lang_pred", "score"]
+    names = [*docs.columns, *into]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = pc.match_substring_regex
@@ -231,4 +236,4 @@ def predict(docs: DataFrame, network: Network | None, text: str = "text") -> Dat
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tongue, pa.string()), score], names)
 
     schema = T.StructType([*docs.schema.fields])
-    return docs.mapInArrow(run, schema.add("lang_pred", T.StringType()).add("score", T.DoubleType()))
+    return docs.mapInArrow(run, schema.add(into[0], T.StringType()).add(into[1], T.DoubleType()))

@@ -187,17 +187,22 @@ def decode_group(model: Model, ids: np.ndarray, bounds: np.ndarray) -> list[byte
 
 
 def encode(
-    docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", seed: int = SEED
+    docs: DataFrame,
+    model: Model,
+    key: str = "doc_id",
+    text: str = "text",
+    seed: int = SEED,
+    into: str = "piece_ids",
 ) -> DataFrame:
-    """``docs`` with ``piece_ids`` added or replaced: 32-bit numbers, little-endian, in one binary value.
+    """``docs`` with ``into`` added or replaced: 32-bit numbers, little-endian, in one binary value.
 
     A null text has null ids, an empty one none. Rows that repeat a key draw the same numbers; a null
     key is a key like any other. Rows and other columns stay as they are.
     """
-    docs = docs.drop("piece_ids")
+    docs = docs.drop(into)
     place = docs.columns.index(text)
-    keyed = docs.withColumn("sampling_key", F.xxhash64(F.lit(seed), F.col(key)))
-    names = [*docs.columns, "piece_ids"]
+    keyed = docs.withColumn(texts.fresh(docs, "sampling_key"), F.xxhash64(F.lit(seed), F.col(key)))
+    names = [*docs.columns, into]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -209,7 +214,7 @@ def encode(
                 made = [None if v is None else data[a:b] for v, a, b in zip(values, at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, pa.binary())], names)
 
-    return keyed.mapInArrow(run, T.StructType([*docs.schema.fields]).add("piece_ids", T.BinaryType()))
+    return keyed.mapInArrow(run, T.StructType([*docs.schema.fields]).add(into, T.BinaryType()))
 
 
 def decode(docs: DataFrame, model: Model, ids: str = "piece_ids", text: str = "decoded") -> DataFrame:

@@ -23,8 +23,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smeltery.llm.graph import components
+from smeltery.llm.texts import fresh
 from smeltery.sources.folders import written
 
 SEED = 42
@@ -56,19 +58,19 @@ def fingerprint(text: bytes, width: int = 3) -> int:
     return int(np.packbits(2 * counts > total, bitorder="little").view("<i8")[0])
 
 
-def with_fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
-    """``key`` and ``fingerprint`` of each row; other columns are left out."""
+def with_fingerprint(docs: DataFrame, text: str = "text", width: int = 3, into: str = "fingerprint") -> DataFrame:
+    """``docs`` with the fingerprint of each row's text added or replaced."""
+    docs = docs.drop(into)
+    place = docs.columns.index(text)
+    names = [*docs.columns, into]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary())
+            texts = batch.column(place).cast(pa.large_binary())
             prints = [fingerprint(t.as_py() or b"", width) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints, pa.int64())], [key, "fingerprint"]
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints, pa.int64())], names)
 
-    rows = docs.select(F.col(key).cast("bigint").alias(key), F.col(text).cast("string").alias(text))
-    return rows.mapInArrow(run, f"`{key}` bigint, fingerprint bigint")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields]).add(into, T.LongType()))
 
 
 def segment_counts(fingerprint: Column) -> Column:
@@ -112,6 +114,22 @@ def near_links(prints: DataFrame) -> DataFrame:
     return reached.select(F.col("fingerprint").alias("a"), least.alias("b")).where("a <> b").distinct()
 
 
+def groups_of(prints: DataFrame, key: str) -> DataFrame:
+    """``fingerprint, component_id`` for each fingerprint of ``key, fingerprint``."""
+    distinct = prints.groupBy("fingerprint").agg(F.min(key).alias("first"))
+    groups = components(near_links(distinct.select("fingerprint")))
+    named = distinct.join(groups, F.col("fingerprint") == F.col("node"), "left").withColumn(
+        "component", F.coalesce("component", "fingerprint")
+    )
+    names = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    return written(named.join(names, "component").select("fingerprint", "component_id"), "groups")
+
+
+def _prints(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
+    rows = docs.select(F.col(key).cast("bigint").alias(key), F.col(text).cast("string").alias(text))
+    return written(with_fingerprint(rows, text, width).select(key, "fingerprint"), "fingerprints")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
     """``key, fingerprint, component_id``: the smallest key that links of two bits or less reach.
 
@@ -119,15 +137,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     keys give as many rows as went in; null keys belong to groups but never name one (a group of
     null keys alone has a null name). An empty table gives an empty table.
     """
-    prints = written(with_fingerprint(docs, key, text, width), "fingerprints")
-    distinct = prints.groupBy("fingerprint").agg(F.min(key).alias("first"))
-    groups = components(near_links(distinct.select("fingerprint")))
-    named = distinct.join(groups, F.col("fingerprint") == F.col("node"), "left").withColumn(
-        "component", F.coalesce("component", "fingerprint")
+    prints = _prints(docs, key, text, width)
+    return prints.join(groups_of(prints, key), "fingerprint").select(key, "fingerprint", "component_id")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
+    """The row with the smallest key of each group of near-duplicates, with all its columns.
+
+    A null key comes last; of rows with one key, the one whose text has the smallest hash stays, and
+    of rows that also agree in this any one.
+    """
+    groups = groups_of(_prints(docs, key, text, width), key)
+    own, group = fresh(docs, "fingerprint"), fresh(docs, "component_id")
+    rows = with_fingerprint(docs, text, width, own).join(groups.toDF(own, group), own)
+    first = Window.partitionBy(group, F.when(F.col(group).isNull(), F.col(own))).orderBy(
+        F.col(key).asc_nulls_last(), F.xxhash64(text)
     )
-    names = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    known = written(named.join(names, "component").select("fingerprint", "component_id"), "groups")
-    return prints.join(known, "fingerprint").select(key, "fingerprint", "component_id")
+    place = fresh(rows, "place")
+    return rows.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*docs.columns)
 
 
 def hexadecimal(fingerprint: Column) -> Column:

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 #: Texts are handled in groups of about so many bytes; a longer text is a group of its own.
 GROUP_BYTES = 2 << 20
@@ -20,6 +21,14 @@ BYTE_CODES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as make it differ from all columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts of a column as one byte array, and the offset of each (one more at the end)."""
     column = pc.fill_null(column.cast(pa.large_binary()), b"")
