@@ -12,6 +12,9 @@ a *segment*; a text has two segments for about every (window - gram) units.
 2. One shuffle by anchor brings the rest together, as numbers without text. Identical segments
    collapse again; anchors that only one segment has are dropped. What remains, distinct segments
    around one anchor, is *disputed*: parts of them may be equal, and only their texts can tell.
+   An anchor inside a passage that a large share of all documents hold, each in a context of its own,
+   would bring all of them together. Such anchors are counted beforehand; their segments are split
+   into single windows, which meet by their own content and collapse like identical segments.
 3. The texts of disputed segments, and no others, are cut from their documents and brought to
    *shards* by anchor, where an operator compares them.
 
@@ -38,6 +41,11 @@ PIECE = 1 << 21
 #: Segments that a task holds before it collapses and sends them.
 HELD = 1 << 20
 
+#: An anchor with so many different segments in one task is reported as crowded there; the
+#: SPLIT_ANCHORS most crowded are split. Others hold at most CROWD of HELD segments of any task.
+CROWD = 64
+SPLIT_ANCHORS = 100_000
+
 SEGMENT = "key bigint, content int, rank bigint, twin bigint, first bigint, windows int"
 
 
@@ -142,22 +150,22 @@ def _collapse(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     yield _rows(LATER, rows | {"key": spread}, late)
 
 
-def segments(docs: DataFrame, cut: Cut) -> DataFrame:
-    """Collapsed segments of all documents: ``kind`` and the columns of SEGMENT."""
+def _held_segments(docs: DataFrame, cut: Cut, split: np.ndarray, use: Callable, schema: str) -> DataFrame:
+    """What ``use`` makes of the segments that a task holds, some at a time."""
+    names = ("key", "content", "rank", "twin", "first", "windows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         count = 0
 
         def flush():
-            names = ("key", "content", "rank", "twin", "first", "windows")
-            yield from _collapse({n: np.concatenate(x) for n, x in zip(names, zip(*held))})
+            return use({n: np.concatenate(x) for n, x in zip(names, zip(*held))})
 
         for whole in batches:
             for batch in texts.groups(whole, "text"):
                 data, bounds = texts.flat(batch.column(2))
                 codes, first = cut.units(data, bounds)
-                doc, start, windows, key, content = cut_segments(codes, first, cut)
+                doc, start, windows, key, content = _split(cut_segments(codes, first, cut), split, codes, first, cut)
                 rank = batch.column(0).to_numpy(zero_copy_only=False)
                 twin = batch.column(1).to_numpy(zero_copy_only=False)
                 held.append((
@@ -171,7 +179,45 @@ def segments(docs: DataFrame, cut: Cut) -> DataFrame:
         if held:
             yield from flush()
 
-    return docs.mapInArrow(run, f"kind tinyint, {SEGMENT}")
+    return docs.mapInArrow(run, schema)
+
+
+def _split(found: tuple, split: np.ndarray, codes: np.ndarray, first: np.ndarray, cut: Cut) -> tuple:
+    """Segments whose anchor is in ``split`` as single windows, keyed by what they hold."""
+    doc, start, windows, key, content = found
+    busy = np.isin(key, split)
+    if not busy.any():
+        return found
+    counts = windows[busy]
+    each = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    owner, begin = np.repeat(doc[busy], counts), np.repeat(start[busy], counts) + each
+    place = first[owner] + begin
+    single = texts.span_hashes(codes, place, place + cut.window)
+    parts = (owner, begin, np.ones(len(owner), np.int64), single, np.repeat(key[busy], counts))
+    return tuple(np.concatenate((old[~busy], new)) for old, new in zip(found, parts))
+
+
+def crowded_anchors(docs: DataFrame, cut: Cut) -> np.ndarray:
+    """Anchors to split: the ones with the most different segments, of those that crowd any task."""
+
+    def report(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(rows["key"], kind="stable")
+        key, content = rows["key"][order], rows["content"][order]
+        edges = np.flatnonzero(np.diff(key, prepend=~key[:1]))
+        sizes = np.diff(np.append(edges, len(key)))
+        many = [(e, e + n) for e, n in zip(edges[sizes >= CROWD], sizes[sizes >= CROWD])]
+        found = [(int(key[a]), n) for a, b in many if (n := len(np.unique(content[a:b]))) >= CROWD]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*found)], ["key", "n"])
+
+    counted = _held_segments(docs, cut, np.zeros(0, np.uint64), report, "key bigint, n bigint")
+    top = counted.groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(SPLIT_ANCHORS)
+    return np.sort(np.array([r.key for r in top.collect()], np.int64).astype(np.uint64))
+
+
+def segments(docs: DataFrame, cut: Cut) -> DataFrame:
+    """Collapsed segments of all documents: ``kind`` and the columns of SEGMENT."""
+    return _held_segments(docs, cut, crowded_anchors(docs, cut), _collapse, f"kind tinyint, {SEGMENT}")
 
 
 def settled(found: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from smeltery.llm import repeats, substrings
+from smeltery.llm import anchors, repeats, substrings
 from smeltery.llm.queries import QUERIES
 
 
@@ -69,6 +69,22 @@ def tangled():
     return docs
 
 
+def test_crowded_anchors_are_split(spark):
+    rng = np.random.default_rng(12)
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = [(k, " ".join(map(str, rng.integers(0, 9999, 30))) + f" {passage} " + " ".join(map(str, rng.integers(0, 9999, 30)))) for k in range(400)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    own = anchors.documents(frame, "doc_id", "text")
+    for cut, brute, module in (
+        (anchors.Cut(True, 20, 8), by_words, substrings), (anchors.Cut(False, 100, 32), by_bytes, repeats)
+    ):
+        split = anchors.crowded_anchors(own.once, cut)
+        assert 0 < len(split) < 20
+        kinds = anchors.settled(anchors.segments(own.once, cut)).groupBy("kind", "key").count()
+        assert kinds.where("kind = 3 and count >= 192").isEmpty()
+        assert sorted(tuple(r) for r in module.deduplicate(frame).drop("kept").collect()) == brute(docs)
+
+
 @pytest.mark.parametrize("window, gram", [(4, 2), (5, 5), (7, 3), (20, 8)])
 def test_tangled_words(spark, tangled, window, gram):
     frame = spark.createDataFrame(tangled, "doc_id bigint, text string").repartition(5)
