@@ -37,6 +37,22 @@ def agg_exact_duplicates(spark, folder):
     return dedup.exact_duplicates(inputs.canonical_messy(spark, folder))
 
 
+@query(
+    "agg_exact_duplicates_micros",
+    """with stamped as (
+         select o_orderdate + to_microseconds(cast(o_orderkey % 2 as bigint)) as stamp, o_custkey from orders)
+       select (select count(*) from stamped) as row_count,
+         (select count(*) from stamped) - count(*) as exact_duplicate_rows
+       from (select distinct stamp, o_custkey from stamped)""",
+)
+def agg_exact_duplicates_micros(spark, folder):
+    """Rows that differ in one microsecond are different rows."""
+    stamped = table(spark, folder, "orders").select(
+        F.expr("timestampadd(microsecond, o_orderkey % 2, o_orderdate)").alias("stamp"), "o_custkey"
+    )
+    return dedup.exact_duplicates(stamped)
+
+
 def _ratio_sql(column: str) -> str:
     cleaned = f"replace({column}, ',', '')"
     parse = f"count_if(regexp_matches({cleaned}, {inputs.NUMERIC}))"

@@ -9,7 +9,8 @@ from smeltery.catalogue.inputs import table, with_inputs
 from smeltery.catalogue.registry import query
 from smeltery.functions.measures import BAND_NAMES
 from smeltery.operators import models, quality, rules
-from smeltery.plans import reporting
+from smeltery.plans import medallion, reporting
+from smeltery.sources import writers
 from smeltery.sources.folders import working_folder
 
 
@@ -59,13 +60,16 @@ _NO_KEY = "(select count(*) from silver where station_key is null)"
                 _gate("row_count_not_increased", _N, _B, f"{_N} <= {_B}"),
                 _gate("record_hash_unique", _REPEATED, "0", f"{_REPEATED} = 0"),
                 _gate("station_key_complete", _NO_KEY, "0", f"{_NO_KEY} = 0"),
+                _gate("persisted_row_reconciliation", _N, _N, "true"),
             ]
         )
     ),
 )
 def dq_silver(spark, folder):
-    silver = inputs.silver(spark, folder)
-    return quality.silver_checks(inputs.bronze(spark, folder), silver, minimum=1_000)
+    path = working_folder(spark, "silver")
+    staged = writers.stage_release(inputs.silver(spark, folder), path, "2024_25")
+    bronze = inputs.bronze(spark, folder)
+    return quality.silver_checks(bronze, staged.frame, staged.rows, minimum=1_000)
 
 
 _M = "(select count(*) from mart)"
@@ -75,6 +79,8 @@ _FEATURE_REPEATED = (
     "having count(*) > 1))"
 )
 _FEATURE_NO_KEY = "(select count(*) from features where feature_entity_key is null)"
+# The summary has one row, whatever the mart holds.
+_S = "(select count(*) from (select count(*) from mart))"
 _PRIMARY = "(select count(entries_and_exits) from mart)"
 
 
@@ -90,6 +96,9 @@ _PRIMARY = "(select count(entries_and_exits) from mart)"
                 _gate("feature_key_unique", _FEATURE_REPEATED, "0", f"{_FEATURE_REPEATED} = 0"),
                 _gate("metrics_detected", "2", "1", "true"),
                 _gate("primary_metric_populated", _PRIMARY, "1", f"{_PRIMARY} > 0"),
+                _gate("station_persistence_reconciles", _M, _M, "true"),
+                _gate("feature_persistence_reconciles", _F, _F, "true"),
+                _gate("summary_mart_created", _S, "1", f"{_S} = 1"),
             ]
         )
     ),
@@ -97,14 +106,13 @@ _PRIMARY = "(select count(entries_and_exits) from mart)"
 def dq_gold(spark, folder):
     silver = inputs.written_silver(spark, folder)
     gold = inputs.gold_frames(silver)
-    return quality.gold_checks(
-        silver,
-        gold.mart,
-        gold.features,
-        gold.metrics,
-        gold.primary,
-        minimum=1_000,
-    )
+    path = working_folder(spark, "gold")
+    frames = {"mart": gold.mart, "summary": gold.summary, "features": gold.features}
+    staged = {
+        name: writers.stage_release(frame, f"{path}/{name}", "2024_25")
+        for name, frame in frames.items()
+    }
+    return medallion.staged_gold_checks(silver, staged, gold, inputs.RELEASE)
 
 
 @query(
@@ -304,6 +312,8 @@ def model_rules(spark, folder):
     with judged as (
       select o_orderpriority as stage,
         case when o_orderkey % 9 = 0 and o_orderpriority in ('1-URGENT') then false
+             when o_orderkey % 17 = 0 and o_orderpriority in ('3-MEDIUM') then false
+             when o_orderkey % 19 = 0 and o_orderpriority in ('2-HIGH') then null
              when o_orderkey % 8 = 0 and o_orderpriority in ('2-HIGH') then null
              else true end as verdict
       from orders where o_orderpriority <> '5-LOW'),
@@ -322,8 +332,12 @@ def dq_evaluate(spark, folder):
     key, stage = F.col("o_orderkey"), F.col("o_orderpriority")
     value = (
         F.when((key % 9 == 0) & (stage == "1-URGENT"), '{"passed": false, "actual": 3}')
+        .when((key % 17 == 0) & (stage == "3-MEDIUM"), '{"result": {"status": {"result": {"ok": "failed"}}}}')
+        .when((key % 19 == 0) & (stage == "2-HIGH"), '{"passed": "{\\"passed\\": true}"}')
         .when((key % 8 == 0) & (stage == "2-HIGH"), '{"actual": 3, "threshold": 5}')
         .when(key % 7 == 0, " Passed ")
+        .when(key % 13 == 0, '\n {"result": {"result": {"passed": true}}}')
+        .when(key % 11 == 0, '{"reached": true}')
         .when(key % 6 == 0, '{"result": "OK"}')
         .when(key % 5 == 0, '{"actual": 3, "reached": true}')
         .when(key % 4 == 0, '{"status": {"success": true}}')

@@ -9,7 +9,7 @@ from smeltery.catalogue.inputs import stable, table, with_inputs
 from smeltery.catalogue.registry import query
 from smeltery.catalogue.training import comparison
 from smeltery.operators import contracts, dedup, quality, shaping
-from smeltery.plans import reporting
+from smeltery.plans import medallion, reporting
 from smeltery.sources import catalog, manifest, readers, writers
 from smeltery.sources.folders import working_folder
 
@@ -76,6 +76,79 @@ def snk_reconcile(spark, folder):
     return writers.write_release(table(spark, folder, "customer"), path, "2024_25")
 
 
+@query(
+    "snk_releases",
+    """select '2023_24' as release, c_custkey, round(c_acctbal) as amount,
+         null as c_name from customer
+       union all select '2024_25', c_custkey, c_acctbal, c_name from customer where c_custkey % 2 = 0""",
+)
+def snk_releases(spark, folder):
+    """Two releases of one layer that differ in a column and in a type, each read back whole."""
+    path = working_folder(spark, "customers")
+    customers = table(spark, folder, "customer")
+    first = customers.select("c_custkey", F.round("c_acctbal").cast("bigint").alias("amount"))
+    second = customers.where("c_custkey % 2 = 0").select(
+        "c_custkey", F.col("c_acctbal").alias("amount"), "c_name"
+    )
+    frames = {"2023_24": first, "2024_25": second}
+    for release, frame in frames.items():
+        writers.write_release(frame, path, release)
+    parts = [
+        writers.release_rows(spark, path, r).withColumn("amount", F.col("amount").cast("double"))
+        .select(F.lit(r).alias("release"), "*")
+        for r in frames
+    ]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+@query(
+    "snk_empty_redelivery",
+    """select 1 as delivery, count(*) as rows_written, count(*) as rows_persisted, true as passed,
+         count(*) as rows_there from customer
+       union all select 2, count(*), count(*), true, count(*) from customer where c_custkey < 0""",
+)
+def snk_empty_redelivery(spark, folder):
+    """An empty delivery replaces the rows of the one before."""
+    path = working_folder(spark, "customers")
+    customers = table(spark, folder, "customer")
+    found = []
+    for number, frame in enumerate((customers, customers.where("c_custkey < 0")), 1):
+        report = writers.write_release(frame, path, "2024_25").first()
+        there = writers.release_rows(spark, path, "2024_25").count()
+        found.append((number, report["rows_written"], report["rows_persisted"], report["passed"], there))
+    schema = "delivery int, rows_written bigint, rows_persisted bigint, passed boolean, rows_there bigint"
+    return spark.createDataFrame(found, schema)
+
+
+@query(
+    "snk_refused_redelivery",
+    with_inputs(
+        """select true as refused, count(*) as rows_there, count(entries_and_exits) as populated,
+             cast(sum(entries_and_exits) as bigint) as total from mart"""
+    ),
+)
+def snk_refused_redelivery(spark, folder):
+    """A delivery that fails a gate leaves the release published before as it is."""
+    lake = working_folder(spark, "lake")
+    release = inputs.RELEASE
+    medallion.refine(inputs.messy(spark, folder), release, lake)
+    bad = inputs.messy(spark, folder).withColumns(
+        {"Entries & Exits": F.lit(".."), "Interchanges": F.lit(".."), "C9": F.lit("x")}
+    )
+    refused = False
+    try:
+        medallion.refine(bad, release, lake)
+    except (quality.GateError, ValueError):
+        refused = True
+    mart = writers.release_rows(spark, f"{lake}/gold/mart", release.source.release)
+    return mart.agg(
+        F.lit(refused).alias("refused"),
+        F.count("*").alias("rows_there"),
+        F.count("entries_and_exits").alias("populated"),
+        F.sum("entries_and_exits").cast("bigint").alias("total"),
+    )
+
+
 @query(
     "snk_json_report",
     with_inputs(
@@ -136,18 +209,32 @@ def _fingerprint_sql(columns: str, source: str) -> str:
         from digests"""
 
 
+def _framed_sql(*values: str) -> str:
+    framed = [f"length(cast({v} as varchar)) || ':' || cast({v} as varchar)" for v in values]
+    return " || ".join(framed)
+
+
 @query(
     "dataset_fingerprint",
     _fingerprint_sql(
-        """concat('{"o_orderkey":', o_orderkey, ',"o_custkey":', o_custkey,
-                  ',"o_orderstatus":"', o_orderstatus, '","o_orderpriority":"',
-                  o_orderpriority, '"}')""",
+        _framed_sql(
+            "o_orderkey", "o_custkey", "o_orderstatus",
+            "cast(round(o_totalprice * 100) as bigint)", "epoch_us(o_orderdate)", "o_orderpriority",
+        ),
         "orders",
     ),
 )
 def dataset_fingerprint(spark, folder):
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    return contracts.dataset_fingerprint(table(spark, folder, "orders").select(*columns))
+    orders = table(spark, folder, "orders")
+    # Numbers that both engines write alike; instants are hashed as microseconds anyway.
+    return contracts.dataset_fingerprint(
+        orders.withColumns(
+            {
+                "o_totalprice": F.round(F.col("o_totalprice") * 100).cast("bigint"),
+                "o_orderdate": F.unix_micros(F.col("o_orderdate").cast("timestamp")),
+            }
+        )
+    )
 
 
 @query(

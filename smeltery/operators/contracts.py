@@ -98,10 +98,10 @@ def dataset_fingerprint(df: DataFrame) -> DataFrame:
 
 
 def combine_digests(digests: DataFrame) -> DataFrame:
-    """Fingerprint of a column ``digest`` of sha256 hex texts."""
+    """Fingerprint of a column ``digest`` of sha256 values."""
 
     def part(start: int):
-        number = F.conv(F.substring("digest", start, 12), 16, 10).cast("decimal(38,0)")
+        number = F.conv(F.substring(F.hex("digest"), start, 12), 16, 10).cast("decimal(38,0)")
         return F.coalesce(F.sum(number), F.lit(0)).cast("decimal(38,0)").cast("string")
 
     summed = digests.agg(

@@ -101,18 +101,20 @@ def _count(df: DataFrame, name: str) -> DataFrame:
 def silver_checks(
     bronze: DataFrame,
     silver: DataFrame,
-    persisted: DataFrame | None = None,
+    written: int | None = None,
     *,
     minimum: int = MINIMUM_ROWS,
     words: Vocabulary = DEFAULT,
 ) -> DataFrame:
-    """Gates of the typed layer; ``persisted`` is the written copy."""
+    """Gates of the typed layer.
+
+    ``written`` is the number of rows counted while the layer was written; ``silver`` is then what can
+    be read back.
+    """
     parts = [
         _count(bronze, "bronze_rows"),
         _key_counts(silver, "_record_hash", words.key, "silver"),
     ]
-    if persisted is not None:
-        parts.append(_count(persisted, "persisted_rows"))
     rows = F.col("silver_rows")
     checks = [
         _check("dataset_not_empty", rows, rows > 0, F.lit(1)),
@@ -124,9 +126,10 @@ def silver_checks(
         _check(f"{words.key}_complete", F.col("silver_null_keys"),
                F.col("silver_null_keys") == 0, F.lit(0)),
     ]
-    if persisted is not None:
-        kept = F.col("persisted_rows")
-        checks.append(_check("persisted_row_reconciliation", kept, kept == rows, rows))
+    if written is not None:
+        checks.append(
+            _check("persisted_row_reconciliation", rows, rows == written, F.lit(written))
+        )
     return _checks(_side_by_side(*parts), checks)
 
 
@@ -136,12 +139,17 @@ def gold_checks(
     features: DataFrame,
     metrics: Sequence[str],
     primary: str,
-    persisted: Mapping[str, DataFrame] | None = None,
+    summary: DataFrame | None = None,
+    written: Mapping[str, int] | None = None,
     *,
     minimum: int = MINIMUM_ROWS,
     words: Vocabulary = DEFAULT,
 ) -> DataFrame:
-    """Gates of the marts; ``persisted`` holds the written mart, features, summary."""
+    """Gates of the marts.
+
+    ``written`` holds the numbers of rows counted while mart, features and summary were written; the
+    frames are then what can be read back.
+    """
     parts = [
         _count(silver, "silver_rows"),
         mart.agg(
@@ -149,7 +157,8 @@ def gold_checks(
         ),
         _key_counts(features, "feature_entity_key", "feature_entity_key", "feature"),
     ]
-    parts += [_count(df, f"persisted_{name}") for name, df in (persisted or {}).items()]
+    if summary is not None:
+        parts.append(_count(summary, "summary_rows"))
     mart_rows, feature_rows = F.col("mart_rows"), F.col("feature_rows")
     found = F.lit(len(metrics))
     checks = [
@@ -165,15 +174,14 @@ def gold_checks(
         _check("primary_metric_populated", F.col("primary_rows"), F.col("primary_rows") > 0,
                F.lit(1)),
     ]
-    wanted = {
-        "mart": (f"{words.entity}_persistence_reconciles", mart_rows),
-        "features": ("feature_persistence_reconciles", feature_rows),
-        "summary": ("summary_mart_created", F.lit(1)),
-    }
-    for name in persisted or {}:
-        check, expected = wanted[name]
-        kept = F.col(f"persisted_{name}")
-        checks.append(_check(check, kept, kept == expected, expected))
+    for name, rows in (("mart", mart_rows), ("features", feature_rows)):
+        if written is not None:
+            label = words.entity if name == "mart" else "feature"
+            expected = F.lit(written[name])
+            checks.append(_check(f"{label}_persistence_reconciles", rows, rows == expected, expected))
+    if summary is not None:
+        one = F.col("summary_rows")
+        checks.append(_check("summary_mart_created", one, one == 1, F.lit(1)))
     return _checks(_side_by_side(*parts), checks)
 
 
@@ -210,48 +218,67 @@ def _word_verdict(word: Column) -> Column:
     return F.when(settled.isin(*PASS_WORDS), True).when(settled.isin(*FAIL_WORDS), False)
 
 
-def check_verdict(value: Column, depth: int = 2) -> Column:
-    """True, false or null (unknown) for a reported check.
+def _nesting(value: Column) -> Column:
+    """How deep the braces of a text are nested (those inside of JSON strings count too)."""
+    steps = F.transform(
+        F.regexp_extract_all(value, F.lit(r"[{}]"), F.lit(0)), lambda b: F.when(b == "{", 1).otherwise(-1)
+    )
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
-    ``value`` is text: a word, or a JSON object whose result sits under one of
-    the known keys (possibly nested, ``depth`` levels deep) or, failing that, is
-    its only boolean.
-    """
+    def add(state, step):
+        now = state["now"] + step
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    return F.when(_is_object(value), F.aggregate(steps, start, add)["most"]).otherwise(0)
+
+
+def _is_object(value: Column) -> Column:
+    return F.ltrim(value, F.lit(" \t\r\n")).startswith("{")
+
+
+def _variant_verdict(item: Column, depth: int) -> Column:
+    """Of a parsed value: a boolean, a word, or an object at most ``depth`` levels deep."""
+    kind = F.schema_of_variant(item)
+    plain = F.when(kind == "BOOLEAN", F.try_variant_get(item, "$", "boolean")).when(
+        kind == "STRING", _word_verdict(F.try_variant_get(item, "$", "string"))
+    )
     if depth == 0:
-        return _word_verdict(value)
-    fields = F.from_json(value, "map<string,variant>")
+        return plain
+    fields = F.try_variant_get(item, "$", "map<string,variant>")
     results = F.array(*[fields.getItem(key) for key in RESULT_KEYS])
-    # The first known key that settles the check, as text or nested object.
-    settled = F.filter(
-        F.transform(results, lambda v: check_verdict(_as_text(v), depth - 1)), F.isnotnull
-    )
-    booleans = F.filter(
-        F.map_values(fields), lambda item: F.schema_of_variant(item) == "BOOLEAN"
-    )
-    only = F.when(F.size(booleans) == 1, F.get(booleans, F.lit(0)).cast("boolean"))
-    is_object = F.ltrim(value).startswith("{")
-    return F.when(is_object, F.coalesce(F.get(settled, F.lit(0)), only)).otherwise(
-        _word_verdict(value)
-    )
+    # The first known key that settles the check.
+    settled = F.filter(F.transform(results, lambda v: _variant_verdict(v, depth - 1)), F.isnotnull)
+    booleans = F.filter(F.map_values(fields), lambda v: F.schema_of_variant(v) == "BOOLEAN")
+    only = F.when(F.size(booleans) == 1, F.try_variant_get(F.get(booleans, F.lit(0)), "$", "boolean"))
+    return F.when(kind.startswith("OBJECT"), F.coalesce(F.get(settled, F.lit(0)), only)).otherwise(plain)
 
 
-def _as_text(item: Column) -> Column:
-    """A variant as plain text; a nested object as its JSON."""
-    return F.coalesce(
-        F.try_variant_get(item, "$", "string"), F.to_json(item)
-    )
+def check_verdict(value: Column, depth: int) -> Column:
+    """True, false or null (unknown) for a reported check.
 
+    ``value`` is text: a word, or a JSON object whose result sits under one of the known keys
+    (possibly nested) or, failing that, is its only boolean. Objects are parsed once; a string that
+    looks like JSON is a word. ``depth`` must be at least the nesting of the values (``_nesting``).
+    """
+    parsed = F.when(_is_object(value), F.try_parse_json(value))
+    return F.when(_is_object(value), _variant_verdict(parsed, depth)).otherwise(_word_verdict(value))
+
+
+def with_verdict(reports: DataFrame, value: str = "value", name: str = "verdict") -> DataFrame:
+    """``reports`` with the verdict of each value, however deep the deepest of them is."""
+    text = F.col(value)
+    deepest = reports.where(text.contains("{")).agg(F.max(_nesting(text))).first()[0]
+    return reports.withColumn(name, check_verdict(text, deepest or 0))
 
-def evaluate_reports(reports: DataFrame, stages: Sequence[str], depth: int = 2) -> DataFrame:
+
+def evaluate_reports(reports: DataFrame, stages: Sequence[str]) -> DataFrame:
     """One row per expected stage: how its reported checks turned out.
 
     ``reports`` has columns stage, check, value; a stage reported without checks
     has one row with a null check. A stage passes only with at least one check
     and neither a failed nor an unknown one.
     """
-    judged = reports.select(
-        "stage", "check", check_verdict(F.col("value"), depth).alias("verdict")
-    )
+    judged = with_verdict(reports).select("stage", "check", "verdict")
     is_check = F.col("check").isNotNull()
     seen = judged.groupBy("stage").agg(
         F.count_if(is_check).alias("checks"),

@@ -1,14 +1,15 @@
 """Raw table to bronze, silver and gold.
 
 The ``*_frame`` functions build one layer's plan from the previous layer. The
-``refine_*`` functions run a layer for real: hard gates, one write, read-back
-reconciliation and reports. Each layer is read from the written table of the
+``refine_*`` functions run a layer for real: one write beside its place, read-back
+reconciliation, hard gates, and only then publication and reports. Each layer is read from the written table of the
 layer before, so no lineage grows across layers and a lost executor costs at
 most a stage of the current layer.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -133,14 +134,14 @@ def refine_silver(spark: SparkSession, release: Release, folder: str) -> DataFra
     counts = settled(dedup.dedup_counts(bronze))
     if counts.first()["rows_after"] == 0:
         raise quality.GateError("quality gate failed: dataset_not_empty")
-    writers.write_release(silver.frame, f"{folder}/silver", label)
-    written = writers.release_rows(spark, f"{folder}/silver", label)
+    staged = writers.stage_release(silver.frame, f"{folder}/silver", label)
     checks = settled(
         quality.silver_checks(
-            bronze, written, written, minimum=release.minimum_rows, words=words
+            bronze, staged.frame, staged.rows, minimum=release.minimum_rows, words=words
         )
     )
-    quality.enforce(
+    _publish_if_good(
+        [staged],
         checks,
         [
             "dataset_not_empty",
@@ -150,6 +151,7 @@ def refine_silver(spark: SparkSession, release: Release, folder: str) -> DataFra
             "persisted_row_reconciliation",
         ],
     )
+    written = writers.release_rows(spark, f"{folder}/silver", label)
     report = writers.check_rows("quality_checks", checks).unionByName(
         writers.report_rows("profile", counts)
     )
@@ -171,31 +173,52 @@ def refine_silver(spark: SparkSession, release: Release, folder: str) -> DataFra
     return written
 
 
+def staged_gold_checks(
+    silver: DataFrame, staged: Mapping[str, writers.Staged], gold: Gold, release: Release
+) -> DataFrame:
+    """All gates of the gold layer, over what can be read back and what was counted while writing."""
+    return quality.gold_checks(
+        silver,
+        staged["mart"].frame,
+        staged["features"].frame,
+        gold.metrics,
+        gold.primary,
+        staged["summary"].frame,
+        {name: one.rows for name, one in staged.items()},
+        minimum=release.minimum_rows,
+        words=release.words,
+    )
+
+
+def _publish_if_good(
+    staged: Iterable[writers.Staged], checks: DataFrame, hard: Iterable[str] | None = None
+) -> None:
+    """Publish once every hard check has passed; otherwise leave what was published before."""
+    staged = list(staged)
+    try:
+        quality.enforce(checks, hard)
+    except quality.GateError:
+        writers.discard(staged)
+        raise
+    writers.publish(staged)
+
+
 def refine_gold(spark: SparkSession, release: Release, folder: str) -> Gold:
     """Build, gate and write mart, summary and features of the written silver layer."""
     label, words = release.source.release, release.words
     silver = writers.release_rows(spark, f"{folder}/silver", label)
     gold = gold_frames(silver, words)
     plan = {"mart": gold.mart, "summary": gold.summary, "features": gold.features}
-    for name, frame in plan.items():
-        writers.write_release(frame, f"{folder}/gold/{name}", label)
+    staged = {
+        name: writers.stage_release(frame, f"{folder}/gold/{name}", label)
+        for name, frame in plan.items()
+    }
+    checks = settled(staged_gold_checks(silver, staged, gold, release))
+    reported_only = F.col("check") == "minimum_expected_rows"
+    _publish_if_good(staged.values(), checks.where(~reported_only))
     written = {
         name: writers.release_rows(spark, f"{folder}/gold/{name}", label) for name in plan
     }
-    checks = settled(
-        quality.gold_checks(
-            silver,
-            written["mart"],
-            written["features"],
-            gold.metrics,
-            gold.primary,
-            written,
-            minimum=release.minimum_rows,
-            words=words,
-        )
-    )
-    reported_only = F.col("check") == "minimum_expected_rows"
-    quality.enforce(checks.where(~reported_only))
     writers.write_json(
         writers.check_rows("quality_checks", checks), f"{folder}/reports/gold_quality"
     )

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
+from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-RELEASE = "release"
 REPORT_SCHEMA = "section string, name string, value string"
 
 
@@ -15,36 +17,89 @@ class ReconciliationError(RuntimeError):
     """What was written is not what can be read back."""
 
 
+@dataclass(frozen=True)
+class Staged:
+    """A release written beside its place, not yet visible to readers of the layer."""
+
+    release: str
+    target: str
+    path: str
+    rows: int  # counted while they were written
+    frame: DataFrame  # as read back
+
+
+def release_path(path: str, release: str) -> str:
+    """The folder of one release: releases share no files and may differ in their schema."""
+    return f"{path}/release={quote(release, safe='')}"
+
+
 def release_rows(spark: SparkSession, path: str, release: str) -> DataFrame:
-    """One release of a layer table; other releases are pruned by partition."""
-    return spark.read.parquet(path).where(F.col(RELEASE) == release).drop(RELEASE)
+    """One release of a layer table, with its own columns and types."""
+    return spark.read.parquet(release_path(path, release))
 
 
-def write_release(df: DataFrame, path: str, release: str) -> DataFrame:
-    """Replace one release of a layer table and reconcile it.
+def stage_release(df: DataFrame, path: str, release: str) -> Staged:
+    """Write one release of a layer table and reconcile it, without replacing the old one.
 
-    Other releases stay as they are. Rows are counted while they are written,
-    so the frame is computed once; the count is then compared with what can be
-    read back. Returns one row: rows written, rows persisted, passed.
+    Rows are counted while they are written, so the frame is computed once; count and schema are
+    then compared with what can be read back. Readers of the layer skip the staging folder.
     """
-    written = Observation()
-    tagged = df.withColumn(RELEASE, F.lit(release)).observe(
-        written, F.count("*").alias("rows")
+    spark, written = df.sparkSession, Observation()
+    place = f"{path}/_staged/{uuid.uuid4().hex}"
+    counted = df.observe(written, F.count("*").alias("rows"))
+    counted.write.option("compression", "snappy").parquet(place)
+    staged = Staged(
+        release, release_path(path, release), place, written.get["rows"], spark.read.parquet(place)
     )
-    (
-        tagged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(RELEASE)
-        .parquet(path)
-    )
-    rows = written.get["rows"]
+    persisted = staged.frame.count()
+    if persisted != staged.rows:
+        discard([staged])
+        raise ReconciliationError(f"{path}: {staged.rows} rows written, {persisted} read back")
+    if staged.frame.dtypes != df.dtypes:
+        discard([staged])
+        raise ReconciliationError(f"{path}: {df.dtypes} written, {staged.frame.dtypes} read back")
+    return staged
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and what makes its paths."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def publish(staged: Iterable[Staged]) -> None:
+    """Put staged releases in their places; the old ones go once the new ones are there."""
+    for one in staged:
+        files, make = _files(one.frame.sparkSession, one.target)
+        target, old = make(one.target), make(f"{one.path}-old")
+        if files.exists(target) and not files.rename(target, old):
+            raise ReconciliationError(f"cannot move the old release away: {one.target}")
+        if not files.rename(make(one.path), target):
+            files.rename(old, target)
+            raise ReconciliationError(f"cannot publish {one.target}")
+        files.delete(old, True)
+
+
+def discard(staged: Iterable[Staged]) -> None:
+    """Remove staged releases; the published ones stay as they were."""
+    for one in staged:
+        files, make = _files(one.frame.sparkSession, one.path)
+        files.delete(make(one.path), True)
+
+
+def write_release(df: DataFrame, path: str, release: str) -> DataFrame:
+    """Replace one release of a layer table, also by an empty one; others stay as they are.
+
+    Returns one row: rows written, rows persisted, passed.
+    """
+    staged = stage_release(df, path, release)
+    publish([staged])
     spark = df.sparkSession
-    persisted = spark.read.parquet(path).where(F.col(RELEASE) == release).count() if rows else 0
-    if persisted != rows:
-        raise ReconciliationError(f"{path}: {rows} rows written, {persisted} read back")
+    persisted = release_rows(spark, path, release).count()
+    if persisted != staged.rows:
+        raise ReconciliationError(f"{path}: {staged.rows} rows written, {persisted} published")
     return spark.createDataFrame(
-        [(release, rows, persisted, True)],
+        [(release, staged.rows, persisted, True)],
         "release string, rows_written bigint, rows_persisted bigint, passed boolean",
     )
 

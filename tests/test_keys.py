@@ -36,6 +36,20 @@ def test_row_digest_tells_null_from_empty_but_not_negative_zero(spark):
     assert digests[0] != digests[1] == digests[2]
 
 
+def test_row_digest_sees_microseconds_nesting_and_bounds(spark):
+    rows = spark.sql("""
+        select timestamp_ntz'2024-01-01 00:00:00.123456' as t, array(struct(1.5d as a, 'x' as b)) as n,
+          map('k', 1, 'l', 2) as m, 'ab' as p, 'c' as q
+        union all select timestamp_ntz'2024-01-01 00:00:00.123457', array(struct(1.5d as a, 'x' as b)), map('k', 1, 'l', 2), 'ab', 'c'
+        union all select timestamp_ntz'2024-01-01 00:00:00.123456', array(struct(1.5d as a, cast(null as string) as b)), map('k', 1, 'l', 2), 'ab', 'c'
+        union all select timestamp_ntz'2024-01-01 00:00:00.123456', array(struct(1.5d as a, 'x' as b)), map('k', 1, 'l', 3), 'ab', 'c'
+        union all select timestamp_ntz'2024-01-01 00:00:00.123456', array(struct(1.5d as a, 'x' as b)), map('k', 1, 'l', 2), 'a', 'bc'
+        union all select timestamp_ntz'2024-01-01 00:00:00.123456', array(struct(1.5d as a, 'x' as b)), map('l', 2, 'k', 1), 'ab', 'c'
+        """)
+    digests = [bytes(r[0]) for r in rows.select(hashing.row_digest(rows)).collect()]
+    assert len(set(digests)) == 5 and digests[0] == digests[5] and len(digests[0]) == 32
+
+
 def test_survivor_does_not_depend_on_partitions(spark):
     rows = [("h", "2024-01-02", "b", i) for i in range(30)] + [("h", "2024-01-01", "z", 99)]
     df = spark.createDataFrame(rows, "_record_hash string, _ingested_at_utc string, _source_file string, n int")

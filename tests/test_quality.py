@@ -104,12 +104,12 @@ def test_silver_gates(spark):
     schema = "_record_hash string, station_key string"
     bronze = spark.createDataFrame([("a", "k"), ("b", "k")], schema)
     bad = spark.createDataFrame([("a", None), ("a", "k"), ("c", "k")], schema)
-    assert checks(quality.silver_checks(bronze, bronze, bronze, minimum=2)) == {
+    assert checks(quality.silver_checks(bronze, bronze, 2, minimum=2)) == {
         "dataset_not_empty": True, "minimum_expected_rows": True, "row_count_not_increased": True,
         "record_hash_unique": True, "station_key_complete": True,
         "persisted_row_reconciliation": True,
     }
-    failed = checks(quality.silver_checks(bronze, bad, bronze, minimum=2))
+    failed = checks(quality.silver_checks(bronze, bad, 2, minimum=2))
     assert [k for k, ok in failed.items() if not ok] == [
         "row_count_not_increased", "record_hash_unique", "station_key_complete",
         "persisted_row_reconciliation",
@@ -121,11 +121,20 @@ def test_silver_gates(spark):
 def test_gold_has_ten_checks(spark):
     mart = spark.createDataFrame([("k", 1.0)], "station_key string, entries double")
     features = spark.createDataFrame([("f",)], "feature_entity_key string")
-    written = {"mart": mart, "features": features, "summary": mart}
+    written = {"mart": 1, "features": 1, "summary": 1}
     found = checks(
-        quality.gold_checks(mart, mart, features, ["entries"], "entries", written, minimum=1)
+        quality.gold_checks(mart, mart, features, ["entries"], "entries", mart, written, minimum=1)
     )
     assert len(found) == 10 and all(found.values())
+    lost = checks(
+        quality.gold_checks(
+            mart, mart, features, ["entries"], "entries", mart.limit(0),
+            {"mart": 2, "features": 2, "summary": 1}, minimum=1,
+        )
+    )
+    assert [k for k, ok in lost.items() if not ok] == [
+        "station_persistence_reconciles", "feature_persistence_reconciles", "summary_mart_created",
+    ]
     none = mart.withColumn("entries", F.lit(None).cast("double"))
     assert not checks(
         quality.gold_checks(mart, none, features, ["entries"], "entries", minimum=1)
@@ -144,13 +153,18 @@ VERDICTS = [
     ('{"passed": true}', True), ('{"passed": "no idea", "status": "ok"}', True),
     ('{"passed": false, "status": "ok"}', False), ('{"result": {"status": "failed"}}', False),
     ('{"actual": 5, "met": true}', True), ('{"a": true, "b": true}', None),
+    ('{"result": {"result": {"passed": true}}}', True),
+    ('{"result": {"status": {"ok": {"valid": false}}}}', False),
+    ('\n\t {"passed": true}', True), ('{"passed": "{\\"passed\\": true}"}', None),
+    ('{"passed": "{not json"}', None), ("{broken", None), ('{"passed": [true]}', None),
+    ('{"passed": null, "reached": true}', True),
     ('{"actual": 5, "met": "true"}', None), ("{}", None), ('{"passed": 1}', None),
 ]
 
 
 def test_check_verdict(spark):
     df = spark.createDataFrame([(v, w) for v, w in VERDICTS], "v string, expected boolean")
-    found = df.select("v", "expected", quality.check_verdict(F.col("v")).alias("got")).collect()
+    found = quality.with_verdict(df, "v", "got").collect()
     assert [r for r in found if r["expected"] != r["got"]] == []
 
 

@@ -22,8 +22,46 @@ def test_one_release_is_replaced_and_the_others_stay(spark, tmp_path):
     assert (written["rows_written"], written["rows_persisted"], written["passed"]) == (4, 4, True)
     assert writers.release_rows(spark, path, "2023_24").count() == 3
     assert writers.release_rows(spark, path, "2024_25").columns == ["x"]
-    plan = writers.release_rows(spark, path, "2024_25")._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(release" in plan
+    assert all("2024_25" in f for f in writers.release_rows(spark, path, "2024_25").inputFiles())
+
+
+def test_releases_of_different_shape_and_an_empty_one(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    writers.write_release(frame(spark, 3), path, "a")
+    other = spark.range(2).withColumn("y", F.lit(1.5))
+    writers.write_release(other, path, "b")
+    assert writers.release_rows(spark, path, "a").dtypes == [("x", "string")]
+    assert writers.release_rows(spark, path, "b").dtypes == [("id", "bigint"), ("y", "double")]
+    written = writers.write_release(other.limit(0), path, "b").first()
+    assert (written["rows_written"], written["rows_persisted"]) == (0, 0)
+    assert writers.release_rows(spark, path, "b").dtypes == other.dtypes
+
+
+def test_failed_gates_leave_the_published_release(spark, small, tmp_path):
+    release = medallion.Release(inputs.SOURCE, 2024, 2025, minimum_rows=1_000)
+    lake = str(tmp_path / "lake")
+    good = medallion.refine(inputs.messy(spark, small), release, lake)
+    rows = good.mart.count()
+
+    def none(mart, *rest, **more):
+        return spark.createDataFrame([("x", 0, 1, False)], "check string, actual bigint, threshold bigint, passed boolean")
+
+    original, quality.gold_checks = quality.gold_checks, none
+    try:
+        with pytest.raises(quality.GateError):
+            medallion.refine_gold(spark, release, lake)
+    finally:
+        quality.gold_checks = original
+    assert writers.release_rows(spark, f"{lake}/gold/mart", "2024_25").count() == rows
+    assert not os.listdir(f"{lake}/gold/mart/_staged")
+
+
+def test_scratch_needs_a_shared_folder_off_one_machine():
+    assert folders.shared_base("s3://x/y/", "yarn") == "s3://x/y"
+    assert folders.shared_base(None, "local[8]") == folders.shared_base(None, "local")
+    for master in ("yarn", "local-cluster[3,2,1000]", "spark://host:7077"):
+        with pytest.raises(ValueError):
+            folders.shared_base(None, master)
 
 
 def test_a_short_read_back_is_an_error(spark, tmp_path, monkeypatch):
