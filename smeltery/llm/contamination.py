@@ -4,7 +4,8 @@ Words are compared without case and ASCII punctuation. The benchmark is the quer
 the driver in blocks of at most ``BLOCK_ITEMS`` items, each with tables bounded by the block's size.
 For each block, three passes over all documents:
 
-1. *Document frequencies* of the block's words. Each item keeps its rarest ``TERMS`` words.
+1. *Document frequencies* of the block's words. Each item keeps its rarest words, which hold
+   ``WEIGHT`` of the squared length of its TF-IDF vector; common words hold next to nothing of it.
 2. *Randomised SVD*: passages are runs of three blocks of words, each next one a block further. With A
    the TF-IDF matrix of all passages (over the terms kept) and B that of the items, tasks add up
    ``A'A`` times a random matrix; the driver adds ``B'B`` times the same, so that the items' own
@@ -32,7 +33,7 @@ from smeltery.llm import texts
 from smeltery.llm.words import Terms, hashes_of, plain_words, words_of
 
 BLOCK_ITEMS = 256
-TERMS = 16
+WEIGHT = 0.65
 OVERSAMPLING = 16
 COSINE = 0.35
 SAME = 0.8
@@ -100,28 +101,52 @@ def _frequencies(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
     return int(counts[size]), counts[:size]
 
 
-def _passages(places: np.ndarray, term: np.ndarray, first: np.ndarray, block: int):
-    """Terms by passage: passage numbers (from 0, those with terms only), term, and each passage's text and first block."""
+@dataclass(frozen=True)
+class _Passages:
+    """Passages that hold terms, and the blocks of words that they are made of.
+
+    A passage is its first block and the two after it; ``parts`` says which of the blocks with terms
+    these are, and for each block ``within`` says which passages it is in (one past the end: none).
+    """
+
+    heads: np.ndarray  # where the terms of each block begin, among all terms found
+    block: np.ndarray  # of each term found
+    doc: np.ndarray  # of each passage
+    at: np.ndarray  # number of each passage's first block
+    parts: np.ndarray
+    within: np.ndarray
+
+
+def _passages(places: np.ndarray, first: np.ndarray, size: int) -> _Passages:
+    """Of terms found at ``places``, in blocks of ``size`` words."""
     doc = np.searchsorted(first, places, "right") - 1
-    at = (places - first[doc]) // block
-    # A block belongs to the passages that start with it or with one of the two before.
-    doc, term = np.tile(doc, 3), np.tile(term, 3)
-    at = np.concatenate((at, at - 1, at - 2))
-    real = at >= 0
-    # Short texts have one passage; without this rule their words would count again.
-    doc, at, term = doc[real], at[real], term[real]
-    order = np.lexsort((term, at, doc))
-    doc, at, term = doc[order], at[order], term[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])
-    return np.cumsum(new) - 1, term, doc[new], at[new]
-
-
-def _runs(passage: np.ndarray, most: int = 4096) -> Iterator[tuple[np.ndarray, int, int]]:
-    """Where passages begin, some at a time, and the first and last place of these."""
-    edges = np.flatnonzero(np.diff(passage, prepend=-1))
-    for a in range(0, len(edges), most):
-        yield edges[a : a + most], edges[a], edges[a + most] if a + most < len(edges) else len(passage)
+    # Numbers of all blocks, with room for two before each document's first.
+    most = int(np.diff(first).max()) // size + 3
+    number = doc * most + (places - first[doc]) // size + 2
+    heads = np.flatnonzero(np.diff(number, prepend=-1))
+    blocks = number[heads]
+    starts = np.unique(np.concatenate((blocks, blocks - 1, blocks - 2)))
+    starts = starts[starts % most >= 2]
+
+    def find(sought: np.ndarray, among: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(among, sought), len(among) - 1)
+        return np.where(among[at] == sought, at, len(among))
+
+    three = np.arange(3)
+    return _Passages(
+        heads, np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(places)))),
+        starts // most, starts % most - 2,
+        find(starts[:, None] + three, blocks), find(blocks[:, None] - three, starts),
+    )
+
+
+def _three(rows: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """Sums of up to three rows; an index past the end adds nothing."""
+    out = np.zeros((len(index), rows.shape[1]), rows.dtype)
+    for part in index.T:
+        some = np.flatnonzero(part < len(rows))
+        out[some] += rows[part[some]]
+    return out
 
 
 def _sketch(docs: DataFrame, terms: Terms, test: np.ndarray, block: int) -> np.ndarray:
@@ -136,14 +161,12 @@ def _sketch(docs: DataFrame, terms: Terms, test: np.ndarray, block: int) -> np.n
                 places, term = terms.find(words)
                 if not len(places):
                     continue
-                passage, term, _, _ = _passages(places, term, first, block)
-                for edges, low, high in _runs(passage):
-                    heard = np.add.reduceat(test[term[low:high]], edges - low, axis=0)
-                    order = np.argsort(term[low:high], kind="stable")
-                    own = term[low:high][order]
-                    heads = np.flatnonzero(np.diff(own, prepend=-1))
-                    rows = heard[passage[low:high][order] - passage[low]]
-                    total[own[heads]] += np.add.reduceat(rows, heads, axis=0)
+                found = _passages(places, first, block)
+                heard = _three(np.add.reduceat(test[term], found.heads, axis=0), found.parts)
+                back = _three(heard, found.within)
+                order = np.argsort(term, kind="stable")
+                heads = np.flatnonzero(np.diff(term[order], prepend=-1))
+                total[term[order][heads]] += np.add.reduceat(back[found.block[order]], heads, axis=0)
         some = np.flatnonzero(total.any(axis=1))
         rows = [total[i].astype("<f4").tobytes() for i in some]
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(rows, pa.binary())], ["term", "part"])
@@ -188,8 +211,10 @@ def _searcher(docs: DataFrame, items: list[Item]):
     kept = []
     for item in items:
         own = np.unique(np.array(item.words, np.uint64))
-        weight = rarity[np.searchsorted(everything.hashes, own)]
-        kept.append(own[np.argsort(-weight, kind="stable")[:TERMS]])
+        weight = rarity[np.searchsorted(everything.hashes, own)] ** 2
+        order = np.argsort(-weight, kind="stable")
+        before = np.cumsum(weight[order]) - weight[order]
+        kept.append(own[order[before < WEIGHT * weight.sum()]])
     terms = Terms.of(np.concatenate(kept))
     rarity = rarity[np.searchsorted(everything.hashes, terms.hashes)]
     block = max(32, -(-max(len(i.words) for i in items) // 2))
@@ -215,23 +240,20 @@ def _searcher(docs: DataFrame, items: list[Item]):
         best: dict[tuple[int, int], tuple] = {}
         if not len(places):
             return best
-        passage, term, doc, at = _passages(places, term, first, block)
-        weights = rarity[term].astype(np.float32)
-        for edges, low, high in _runs(passage):
-            heard = weights[low:high, None] * basis[term[low:high]]
-            near = _unit(np.add.reduceat(heard, edges - low, axis=0)) @ targets.T
-            for row, number in zip(*np.nonzero(near >= COSINE)):
-                where = passage[edges[row]]
-                d, item = int(doc[where]), items[number]
-                start = int(first[d] + at[where] * block)
-                read = words[start : min(start + 3 * block, int(first[d + 1]))].tolist()
-                share = common_subsequence(item.masks, len(item.words), read) / len(item.words)
-                if share < SIMILAR:
-                    continue
-                answer = common_subsequence(item.answer_masks, len(item.answer), read) / len(item.answer)
-                if share >= SAME or answer >= SIMILAR:
-                    found = (share, answer, float(near[row, number]))
-                    best[d, number] = max(best.get((d, number), found), found)
+        found = _passages(places, first, block)
+        weighed = (rarity[term, None] * basis[term]).astype(np.float32)
+        near = _unit(_three(np.add.reduceat(weighed, found.heads, axis=0), found.parts)) @ targets.T
+        for where, number in zip(*(x.tolist() for x in np.nonzero(near >= COSINE))):
+            d, item = int(found.doc[where]), items[number]
+            start = int(first[d] + found.at[where] * block)
+            read = words[start : min(start + 3 * block, int(first[d + 1]))].tolist()
+            share = common_subsequence(item.masks, len(item.words), read) / len(item.words)
+            if share < SIMILAR:
+                continue
+            answer = common_subsequence(item.answer_masks, len(item.answer), read) / len(item.answer)
+            if share >= SAME or answer >= SIMILAR:
+                shares = (share, answer, float(near[where, number]))
+                best[d, number] = max(best.get((d, number), shares), shares)
         return best
 
     return held_by
