@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -29,6 +29,7 @@ FOREST = {"numTrees": 400, "maxDepth": 14, "minInstancesPerNode": 3}
 BOOSTING = {"stepSize": 0.05, "maxIter": 350, "maxDepth": 5}
 
 BASELINE = "baseline"
+IMPUTED = "__imputed_"
 METRICS = ("mae", "rmse", "median_absolute_error", "r2", "rmsle", "p90_absolute_error")
 
 
@@ -155,22 +156,32 @@ def square_root_subset(features: int) -> str:
     return str(max(1, int(features**0.5)))
 
 
-def regressors(setup: TrainingSetup) -> dict[str, Pipeline]:
-    """The tree models, each behind the feature assembly, trained on log1p."""
+def imputer(medians: Mapping[str, float | None]) -> SQLTransformer:
+    """The training medians as a stage, so that a saved model brings them along."""
+    filled = ", ".join(
+        f"coalesce(`{name}`, {repr(0.0 if median is None else float(median))}D) AS `{IMPUTED}{name}`"
+        for name, median in medians.items()
+    )
+    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+
+
+def regressors(setup: TrainingSetup, medians: Mapping[str, float | None]) -> dict[str, Pipeline]:
+    """The tree models, each behind imputer and feature assembly, trained on log1p."""
     common = {"featuresCol": "__features", "labelCol": "__label", "seed": setup.seed}
     forest = RandomForestRegressor(
         featureSubsetStrategy=square_root_subset(len(setup.features)), **common, **setup.forest
     )
     boosting = GBTRegressor(**common, **setup.boosting)
-    assembler = VectorAssembler(inputCols=list(setup.features), outputCol="__features")
+    inputs = [f"{IMPUTED}{name}" for name in setup.features]
+    before = [imputer(medians), VectorAssembler(inputCols=inputs, outputCol="__features")]
     return {
-        "random_forest": Pipeline(stages=[assembler, forest]),
-        "gradient_boosting": Pipeline(stages=[assembler, boosting]),
+        "random_forest": Pipeline(stages=[*before, forest]),
+        "gradient_boosting": Pipeline(stages=[*before, boosting]),
     }
 
 
 def fit(pipeline: Pipeline, train: DataFrame, setup: TrainingSetup) -> PipelineModel:
-    """Fit on imputed rows; the label is the log of the target."""
+    """Fit on training rows; the label is the log of the target."""
     return pipeline.fit(train.withColumn("__label", log_target(setup.target)))
 
 

@@ -1,10 +1,11 @@
+import dataclasses
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from smeltery.catalogue import training as checks
-from smeltery.operators import scoring, training
+from smeltery.operators import contracts, scoring, training
 from smeltery.operators.training import TrainingSetup
 from smeltery.plans import lifecycle
 
@@ -54,10 +55,10 @@ def test_leakage_is_refused(bad):
 def test_default_setup_is_clean_and_builds_all_models(spark):
     setup = TrainingSetup("id", ("c1", "c2", "c3", "c4", "c8"), "c6")
     training.forbid_leakage(setup)
-    forest = training.regressors(setup)["random_forest"].getStages()[1]
+    forest = training.regressors(setup, dict.fromkeys(setup.features, 1.0))["random_forest"].getStages()[2]
     assert forest.getNumTrees() == 400 and forest.getMaxDepth() == 14
     assert forest.getFeatureSubsetStrategy() == "2"
-    boosting = training.regressors(setup)["gradient_boosting"].getStages()[1]
+    boosting = training.regressors(setup, dict.fromkeys(setup.features))["gradient_boosting"].getStages()[2]
     assert boosting.getMaxIter() == 350 and boosting.getStepSize() == 0.05
 
 
@@ -114,19 +115,53 @@ def test_champion(spark):
     assert zero["improvement_pct"] == 0.0 and not zero["beats_baseline"]
 
 
-def test_lifecycle_trains_then_skips(spark, small):
+SMALL = dataclasses.replace(
+    checks.SETUP,
+    forest={"numTrees": 8, "maxDepth": 5, "minInstancesPerNode": 3},
+    boosting={"stepSize": 0.3, "maxIter": 5, "maxDepth": 4},
+)
+
+
+def test_lifecycle_trains_records_then_skips(spark, small, tmp_path):
     parts = checks.parts(spark, small)
     nothing = spark.createDataFrame([], "fingerprint string")
-    decision, trained = lifecycle.train_if_needed(parts, checks.SETUP, ["lines"], nothing)
+    decision, trained = lifecycle.train_if_needed(parts, SMALL, ["lines"], nothing)
     assert decision.first()["action"] == "trained"
     assert trained.champion["model_name"] in ("random_forest", "gradient_boosting")
     assert trained.training_rows > trained.test_rows > 100
     assert trained.comparison.count() == 3
-    known = spark.createDataFrame([(trained.fingerprint,)], "fingerprint string")
-    decision, again = lifecycle.train_if_needed(
-        parts.repartition(5), checks.SETUP, ["lines"], known
-    )
+    path = str(tmp_path / "champion")
+    lifecycle.write_champion(lifecycle.champion_record(trained, SMALL, "7"), path)
+    known = lifecycle.read_champion(spark, path)
+    assert (known.first()["version"], known.first()["fingerprint"]) == ("7", trained.fingerprint)
+    decision, again = lifecycle.train_if_needed(parts.repartition(5), SMALL, ["lines"], known)
     assert decision.first()["action"] == "skipped" and again is None
+    # One value more by one in one row is other data.
+    changed = parts.withColumn("discounts", F.col("discounts") + (F.col("part_id") == 1).cast("int"))
+    decision = training.retrain_decision(
+        contracts.dataset_fingerprint(changed.select(*SMALL.required)), known
+    )
+    assert decision.first()["action"] == "trained"
+    rebuilt = lifecycle.reproduced_error(
+        trained.champion["model_name"], parts, SMALL, ["lines"], trained.champion["champion_value"]
+    ).first()
+    assert rebuilt["reproduced"]
+    off = lifecycle.reproduced_error(
+        trained.champion["model_name"], parts, SMALL, ["lines"], trained.champion["champion_value"] + 2e-6
+    ).first()
+    assert not off["reproduced"]
+
+
+def test_a_saved_model_brings_its_medians(spark):
+    rows = [(i, float(i % 7), None if i % 3 else float(i), float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, y double")
+    setup = dataclasses.replace(SMALL, id_column="id", features=("a", "b"), target="y")
+    medians = training.training_medians(df, setup.features)
+    model = training.fit(training.regressors(setup, medians)["random_forest"], df, setup)
+    _, again = lifecycle.save_and_reload(model, spark)
+    filled = training.impute(df, medians)
+    want = {r["id"]: r["prediction"] for r in training.predict(model, filled).collect()}
+    assert {r["id"]: r["prediction"] for r in training.predict(again, df).collect()} == want
 
 
 def requests(spark):
