@@ -263,3 +263,49 @@ def distinct_dim(spark, folder):
     gold = inputs.gold(spark, folder)
     model = models.enriched(gold.mart, gold.metrics, gold.primary)
     return models.dimension(model, gold.dimensions)
+
+
+def _branch_sql(column: str, direction: str) -> str:
+    order = f"order by v {direction} nulls last"
+    return (
+        f"with lines as (select l_orderkey, l_linenumber, {column} as v from lineitem) "
+        f"select l_orderkey, l_linenumber, dense_rank() over ({order}) as d, "
+        f"round(percent_rank() over ({order}), 9) as p from lines"
+    )
+
+
+def _branch(spark, folder, column, descending, **limits):
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.expr(column).alias("v")
+    )
+    ranked = with_ranks(lines, [Ranking("v", descending, "p", "d")], **limits)
+    return ranked.select("l_orderkey", "l_linenumber", "d", F.round("p", 9).alias("p"))
+
+
+_HOT = "case when l_orderkey % 3 = 0 then 7.0 else l_extendedprice end"
+_LIMITS = {"value_limit": 1_000, "rows_per_bucket": 500}
+
+
+@query("win_rank_small_values", _branch_sql("l_quantity", "asc"))
+def win_rank_small_values(spark, folder):
+    return _branch(spark, folder, "l_quantity", False)
+
+
+@query("win_rank_bucketed_desc", _branch_sql("l_extendedprice", "desc"))
+def win_rank_bucketed_desc(spark, folder):
+    return _branch(spark, folder, "l_extendedprice", True, **_LIMITS)
+
+
+@query("win_rank_bucketed_asc", _branch_sql("l_extendedprice", "asc"))
+def win_rank_bucketed_asc(spark, folder):
+    return _branch(spark, folder, "l_extendedprice", False, **_LIMITS)
+
+
+@query("win_rank_dominated_desc", _branch_sql(_HOT, "desc"))
+def win_rank_dominated_desc(spark, folder):
+    return _branch(spark, folder, _HOT, True, **_LIMITS)
+
+
+@query("win_rank_dominated_asc", _branch_sql(_HOT, "asc"))
+def win_rank_dominated_asc(spark, folder):
+    return _branch(spark, folder, _HOT, False, **_LIMITS)

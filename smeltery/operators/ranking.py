@@ -25,6 +25,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import groupby
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,11 +33,11 @@ from pyspark.sql import functions as F
 # A value table up to this many rows is ordered in one window and broadcast
 # (a few MB).
 VALUE_LIMIT = 200_000
-# Above it, a bucket aims at this many rows; buckets grow once there are
-# MAX_BUCKETS of them.
+# Above it, a bucket aims at this many rows. Beyond MAX_BUCKETS of them buckets grow; each is
+# sorted by one task, which spills, and no row of it is held.
 ROWS_PER_BUCKET = 50_000
 MAX_BUCKETS = 32_768
-SAMPLES_PER_BUCKET = 200
+SAMPLES_PER_BUCKET = 20
 SAMPLE_SEED = 17
 # A value dominates when it fills this many times a bucket's fair share of rows.
 OUTSTANDING = 8
@@ -84,51 +85,62 @@ def measure(
     buckets = bucket_count(rows, rows_per_bucket)
     wanted = dict(extra or {})
     detailed = rows > value_limit
-    source = df
     if detailed:
-        share = min(1.0, buckets * SAMPLES_PER_BUCKET / rows)
-        picked = F.lit(True) if share == 1.0 else F.rand(SAMPLE_SEED) < share
-        positions = {f"__position__{n}": _position(F.col(f"`{n}`")) for n in names}
-        source = df.withColumns(positions).withColumn("__picked", picked)
         for name in names:
-            wanted[f"__measure__{name}"] = _column_measure(name, buckets)
-    found = source.agg(*[c.alias(n) for n, c in wanted.items()]).first() if wanted else {}
+            wanted[f"__measure__{name}"] = _column_measure(name)
+    found = df.agg(*[c.alias(n) for n, c in wanted.items()]).first() if wanted else {}
+    sampled = _sampled_quantiles(df, names, rows, buckets) if detailed else {}
     measures = {}
     for name in names:
         if not detailed:
             measures[name] = Measure(rows, rows, [], False)
             continue
-        part = found[f"__measure__{name}"]
-        quantiles = [q + 0.0 for q in part["quantiles"] or ()]
+        part, quantiles = found[f"__measure__{name}"], sampled[name]
         run = max((len(list(g)) for _, g in groupby(quantiles)), default=0)
         tied = max(part["missing"], part["not_numbers"], run * rows / buckets)
         fair = max(rows / buckets, rows_per_bucket)
-        cuts = sorted({q for q in quantiles if math.isfinite(q)})
-        measures[name] = Measure(rows, part["values"], cuts, tied > OUTSTANDING * fair)
+        measures[name] = Measure(rows, part["values"], _cuts(quantiles), tied > OUTSTANDING * fair)
     return measures, {name: found[name] for name in extra or {}}
 
 
-def _column_measure(name: str, buckets: int) -> Column:
-    position = F.col(f"__position__{name}")
-    steps = [i / buckets for i in range(1, buckets)] or [0.5]
-    sampled = F.when(F.col("__picked") & ~F.isnan(position), position)
+def _column_measure(name: str) -> Column:
+    position = _position(F.col(f"`{name}`"))
     return F.struct(
         F.approx_count_distinct(F.col(f"`{name}`")).alias("values"),
         F.count_if(position.isNull()).alias("missing"),
         F.count_if(F.isnan(position)).alias("not_numbers"),
-        F.percentile_approx(sampled, steps, 10 * buckets).alias("quantiles"),
     )
 
 
+def _sampled_quantiles(
+    df: DataFrame, names: Sequence[str], rows: int, buckets: int
+) -> dict[str, list[float]]:
+    """Quantiles of each column, from a sample of about SAMPLES_PER_BUCKET rows a bucket.
+
+    At most MAX_BUCKETS * SAMPLES_PER_BUCKET numbers a column come to the driver (5 MB); columns are
+    sampled one at a time.
+    """
+    share = min(1.0, buckets * SAMPLES_PER_BUCKET / max(rows, 1))
+    picked = df if share == 1.0 else df.where(F.rand(SAMPLE_SEED) < share)
+    steps = np.arange(1, buckets) / buckets if buckets > 1 else np.array([0.5])
+    found = {}
+    for name in names:
+        position = picked.select(_position(F.col(f"`{name}`")).alias("v")).where(
+            "v is not null and not isnan(v)"
+        )
+        values = np.sort(position.toArrow().column(0).to_numpy())
+        places = np.minimum((steps * len(values)).astype(np.int64), len(values) - 1)
+        found[name] = (values[places] + 0.0).tolist() if len(values) else []
+    return found
+
+
+def _cuts(quantiles: Sequence[float]) -> list[float]:
+    return sorted({q for q in quantiles if math.isfinite(q)})
+
+
 def cut_points(df: DataFrame, column: str, rows: int, buckets: int) -> list[float]:
     """Ascending quantiles of a sample of one column, for range boundaries only."""
-    share = min(1.0, buckets * SAMPLES_PER_BUCKET / max(rows, 1))
-    sample = df.select(_position(F.col(f"`{column}`")).alias("v")).where("not isnan(v)")
-    if share < 1.0:
-        sample = sample.sample(share, SAMPLE_SEED)
-    steps = [i / buckets for i in range(1, buckets)]
-    row = sample.agg(F.percentile_approx("v", steps, 10 * buckets).alias("q")).first()
-    return sorted({q + 0.0 for q in row["q"] or () if math.isfinite(q)})
+    return _cuts(_sampled_quantiles(df, [column], rows, buckets)[column])
 
 
 def _position(value: Column) -> Column:
