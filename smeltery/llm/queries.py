@@ -23,6 +23,7 @@ from smeltery.llm import (
     simhash,
     substrings,
 )
+from smeltery.llm.packaging import shipped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,7 +31,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(builder):
-        QUERIES[name] = builder
+        QUERIES[name] = shipped(builder)
         if sql is not None:
             ORACLES[name] = sql.strip()
         return builder
