@@ -39,13 +39,29 @@ class Model:
     hashes: np.ndarray  # of the pieces' characters, sorted
     ids: np.ndarray
     weights: np.ndarray  # logarithms
-    filter: np.ndarray  # by the last bits of a hash: whether any piece has them
+    filter: np.ndarray  # by the last 22 bits of a hash: whether any piece has them
+    slots: np.ndarray  # by the first 20 bits of a hash: a piece that has them
     single: np.ndarray  # by code point: whether it is a piece
     longest: int
     byte_ids: np.ndarray
     spelled: np.ndarray  # bytes of all pieces, one after the other
     spelled_at: np.ndarray  # where each piece's bytes begin (one more at the end)
 
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``hashes`` that are pieces, and which."""
+        likely = np.flatnonzero(_flag(self.filter, (hashes & np.uint64((1 << 22) - 1)).astype(np.int64)))
+        hashes = hashes[likely]
+        at = self.slots[(hashes >> np.uint64(44)).astype(np.int64)]
+        other = np.flatnonzero(self.hashes[at] != hashes)  # a piece with the same bits, or none
+        at[other] = np.minimum(np.searchsorted(self.hashes, hashes[other]), len(self.hashes) - 1)
+        real = self.hashes[at] == hashes
+        return likely[real], at[real]
+
+
+def _grown(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Hashes of strings one character longer."""
+    return hashes * texts.FACTOR + codes
+
 
 def _codes(points: np.ndarray) -> np.ndarray:
     return texts.mixed(points.astype(np.uint64) + np.uint64(1))
@@ -70,18 +86,22 @@ def load(path: str = MODEL, sharpness: float = SHARPNESS) -> Model:
     single[[ord(t) for _, t, _ in plain if len(t) == 1]] = True
     # A blank inside a piece would join chunks.
     plain = [p for p in plain if " " not in p[1].lstrip(" ")]
-    points = np.frombuffer("".join(t for _, t, _ in plain).encode("utf-32-le"), np.uint32)
-    ends = np.cumsum([len(t) for _, t, _ in plain])
-    starts = ends - [len(t) for _, t, _ in plain]
-    hashes = texts.span_hashes(_codes(points), starts, ends)
+    hashes = np.zeros(len(plain), np.uint64)
+    for i in range(max(len(t) for _, t, _ in plain)):
+        some = np.array([n for n, (_, t, _) in enumerate(plain) if len(t) > i])
+        points = np.array([ord(plain[n][1][i]) for n in some])
+        hashes[some] = _grown(hashes[some], _codes(points))
     order = np.argsort(hashes)
     some = np.zeros(1 << 22, bool)
     some[(hashes & np.uint64(len(some) - 1)).astype(np.int64)] = True
+    slots = np.zeros(1 << 20, np.int32)
+    slots[(hashes[order] >> np.uint64(44)).astype(np.int64)] = np.arange(len(order))
     return Model(
         hashes=hashes[order],
         ids=np.array([i for i, _, _ in plain], np.int32)[order],
         weights=np.array([w for _, _, w in plain], np.float32)[order],
         filter=np.packbits(some),
+        slots=slots,
         single=np.packbits(single),
         longest=max(len(t) for _, t, _ in plain),
         byte_ids=byte_ids,
@@ -94,25 +114,24 @@ def _flag(bits: np.ndarray, index: np.ndarray) -> np.ndarray:
     return (bits[index >> 3] >> (7 - (index & 7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _lattice(model: Model, sums: np.ndarray, base: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def _lattice(model: Model, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Shares of the last piece's lengths at each end, summed up, and the pieces' ids.
 
-    ``base`` are the starts of chunks of one length. Both results are by chunk, end and piece length.
+    ``codes`` are the characters of chunks of one length. Both results are by chunk, end and piece
+    length.
     """
+    count, length = codes.shape
     most = min(length, model.longest)
-    weights = np.full((len(base), length, most), -np.inf, np.float32)
+    weights = np.full((count, length, most), -np.inf, np.float32)
     ids = np.zeros(weights.shape, np.int32)
+    hashes = np.zeros((count, length + 1), np.uint64)
     for size in range(1, most + 1):
-        starts = base[:, None] + np.arange(length - size + 1)
-        hashes = texts.sum_hashes(sums, starts, starts + size)
-        likely = np.flatnonzero(_flag(model.filter, (hashes & np.uint64((1 << 22) - 1)).astype(np.int64)))
-        hashes = hashes.ravel()[likely]
-        at = np.minimum(np.searchsorted(model.hashes, hashes), len(model.hashes) - 1)
-        real = model.hashes[at] == hashes
-        chunk, start = np.divmod(likely[real], length - size + 1)
-        weights[chunk, start + size - 1, size - 1] = model.weights[at[real]]
-        ids[chunk, start + size - 1, size - 1] = model.ids[at[real]]
-    total = np.zeros((len(base), length + 1), np.float32)
+        hashes = _grown(hashes[:, :-1], codes[:, size - 1 :])
+        places, found = model.find(hashes.ravel())
+        chunk, start = np.divmod(places, length - size + 1)
+        weights[chunk, start + size - 1, size - 1] = model.weights[found]
+        ids[chunk, start + size - 1, size - 1] = model.ids[found]
+    total = np.zeros((count, length + 1), np.float32)
     shares = np.ones(weights.shape, np.float32)
     for end in range(1, length + 1):
         sizes = min(end, most)
@@ -140,7 +159,8 @@ def encode_group(model: Model, values: list[str | None], keys: np.ndarray) -> tu
     begins[bounds[:-1][sizes > 0]] = True
     starts = np.flatnonzero(begins)
     ends = np.append(starts[1:], total)
-    sums = texts.span_sums(_codes(points))
+    codes = _codes(points)
+    sums = texts.span_sums(codes)
     found = np.full(total, -1, np.int64)
     lone = ~own[starts]
     found[starts[lone]] = -2 - points[starts[lone]].astype(np.int64)
@@ -156,7 +176,7 @@ def encode_group(model: Model, values: list[str | None], keys: np.ndarray) -> tu
         some = by_length[low:high]
         length = int(lengths[some[0]])
         kinds, row = np.unique(chunk[some], return_inverse=True)
-        shares, ids = _lattice(model, sums, starts[example[kinds]], length)
+        shares, ids = _lattice(model, codes[starts[example[kinds]][:, None] + np.arange(length)])
         end = np.full(len(some), length)
         while len(some):
             draw = texts.mixed(keys[some] + (place[some] + end).astype(np.uint64) * texts.FACTOR)
