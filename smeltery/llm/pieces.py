@@ -213,16 +213,18 @@ def encode(
     text: str = "text",
     seed: int = SEED,
     into: str = "piece_ids",
+    back: str | None = None,
 ) -> DataFrame:
     """``docs`` with ``into`` added or replaced: 32-bit numbers, little-endian, in one binary value.
 
-    A null text has null ids, an empty one none. Rows that repeat a key draw the same numbers; a null
-    key is a key like any other. Rows and other columns stay as they are.
+    With ``back``, what the ids decode to is added under that name, without a second pass. A null text
+    has null ids, an empty one none. Rows that repeat a key draw the same numbers; a null key is a
+    key like any other. Rows and other columns stay as they are.
     """
-    docs = docs.drop(into)
+    docs = docs.drop(into, *([back] if back else []))
     place = docs.columns.index(text)
     keyed = docs.withColumn(texts.fresh(docs, "sampling_key"), F.xxhash64(F.lit(seed), F.col(key)))
-    names = [*docs.columns, into]
+    names = [*docs.columns, into, *([back] if back else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -232,9 +234,18 @@ def encode(
                 ids, bounds = encode_group(model, values, keys)
                 data, at = ids.astype("<i4").tobytes(), (4 * bounds).tolist()
                 made = [None if v is None else data[a:b] for v, a, b in zip(values, at[:-1], at[1:])]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, pa.binary())], names)
+                columns = [*batch.columns[:-1], pa.array(made, pa.binary())]
+                if back:
+                    found = zip(values, decode_group(model, ids, bounds))
+                    columns.append(_strings([None if v is None else f for v, f in found]))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return keyed.mapInArrow(run, T.StructType([*docs.schema.fields]).add(into, T.BinaryType()))
+    schema = T.StructType([*docs.schema.fields]).add(into, T.BinaryType())
+    return keyed.mapInArrow(run, schema.add(back, T.StringType()) if back else schema)
+
+
+def _strings(values: list[bytes | None]) -> pa.Array:
+    return pa.array(values, pa.binary()).cast(pa.string())
 
 
 def decode(docs: DataFrame, model: Model, ids: str = "piece_ids", text: str = "decoded") -> DataFrame:
@@ -250,7 +261,6 @@ def decode(docs: DataFrame, model: Model, ids: str = "piece_ids", text: str = "d
                 # Ids are read as bytes of whole numbers, so bounds are multiples of four.
                 found = decode_group(model, np.frombuffer(data.tobytes(), "<i4"), bounds // 4)
                 made = [f if v.is_valid else None for f, v in zip(found, batch.column(place))]
-                made = pa.array(made, pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([*batch.columns, made], names)
+                yield pa.RecordBatch.from_arrays([*batch.columns, _strings(made)], names)
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields]).add(text, T.StringType()))

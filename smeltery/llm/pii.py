@@ -17,11 +17,11 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from smeltery.llm import texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "login", "account", "secret")
@@ -148,14 +148,19 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return rows.mapInArrow(run, f"`{key}` {kind}, spans array<struct<kind:string,start:int,end:int>>")
 
 
-@F.pandas_udf(T.StringType())
-def _redacted(texts: pd.Series) -> pd.Series:
-    return texts.map(redact_text)
-
-
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with personal data in ``text`` replaced; rows and other columns stay as they are."""
-    return docs.withColumn(text, _redacted(F.col(text).cast("string")))
+    docs = docs.withColumn(text, F.col(text).cast("string"))
+    place, names = docs.columns.index(text), docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in texts.groups(whole, text):
+                columns = list(batch.columns)
+                columns[place] = pa.array([redact_text(t.as_py()) for t in columns[place]], pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def joined(spans: Column) -> Column:

@@ -142,7 +142,7 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     model = pieces.load()
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    out = pieces.decode(pieces.encode(docs, model), model)
+    out = pieces.encode(docs, model, back="decoded")
     return out.select(
         "doc_id",
         (F.length("piece_ids") / 4).cast("bigint").alias("n_pieces"),

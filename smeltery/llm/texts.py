@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: Texts are handled in groups of about so many bytes; a longer text is a group of its own.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 
 _RANDOM = np.random.default_rng(20_240_607)
 BYTE_CODES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -117,7 +117,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(20, n.bit_length()))
+    return _powers(1 << max(20, (n - 1).bit_length()))
 
 
 def rolling(values: np.ndarray, width: int) -> np.ndarray:
