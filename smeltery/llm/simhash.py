@@ -126,8 +126,10 @@ def groups_of(prints: DataFrame, key: str) -> DataFrame:
 
 
 def _prints(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    rows = docs.select(F.col(key).cast("bigint").alias(key), F.col(text).cast("string").alias(text))
-    return written(with_fingerprint(rows, text, width).select(key, "fingerprint"), "fingerprints")
+    """``key, digest, fingerprint`` of each row, written; ``digest`` is a hash of the text."""
+    value = F.col(text).cast("string")
+    rows = docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(value).alias("digest"), value.alias("text"))
+    return written(with_fingerprint(rows, "text", width).drop("text"), "fingerprints")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
@@ -138,7 +140,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     null keys alone has a null name). An empty table gives an empty table.
     """
     prints = _prints(docs, key, text, width)
-    return prints.join(groups_of(prints, key), "fingerprint").select(key, "fingerprint", "component_id")
+    found = prints.join(groups_of(prints, "key"), "fingerprint")
+    return found.select(F.col("key").alias(key), "fingerprint", "component_id")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
@@ -147,14 +150,20 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     A null key comes last; of rows with one key, the one whose text has the smallest hash stays, and
     of rows that also agree in this any one.
     """
-    groups = groups_of(_prints(docs, key, text, width), key)
-    own, group = fresh(docs, "fingerprint"), fresh(docs, "component_id")
-    rows = with_fingerprint(docs, text, width, own).join(groups.toDF(own, group), own)
-    first = Window.partitionBy(group, F.when(F.col(group).isNull(), F.col(own))).orderBy(
-        F.col(key).asc_nulls_last(), F.xxhash64(text)
-    )
-    place = fresh(rows, "place")
-    return rows.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*docs.columns)
+    prints = _prints(docs, key, text, width)
+    groups = groups_of(prints, "key")
+    same = Window.partitionBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")))
+    order = same.orderBy(F.col("key").asc_nulls_last(), "digest")
+    kept = prints.join(groups, "fingerprint").withColumn("place", F.row_number().over(order)).where("place = 1")
+    # Texts are moved once, to meet the few columns that say which of them stay.
+    digest = fresh(docs, "digest")
+    marked = docs.withColumn(digest, F.xxhash64(F.col(text).cast("string")))
+    kept = kept.select("key", F.col("digest").alias("kept")).hint("shuffle_hash")
+    own = F.col(key).cast("bigint").eqNullSafe(F.col("key")) & (F.col(digest) == F.col("kept"))
+    rows = marked.join(kept, own, "left_semi")
+    if not prints.groupBy("key", "digest").count().where("count > 1").isEmpty():
+        rows = rows.dropDuplicates([key, digest])
+    return rows.select(*docs.columns)
 
 
 def hexadecimal(fingerprint: Column) -> Column:
