@@ -46,7 +46,7 @@ HEADLINES = (
     "dq_evaluate",
     "ml_prepare",
     "agg_regression_metrics",
-    "ml_compare",
+    "ml_formula_comparison",
     "written_layers",
 )
 
@@ -120,7 +120,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     # Compile and load classes outside the measurement.
-    for name in ("feature_table", "ml_compare", "line_features"):
+    for name in ("feature_table", "ml_formula_comparison", "line_features"):
         run(QUERIES[name](spark, FOLDER))
     seconds = {name: timed(lambda: run(QUERIES[name](spark, FOLDER))) for name in HEADLINES}
     plain = {name: timed(lambda: action(spark)) for name, action in PLAIN.items()}

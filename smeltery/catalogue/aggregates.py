@@ -8,7 +8,8 @@ from smeltery.catalogue import inputs
 from smeltery.catalogue.inputs import CANONICAL, rounded, table, with_inputs
 from smeltery.catalogue.registry import query
 from smeltery.catalogue.training import FEATURES, formula_predictions, split_parts
-from smeltery.operators import dedup, marts, models, profiling, scoring, shaping, training
+from smeltery.operators import dedup, marts, profiling, scoring, shaping, training
+from smeltery.plans import medallion
 
 
 @query(
@@ -129,9 +130,10 @@ def agg_summary_mart(spark, folder):
     ),
 )
 def agg_exec_summary(spark, folder):
-    gold = inputs.gold(spark, folder)
-    fact = models.fact(models.enriched(gold.mart, gold.metrics, gold.primary), gold.metrics)
-    return rounded(marts.executive_summary(fact, gold.metrics))
+    # Sums and averages need no ranks: the summary is built on the unranked columns.
+    typed, metrics, primary, described, _ = medallion.typed_gold(inputs.written_silver(spark, folder))
+    plain = marts.with_primary(marts.mart_columns(typed, described, metrics), primary)
+    return rounded(marts.executive_summary(plain, metrics))
 
 
 @query(

@@ -11,28 +11,42 @@ from smeltery.catalogue.training import comparison
 from smeltery.operators import contracts, dedup, quality, shaping
 from smeltery.plans import medallion, reporting
 from smeltery.sources import catalog, manifest, readers, writers
-from smeltery.sources.folders import working_folder
+from smeltery.sources.folders import working_folder, written
 
 
-@query(
-    "src_csv",
-    with_inputs(
-        """select station_name, station_code, entries_and_exits,
-             case when interchanges <> '' then interchanges end as interchanges,
-             usage_note, free_text, cast(c9 as bigint) as c9 from trimmed"""
-    ),
+_READ_BACK = with_inputs(
+    """select station_name, station_code, entries_and_exits,
+         case when interchanges <> '' then interchanges end as interchanges,
+         usage_note, free_text, cast(c9 as bigint) as c9 from trimmed"""
 )
-def src_csv(spark, folder):
+
+
+def _raw_files(spark, folder):
     path = working_folder(spark, "raw")
     untrimmed = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     source = inputs.messy(spark, folder)
     source.write.options(header=True, escape='"', emptyValue="", **untrimmed).csv(path)
-    read = shaping.canonical_columns(readers.read_csv(spark, path))
+    return path, source.schema
+
+
+def _typed_back(read):
     # Inferred types depend on the table: these two are brought to one type.
     types = {"c9": "bigint", "interchanges": "string"}
-    return shaping.replace_columns(
-        shaping.trim_text(read), {name: F.col(name).cast(t) for name, t in types.items()}
-    )
+    shaped = shaping.trim_text(shaping.canonical_columns(read))
+    return shaping.replace_columns(shaped, {name: F.col(name).cast(t) for name, t in types.items()})
+
+
+@query("src_csv", _READ_BACK)
+def src_csv(spark, folder):
+    """With a schema and one record a line: files are split and read once."""
+    path, schema = _raw_files(spark, folder)
+    return _typed_back(readers.read_csv(spark, path, schema=schema, multi_line=False))
+
+
+@query("src_csv_multi_line", _READ_BACK)
+def src_csv_multi_line(spark, folder):
+    """Files of unknown columns whose values may hold line breaks."""
+    return _typed_back(readers.read_csv(spark, _raw_files(spark, folder)[0]))
 
 
 @query("src_parquet", "select * from orders")
@@ -185,13 +199,14 @@ def snk_csv(spark, folder):
 
 @query("src_manifest")
 def src_manifest(spark, folder):
-    found = manifest.manifest(spark, folder)
-    return found.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        "file_size_bytes",
-        "sha256",
-        "ingestion_status",
-    )
+    """All tables as files, against a manifest that misses one and has another with an older date."""
+    before = written(manifest.manifest(spark, folder), "manifest")
+    name = F.element_at(F.split("path", "/"), -1)
+    older = F.when(name == "orders.parquet", F.lit(0).cast("timestamp")).otherwise(F.col("modified_at"))
+    stale = F.when(name == "orders.parquet", "stale").otherwise(F.col("sha256"))
+    previous = before.where(name != "nation.parquet").withColumns({"modified_at": older, "sha256": stale})
+    found = manifest.manifest(spark, folder, previous)
+    return found.select(name.alias("file_name"), "file_size_bytes", "sha256", "ingestion_status")
 
 
 def _fingerprint_sql(columns: str, source: str) -> str:

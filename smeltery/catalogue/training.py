@@ -11,7 +11,7 @@ from smeltery.catalogue.registry import query
 from smeltery.operators import contracts, scoring, training
 from smeltery.operators.training import TrainingSetup
 from smeltery.plans import lifecycle
-from smeltery.sources.folders import working_folder
+from smeltery.sources.folders import working_folder, written
 
 FEATURES = ("lines", "total_quantity", "discounts", "taxes")
 
@@ -88,18 +88,27 @@ def comparison(spark, folder):
 
 @query("ml_prepare", with_inputs("select * from prepared"))
 def ml_prepare(spark, folder):
+    """A table with older rows of a third of the parts, which have to go; both gates are run."""
     training.forbid_leakage(SETUP)
-    return prepared_parts(spark, folder)
+    current = parts(spark, folder)
+    older = current.where("part_id % 3 = 0").withColumns(
+        {"lines": F.col("lines") - 1, "revenue": F.lit(0).cast("bigint")}
+    )
+    prepared = written(training.prepare(current.unionByName(older), SETUP, ["lines"]), "prepared")
+    training.check_prepared(prepared, SETUP)
+    return prepared
 
 
 @query(
     "ml_leakage_guard",
-    """select feature, reason, (select count(distinct l_partkey) from lineitem) as affected_rows
-       from (values ('part_id', 'identifier'), ('lines', 'derived'), ('revenue', 'target'))
-         as found(feature, reason)""",
+    with_inputs(
+        """select 'part_id' as feature, 'identifier' as reason, count(part_id) as affected_rows from parts
+           union all select 'lines', 'derived', count(lines) from parts
+           union all select 'revenue', 'target', count(revenue) from parts"""
+    ),
 )
 def ml_leakage_guard(spark, folder):
-    """Findings for a setup that uses every column of the feature table."""
+    """Findings for a setup that uses every column, and how many rows hold each of them."""
     frame = parts(spark, folder)
     careless = TrainingSetup(
         id_column="part_id",
@@ -107,11 +116,11 @@ def ml_leakage_guard(spark, folder):
         target="revenue",
         derived_columns=("lines",),
     )
-    found = spark.createDataFrame(
-        training.leakage_report(careless), "feature string, reason string"
-    )
-    rows = frame.agg(F.count("*").alias("rows")).select(F.struct("rows").alias("r")).scalar()
-    return found.withColumn("affected_rows", rows.getField("rows"))
+    found = [
+        F.struct(F.lit(name).alias("feature"), F.lit(reason).alias("reason"), F.count(name).alias("affected_rows"))
+        for name, reason in training.leakage_report(careless)
+    ]
+    return frame.agg(F.array(*found).alias("found")).select(F.inline("found"))
 
 
 @query("ml_split", with_inputs("select part_id, in_test from flagged"))
@@ -344,34 +353,49 @@ def ml_persist_equivalence(spark, folder):
     )
 
 
+# Fields of a model record, and of which models the deployed one differs in it.
+_GATE = {"version": 5, "alias": 23, "fingerprint": 17, "features": 19, "artifact_sha256": 29, "selection_metric": 31}
+
+
+def _gate_sql(old: bool) -> str:
+    key = "cast(c_custkey as varchar)"
+    fields = ", ".join(
+        f"case when {str(old).lower()} and c_custkey % {n} = 0 then 'old' else '{name} ' || {key} end as {name}"
+        for name, n in _GATE.items()
+    )
+    return (
+        f"select c_name as model_name, {fields}, "
+        "case when c_custkey % 7 = 0 then 'pending' else 'approved' end as status from customer"
+    )
+
+
 @query(
     "ml_champion_gate",
-    """
-    with r as (select c_name as model_name, cast(c_custkey as varchar) as version,
-                 case when c_custkey % 7 = 0 then 'pending' else 'approved' end as status
-               from customer where c_custkey % 11 <> 0),
-         d as (select c_name as model_name,
-                 case when c_custkey % 5 = 0 then 'old' else cast(c_custkey as varchar) end as version,
-                 case when c_custkey % 7 = 0 then 'pending' else 'approved' end as status
-               from customer where c_custkey % 13 <> 0)
+    f"""
+    with r as ({_gate_sql(False)} where c_custkey % 11 <> 0),
+         d as ({_gate_sql(True)} where c_custkey % 13 <> 0)
     select r.model_name, 'not_deployed' as mismatch from r
       where model_name not in (select model_name from d)
     union all select d.model_name, 'not_registered' from d
       where model_name not in (select model_name from r)
-    union all select r.model_name, 'version' from r join d using (model_name)
-      where r.version <> d.version
-    union all select model_name, 'not_approved' from r where status <> 'approved'""",
+    union all select model_name, 'not_approved' from r where status <> 'approved'
+    """
+    + "".join(
+        f" union all select r.model_name, '{name}' from r join d using (model_name) where r.{name} <> d.{name}"
+        for name in _GATE
+    ),
 )
 def ml_champion_gate(spark, folder):
     key = F.col("c_custkey")
     customers = table(spark, folder, "customer")
     status = F.when(key % 7 == 0, "pending").otherwise("approved").alias("validation_status")
-    version = key.cast("string")
-    registered = customers.where(key % 11 != 0).select(
-        F.col("c_name").alias("model_name"), version.alias("version"), status
-    )
-    old = F.when(key % 5 == 0, "old").otherwise(version).alias("version")
-    deployed = customers.where(key % 13 != 0).select(
-        F.col("c_name").alias("model_name"), old, status
-    )
-    return scoring.champion_mismatches(registered, deployed)
+
+    def records(rows, old):
+        fields = []
+        for name, n in _GATE.items():
+            value = F.concat_ws(" ", F.lit(name), key.cast("string"))
+            fields.append((F.when(key % n == 0, "old").otherwise(value) if old else value).alias(name))
+        return rows.select(F.col("c_name").alias("model_name"), *fields, status)
+
+    registered = records(customers.where(key % 11 != 0), old=False)
+    return scoring.champion_mismatches(registered, records(customers.where(key % 13 != 0), old=True))

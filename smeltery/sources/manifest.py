@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 # Fixed value: a raw file below this size is taken for a failed delivery.
 SMALLEST_FILE = 1_000
 
-MANIFEST_SCHEMA = "path string, file_size_bytes bigint, sha256 string"
+MANIFEST_SCHEMA = "path string, file_size_bytes bigint, modified_at timestamp, sha256 string"
 
 
 class SmallFileError(RuntimeError):
     """A raw file is too small to be real."""
 
 
-def file_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+def file_hashes(spark: SparkSession, path: str | list[str], pattern: str = "*") -> DataFrame:
     """Path, size, time and sha256 of every file below ``path``.
 
     One row holds a whole file while it is hashed, so a file is limited to 2 GB
@@ -51,16 +51,36 @@ def with_status(current: DataFrame, previous: DataFrame) -> DataFrame:
     return current.join(before, "path", "left").withColumn("ingestion_status", status)
 
 
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """Path, size and time of every file; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(
+        "path", F.col("length").alias("file_size_bytes"), F.col("modificationTime").alias("modified_at")
+    )
+
+
 def manifest(
     spark: SparkSession,
     path: str,
     previous: DataFrame | None = None,
     smallest: int = SMALLEST_FILE,
 ) -> DataFrame:
-    """Manifest of a raw folder; stops on files that are too small."""
+    """Manifest of a raw folder; stops on files that are too small.
+
+    A file whose size and time are those of the previous manifest keeps its hash; only the others are
+    read and hashed.
+    """
     rejected = [row["path"] for row in small_files(spark, path, smallest).take(5)]
     if rejected:
         raise SmallFileError(f"files below {smallest} bytes, for example {rejected}")
     if previous is None:
         previous = spark.createDataFrame([], MANIFEST_SCHEMA)
-    return with_status(file_hashes(spark, path), previous)
+    same = ["path", "file_size_bytes", "modified_at"]
+    kept = _listed(spark, path).join(previous.select(*same, "sha256"), same)
+    known = {row["path"] for row in kept.select("path").toLocalIterator()}
+    every = [row["path"] for row in _listed(spark, path).select("path").toLocalIterator()]
+    changed = [p for p in every if p not in known]
+    current = kept.select(*same, "sha256")
+    if changed:
+        current = current.unionByName(file_hashes(spark, changed).select(*same, "sha256"))
+    return with_status(current, previous)
