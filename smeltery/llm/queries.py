@@ -22,6 +22,7 @@ from smeltery.llm import (
     repeats,
     simhash,
     substrings,
+    twins,
 )
 from smeltery.llm.packaging import shipped
 
@@ -128,12 +129,12 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-@query("op1_substring_dedup")
+@query("op1_substring_dedup", twins.REPEATED_WORDS)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.deduplicate(table(spark, folder, "documents")).drop("kept")
 
 
-@query("op9_maximal_repeats")
+@query("op9_maximal_repeats", twins.REPEATED_BYTES)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.deduplicate(table(spark, folder, "documents")).drop("kept")
 
@@ -157,7 +158,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-@query("op4_embedding_groups")
+@query("op4_embedding_groups", twins.NEAR_VECTORS)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.near_duplicates(table(spark, folder, "embeddings"))
 
