@@ -4,9 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 import oracle
+from smeltery.catalogue import ORACLES, QUERIES
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -31,4 +30,5 @@ def test_entry_gives_features(spark):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries())
