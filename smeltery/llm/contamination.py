@@ -2,17 +2,20 @@
 
 Words are compared without case and ASCII punctuation. The benchmark is the query set; it is read to
 the driver in blocks of at most ``BLOCK_ITEMS`` items, each with tables bounded by the block's size.
-For each block, three passes over all documents:
+A block's items are of like length: at most 64 words, 128, 256 and so on. For each block, three passes
+over all documents:
 
 1. *Document frequencies* of the block's words. Each item keeps its rarest words, which hold
    ``WEIGHT`` of the squared length of its TF-IDF vector; common words hold next to nothing of it.
-2. *Randomised SVD*: passages are runs of three blocks of words, each next one a block further. With A
+2. *Randomised SVD*: passages are runs of three blocks of words, each next one a block further; a block
+   of words is half the longest item of the class. With A
    the TF-IDF matrix of all passages (over the terms kept) and B that of the items, tasks add up
    ``A'A`` times a random matrix; the driver adds ``B'B`` times the same, so that the items' own
    directions are always among those found, and takes the singular vectors of the small sketch.
-3. *Search*: passages and items are compared by the cosine of their latent vectors; a passage without
-   any term kept has none. Candidates are then read word by word: the longest common subsequence with
-   the item, and with its answer.
+3. *Search*: a passage that keeps ``SIMILAR`` of an item has so many of its words, less those of the
+   terms not kept. Passages that hold so many of an item's kept words, whatever else they hold, are
+   read word by word: the longest common subsequence with the item, and with its answer. The cosine of
+   the latent vectors is reported and does not decide.
 
 An item's answer is what follows ``answer`` and a colon, or else its last fifth. A document holds an
 item when a passage keeps ``SAME`` of the item in order, or ``SIMILAR`` of the item and of its answer.
@@ -35,7 +38,8 @@ from smeltery.llm.words import Terms, hashes_of, plain_words, words_of
 BLOCK_ITEMS = 256
 WEIGHT = 0.65
 OVERSAMPLING = 16
-COSINE = 0.35
+#: Items and terms of passages are met so many at a time.
+MET = 1 << 22
 SAME = 0.8
 SIMILAR = 0.6
 
@@ -203,7 +207,12 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(size > 0, size, 1)
 
 
-def _searcher(docs: DataFrame, items: list[Item]):
+def least_words(size: int) -> int:
+    """Words of an item of ``size`` words that a subsequence of the share ``SIMILAR`` has."""
+    return next(n for n in range(int(SIMILAR * size), size + 1) if n / size >= SIMILAR)
+
+
+def _searcher(docs: DataFrame, items: list[Item], block: int):
     """A function that finds items in a column of texts; ``docs`` have the corpus as ``text``."""
     everything = Terms.of(np.array([w for i in items for w in i.words], np.uint64))
     n_docs, held = _frequencies(docs, everything)
@@ -217,14 +226,24 @@ def _searcher(docs: DataFrame, items: list[Item]):
         kept.append(own[order[before < WEIGHT * weight.sum()]])
     terms = Terms.of(np.concatenate(kept))
     rarity = rarity[np.searchsorted(everything.hashes, terms.hashes)]
-    block = max(32, -(-max(len(i.words) for i in items) // 2))
-
-    known = np.zeros((len(items), len(terms.hashes)))
-    for row, item in zip(known, items):
-        places, term = terms.find(np.array(item.words, np.uint64))
-        np.add.at(row, term, rarity[term])
-    rank = min(len(terms.hashes), len(items) + OVERSAMPLING)
-    test = np.random.default_rng(11).normal(size=(len(terms.hashes), rank))
+    size = len(terms.hashes)
+
+    known = np.zeros((len(items), size))
+    meeting = []  # term, item, kept words of the item that are the term
+    for number, (item, own) in enumerate(zip(items, kept)):
+        words = np.array(item.words, np.uint64)
+        term = terms.find(words)[1]
+        np.add.at(known[number], term, rarity[term])
+        term, count = np.unique(terms.find(words[np.isin(words, own)])[1], return_counts=True)
+        meeting.append((term, np.full(len(term), number), count))
+    in_term, in_item, in_count = (np.concatenate(x) for x in zip(*meeting))
+    dropped = np.array([len(i.words) for i in items]) - np.bincount(in_item, in_count)
+    least = np.maximum(np.array([least_words(len(i.words)) for i in items]) - dropped, 1)
+    order = np.argsort(in_term, kind="stable")
+    in_item, in_count = in_item[order], in_count[order]
+    edges = np.searchsorted(in_term[order], np.arange(size + 1))
+    rank = min(size, len(items) + OVERSAMPLING)
+    test = np.random.default_rng(11).normal(size=(size, rank))
     counted = _sketch(docs, terms, (rarity[:, None] * test).astype(np.float32), block)
     corpus = rarity[:, None] * counted
     own = known.T @ (known @ test)
@@ -233,6 +252,33 @@ def _searcher(docs: DataFrame, items: list[Item]):
     basis = latent_basis(corpus + own, test).astype(np.float32)
     targets = _unit(_unit(known) @ basis).astype(np.float32)
 
+    def candidates(found: _Passages, term: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Passages and items of which they hold enough kept words."""
+        inside = found.within[found.block]
+        some = inside < len(found.doc)
+        passage, held = np.divmod(np.unique(inside[some] * size + np.repeat(term, 3).reshape(-1, 3)[some]), size)
+        meets = edges[held + 1] - edges[held]
+        ends = np.append(np.flatnonzero(np.diff(passage)) + 1, len(passage))
+        load = np.cumsum(meets)[ends - 1] + np.arange(1, len(ends) + 1) * len(items)
+        low = done = 0
+        while low < len(ends):
+            high = max(low + 1, int(np.searchsorted(load, done + MET, "right")))
+            some = slice(ends[low - 1] if low else 0, ends[high - 1])
+            n, head = meets[some], edges[held[some]]
+            at = np.repeat(head - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            base = int(passage[some.start])
+            place = np.repeat(passage[some] - base, n) * len(items) + in_item[at]
+            rows = int(passage[some.stop - 1]) - base + 1
+            words = np.bincount(place, in_count[at], rows * len(items)).reshape(rows, len(items))
+            where, number = np.nonzero(words >= least)
+            yield from zip((where + base).tolist(), number.tolist())
+            low, done = high, int(load[high - 1])
+
+    def cosine(read: np.ndarray, number: int) -> float:
+        term = terms.find(read)[1]
+        vector = (rarity[term, None] * basis[term]).sum(axis=0)
+        return float(_unit(vector[None, :])[0] @ targets[number])
+
     def held_by(column: pa.Array) -> dict[tuple[int, int], tuple]:
         """Shares and cosine of the best passage for each text and item that it holds."""
         words, first = words_of(column)
@@ -241,35 +287,41 @@ def _searcher(docs: DataFrame, items: list[Item]):
         if not len(places):
             return best
         found = _passages(places, first, block)
-        weighed = (rarity[term, None] * basis[term]).astype(np.float32)
-        near = _unit(_three(np.add.reduceat(weighed, found.heads, axis=0), found.parts)) @ targets.T
-        for where, number in zip(*(x.tolist() for x in np.nonzero(near >= COSINE))):
+        for where, number in candidates(found, term):
             d, item = int(found.doc[where]), items[number]
             start = int(first[d] + found.at[where] * block)
-            read = words[start : min(start + 3 * block, int(first[d + 1]))].tolist()
+            passage = words[start : min(start + 3 * block, int(first[d + 1]))]
+            read = passage.tolist()
             share = common_subsequence(item.masks, len(item.words), read) / len(item.words)
             if share < SIMILAR:
                 continue
             answer = common_subsequence(item.answer_masks, len(item.answer), read) / len(item.answer)
             if share >= SAME or answer >= SIMILAR:
-                shares = (share, answer, float(near[where, number]))
+                shares = (share, answer, cosine(passage, number))
                 best[d, number] = max(best.get((d, number), shares), shares)
         return best
 
     return held_by
 
 
+def half_longest(size: int) -> int:
+    """Words in a block of passages for items of ``size`` words: 32, 64, 128 and so on."""
+    return 1 << max(5, (size - 1).bit_length() - 1)
+
+
 def _searchers(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str) -> Iterator:
     """One for each block of items, and its items; the query set is read a block at a time."""
-    corpus, held = docs.select(F.col(text).cast("string").alias("text")), []
+    corpus, held = docs.select(F.col(text).cast("string").alias("text")), {}
     for number, value in benchmark.select(F.col(item).cast("bigint"), F.col(item_text).cast("string")).toLocalIterator():
         made = make_item(number, value or "")
-        held += [made] if made else []
-        if len(held) == BLOCK_ITEMS:
-            yield _searcher(corpus, held), held
-            held = []
-    if held:
-        yield _searcher(corpus, held), held
+        if not made:
+            continue
+        block = half_longest(len(made.words))
+        held.setdefault(block, []).append(made)
+        if len(held[block]) == BLOCK_ITEMS:
+            yield _searcher(corpus, held[block], block), held.pop(block)
+    for block, items in sorted(held.items()):
+        yield _searcher(corpus, items, block), items
 
 
 def find_leaks(

@@ -72,3 +72,39 @@ def test_basis_holds_the_matrix():
     test = rng.normal(size=(60, 12))
     basis = c.latent_basis(low @ (low.T @ test), test)
     assert basis.shape == (60, 8) and np.allclose(basis @ (basis.T @ low), low, atol=1e-6)
+
+
+def brute_by_length(docs, items):
+    """Pairs held, with passages for items of like length."""
+    classes = {}
+    for i, t in items:
+        classes.setdefault(c.half_longest(len(c.plain_words(t))), []).append((i, t))
+    held = set()
+    for block, own in classes.items():
+        made = [c.make_item(i, t) for i, t in own]
+        for k, text in docs:
+            words = c.hashes_of(c.plain_words(text)).tolist()
+            for start in range(0, len(words), block):
+                read = words[start : start + 3 * block]
+                for m in made:
+                    share = c.common_subsequence(m.masks, len(m.words), read) / len(m.words)
+                    answer = c.common_subsequence(m.answer_masks, len(m.answer), read) / len(m.answer)
+                    if share >= c.SAME or (share >= c.SIMILAR and answer >= c.SIMILAR):
+                        held.add((k, m.item_id))
+    return held
+
+
+def test_all_items_in_a_row_and_mixed_lengths(spark):
+    rng = np.random.default_rng(12)
+    vocabulary = ["".join(rng.choice(list("abcdefghijk"), 5)) for _ in range(2000)]
+    say = lambda n: " ".join(vocabulary[i] for i in rng.integers(0, 2000, n))
+    sizes = [15, 18, 22, 40, 64, 65, 130, 400, 1000] + [16] * 60
+    items = [(i, say(n)) for i, n in enumerate(sizes)]
+    docs = [(1, " ".join(t for _, t in items)), (2, " ".join(t for _, t in items[::-1])), (3, say(600))]
+    docs += [(10 + i, f"{say(100)} {t} {say(70)}") for i, t in items]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in c.find_leaks(frame, bench).collect()}
+    assert got == brute_by_length(docs, items)
+    assert got >= {(d, i) for i, _ in items for d in (1, 2, 10 + i)}
+    assert [r.doc_id for r in c.without_leaks(frame, bench).collect()] == [3]
