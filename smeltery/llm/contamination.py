@@ -5,13 +5,14 @@ the driver in blocks of at most ``BLOCK_ITEMS`` items, each with tables bounded
 A block's items are of like length: at most 64 words, 128, 256 and so on. For each block, three passes
 over all documents:
 
-1. *Document frequencies* of the block's words. Each item keeps its rarest words, which hold
-   ``WEIGHT`` of the squared length of its TF-IDF vector; common words hold next to nothing of it.
+1. *Document frequencies* of the block's words. Each item leaves out its commonest words, as long as
+   they are at most ``LEFT_OUT`` of it. That is less than ``SIMILAR``: whatever keeps ``SIMILAR`` of the
+   item holds some of the other words, so no passage that counts is lost.
 2. *Randomised SVD*: passages are runs of three blocks of words, each next one a block further; a block
-   of words is half the longest item of the class. With A
-   the TF-IDF matrix of all passages (over the terms kept) and B that of the items, tasks add up
-   ``A'A`` times a random matrix; the driver adds ``B'B`` times the same, so that the items' own
-   directions are always among those found, and takes the singular vectors of the small sketch.
+   is half as long as the items of the class may be. With A the TF-IDF matrix of all passages (over the
+   terms kept) and B that of the items, tasks add up ``A'A`` times a random matrix; the driver adds
+   ``B'B`` times the same, so that the items' own directions are always among those found, and takes
+   the singular vectors of the small sketch.
 3. *Search*: a passage that keeps ``SIMILAR`` of an item has so many of its words, less those of the
    terms not kept. Passages that hold so many of an item's kept words, whatever else they hold, are
    read word by word: the longest common subsequence with the item, and with its answer. The cosine of
@@ -36,12 +37,13 @@ from smeltery.llm import texts
 from smeltery.llm.words import Terms, hashes_of, plain_words, words_of
 
 BLOCK_ITEMS = 256
-WEIGHT = 0.65
 OVERSAMPLING = 16
 #: Items and terms of passages are met so many at a time.
 MET = 1 << 22
 SAME = 0.8
 SIMILAR = 0.6
+#: Must be less than SIMILAR; a smaller share reads fewer passages and meets more common words.
+LEFT_OUT = 0.5
 
 def common_subsequence(masks: dict, size: int, words) -> int:
     """Length of the longest common subsequence; ``masks`` has the places of each word as bits."""
@@ -219,11 +221,10 @@ def _searcher(docs: DataFrame, items: list[Item], block: int):
     rarity = np.log((n_docs + 1) / (held + 1)) + 1e-3
     kept = []
     for item in items:
-        own = np.unique(np.array(item.words, np.uint64))
-        weight = rarity[np.searchsorted(everything.hashes, own)] ** 2
-        order = np.argsort(-weight, kind="stable")
-        before = np.cumsum(weight[order]) - weight[order]
-        kept.append(own[order[before < WEIGHT * weight.sum()]])
+        own, count = np.unique(np.array(item.words, np.uint64), return_counts=True)
+        order = np.argsort(-held[np.searchsorted(everything.hashes, own)], kind="stable")  # commonest first
+        most = min(LEFT_OUT * len(item.words), least_words(len(item.words)) - 1)
+        kept.append(own[order[np.cumsum(count[order]) > most]])
     terms = Terms.of(np.concatenate(kept))
     rarity = rarity[np.searchsorted(everything.hashes, terms.hashes)]
     size = len(terms.hashes)
@@ -238,7 +239,7 @@ def _searcher(docs: DataFrame, items: list[Item], block: int):
         meeting.append((term, np.full(len(term), number), count))
     in_term, in_item, in_count = (np.concatenate(x) for x in zip(*meeting))
     dropped = np.array([len(i.words) for i in items]) - np.bincount(in_item, in_count)
-    least = np.maximum(np.array([least_words(len(i.words)) for i in items]) - dropped, 1)
+    least = np.array([least_words(len(i.words)) for i in items]) - dropped
     order = np.argsort(in_term, kind="stable")
     in_item, in_count = in_item[order], in_count[order]
     edges = np.searchsorted(in_term[order], np.arange(size + 1))

@@ -108,3 +108,23 @@ def test_all_items_in_a_row_and_mixed_lengths(spark):
     assert got == brute_by_length(docs, items)
     assert got >= {(d, i) for i, _ in items for d in (1, 2, 10 + i)}
     assert [r.doc_id for r in c.without_leaks(frame, bench).collect()] == [3]
+
+
+def test_paraphrases_of_the_rare_words(spark):
+    rng = np.random.default_rng(14)
+    common = ["".join(rng.choice(list("abcdefghijk"), 4)) for _ in range(60)]
+    new = iter(f"new{i}" for i in range(100_000))
+    say = lambda n: [common[i] for i in rng.integers(0, 60, n)]
+    items, docs = [], [(i, " ".join(say(300))) for i in range(60)]
+    for i in range(10):
+        rare = {int(k) for k in rng.choice(22, 11, replace=False)}
+        words = [next(new) if k in rare else w for k, w in enumerate(say(28))]
+        items.append((i, " ".join(words)))
+        # All rare words replaced: 17 of 28 are left, with the answer.
+        docs.append((100 + i, " ".join(say(50) + [next(new) if k in rare else w for k, w in enumerate(words)] + say(50))))
+        docs.append((200 + i, " ".join(say(50) + words + say(50))))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in c.find_leaks(frame, bench).collect()}
+    assert got == brute(docs, items)
+    assert got >= {(d + i, i) for i in range(10) for d in (100, 200)}
