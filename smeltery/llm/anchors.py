@@ -46,7 +46,7 @@ HELD = 1 << 20
 CROWD = 64
 SPLIT_ANCHORS = 100_000
 
-SEGMENT = "key bigint, content int, rank bigint, twin bigint, first bigint, windows int"
+SEGMENT = "key bigint, content bigint, rank bigint, twin bigint, first bigint, windows int"
 
 
 @dataclass(frozen=True)
@@ -169,7 +169,7 @@ def _held_segments(docs: DataFrame, cut: Cut, split: np.ndarray, use: Callable,
                 rank = batch.column(0).to_numpy(zero_copy_only=False)
                 twin = batch.column(1).to_numpy(zero_copy_only=False)
                 held.append((
-                    key.astype(np.int64), content.astype(np.uint32).astype(np.int32), rank[doc], twin[doc],
+                    key.astype(np.int64), content.astype(np.int64), rank[doc], twin[doc],
                     start, windows.astype(np.int32),
                 ))
                 count += len(doc)

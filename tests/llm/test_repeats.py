@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from smeltery.llm import anchors, repeats, substrings
@@ -127,3 +128,17 @@ def test_all_places_of_each_repeat():
     segments = [(0, i, 0, 0, len(t) - 3, t) for i, t in enumerate(texts)]
     got = sorted((n, sorted(zip(o.tolist(), s.tolist()))) for n, o, s in repeats.maximal_repeats(segments, 4))
     assert got == [(5, [(0, 2), (1, 1), (2, 0), (3, 1)]), (6, [(0, 2), (1, 1), (3, 1)]), (8, [(0, 2), (3, 1)])]
+
+
+def test_contents_that_share_32_bits_stay_apart(monkeypatch):
+    one = np.array([5, 5], np.uint64)
+    found = (np.array([0, 1]), np.zeros(2, np.int64), np.ones(2, np.int64), one, np.array([7, 7 + 2**32], np.uint64))
+    monkeypatch.setattr(anchors, "cut_segments", lambda *_: found)
+
+    class Frame:
+        mapInArrow = staticmethod(lambda run, schema: run)
+
+    run = anchors._held_segments(Frame, anchors.Cut(True, 20, 8), one[:0], anchors._collapse, anchors.SEGMENT)
+    batch = pa.RecordBatch.from_pydict({"rank": [1, 2], "twin": [0, 0], "text": ["a", "b"]})
+    kinds = [k for part in run(iter([batch])) for k in part.column(0).to_pylist()]
+    assert kinds == [anchors.SINGLE, anchors.SINGLE]
