@@ -3,16 +3,20 @@
 Vectors are compared within a *space*: equal label and length. Equal vectors are one node with a
 number of copies, so groups of copies cost nothing.
 
-1. *Start*: a forest of random hyperplanes deals each space into cells, whose number follows the
-   space's size; crowded cells are split into blocks. Each node's list takes its nearest in its blocks.
-2. *Descent*: all nodes that a node is listed with, in either direction, are compared with each other
+1. *Truth*: a bounded sample of each space is compared with the whole space, and grows where it holds
+   few links. A space whose sample still holds too few to judge by is compared as a whole (see 6).
+2. *Start*: a forest of random hyperplanes through the space's mean deals each space into cells, whose
+   number follows the space's size; crowded cells are split by further planes, and what these leave
+   crowded into blocks. Each node's list takes its nearest in its blocks.
+3. *Descent*: all nodes that a node is listed with, in either direction, are compared with each other
    (neighbours of neighbours), and lists keep the nearest found. A hub's company is dealt into chunks.
-3. *Links* are listed pairs at or over the threshold; in the narrow band where single precision can
+4. *Links* are listed pairs at or over the threshold; in the narrow band where single precision can
    not tell, in double precision. Their components are found by joins (see ``graph``).
-4. *Audit*: a bounded sample of nodes is compared with all nodes. While too few of their links lie
-   inside components, descent goes on.
-5. *Saturated lists*, full of links, are enlarged to the node's whole component, which is compared with
-   itself block by block in double precision; only counts leave a block.
+5. *Audit*: while too few of a space's true links are listed, or in a component that is compared as a
+   whole, descent goes on. A space that falls short after the last round is compared as a whole.
+6. *Whole comparisons* go block by block in double precision; of a block's links only counts and a
+   spanning forest leave it. *Saturated lists*, full of links, are enlarged to the node's component,
+   which is compared in the same way.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from smeltery.llm.graph import components
@@ -34,7 +38,11 @@ BLOCK = 256
 CELL = 64
 #: Single precision errs by less than this for unit vectors.
 BAND = 1e-5
-AUDITED = 200
+#: Nodes of a space in the first and in the enlarged sample, links that a sample must hold to judge by,
+#: and links that it takes of a node from any block.
+AUDITED = 512, 4096
+ENOUGH = 100
+TAKEN = 4
 RECALL = 0.99
 MOST_ROUNDS = 8
 
@@ -86,9 +94,34 @@ def _nearest(rows: DataFrame, size: int) -> DataFrame:
     return rows.groupBy("u", "v").agg(F.max("sim").alias("sim")).groupBy("u").agg(F.slice(ordered, 1, size).alias("near"))
 
 
+def _means(nodes: DataFrame) -> DataFrame:
+    """``space, n, mean``"""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        counts: dict[str, int] = {}
+        for batch in batches:
+            names = np.array(batch.column(0).to_pylist(), object)
+            for name in set(names):
+                part = _matrix(batch.column(1).take(pa.array(np.flatnonzero(names == name))), np.float64)
+                sums[name] = sums.get(name, 0) + part.sum(axis=0)
+                counts[name] = counts.get(name, 0) + len(part)
+        if sums:
+            columns = [pa.array(list(sums)), pa.array(counts.values(), pa.int64()), pa.array(list(sums.values()), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["space", "n", "total"])
+
+    def add(table: pa.Table) -> pa.Table:
+        n = sum(table.column("n").to_pylist())
+        mean = _matrix(table.column("total"), np.float64).sum(axis=0) / n
+        return pa.table({"space": table.column("space")[:1], "n": [n], "mean": pa.array([mean], pa.list_(pa.float64()))})
+
+    parts = nodes.select("space", "short").mapInArrow(run, "space string, n bigint, total array<double>")
+    return parts.groupBy("space").applyInArrow(add, "space string, n bigint, mean array<double>")
+
+
 def _forest(nodes: DataFrame, size: int, trees: int, seed: int) -> DataFrame:
     """Listed pairs ``u, v, sim`` from the cells of random trees."""
-    counted = nodes.join(nodes.groupBy("space").agg(F.count(F.lit(1)).alias("n")), "space")
+    counted = nodes.join(_means(nodes), "space")
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,16 +132,26 @@ def _forest(nodes: DataFrame, size: int, trees: int, seed: int) -> DataFrame:
                 some = np.flatnonzero(lengths == length)
                 part = batch.take(pa.array(some))
                 vectors = _matrix(part.column(2))
+                centred = vectors - _matrix(part.column(4))
                 planes = np.random.default_rng([seed, int(length)]).normal(size=(trees, 40, length))
                 for tree in range(trees):
-                    side = (vectors @ planes[tree].T > 0) & (np.arange(40) < bits[some, None])
-                    code = (side.astype(np.int64) << np.arange(40)).sum(axis=1)
-                    arrays = [pa.array(np.full(len(some), tree, np.int32)), pa.array(code), *part.columns[:3]]
-                    yield pa.RecordBatch.from_arrays(arrays, ["tree", "code", "node", "space", "short"])
-
-    placed = counted.select("node", "space", "short", "n").mapInArrow(
-        cells, "tree int, code bigint, node bigint, space string, short array<float>"
+                    side = (centred @ planes[tree].T > 0).astype(np.int64) << np.arange(40)
+                    used = np.arange(40) < bits[some, None]
+                    code, more = (side * used).sum(axis=1), (side * ~used).sum(axis=1)
+                    arrays = [np.full(len(some), tree, np.int32), code, more, bits[some]]
+                    names = ["tree", "code", "more", "bits", "node", "space", "short"]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, arrays), *part.columns[:3]], names)
+
+    placed = counted.select("node", "space", "short", "n", "mean").mapInArrow(
+        cells, "tree int, code bigint, more bigint, bits bigint, node bigint, space string, short array<float>"
     )
+    # A crowded cell takes as many further planes as would make cells of the usual size.
+    crowded = placed.groupBy("tree", "space", "code").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > BLOCK)
+    last = F.least(F.lit(40), F.col("bits") + F.ceil(F.log2(F.col("held") / CELL))).cast("int")
+    further = F.col("more").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), last) - 1)
+    placed = placed.join(crowded, ["tree", "space", "code"], "left").withColumn(
+        "code", F.col("code") + F.coalesce(further, F.lit(0))
+    ).drop("more", "bits", "held")
     cell = ["tree", "space", "code"]
     crowds = placed.groupBy(cell).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     dealt = placed.join(crowds, cell).withColumn(
@@ -183,43 +226,69 @@ def _links(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return sure.unionByName(unsure.where(cosine >= threshold).select("a", "b"))
 
 
-def audited_recall(nodes: DataFrame, groups: DataFrame, threshold: float, sample: int, seed: int) -> float:
-    """Share of the links of a sample of nodes, by comparison with all nodes, that lie inside a component."""
-    chosen = nodes.orderBy(F.xxhash64(F.lit(seed), "node")).limit(sample).select("node", "space", "unit").collect()
-    if not chosen:
-        return 1.0
-    by_space: dict[str, tuple] = {}
-    for space in {r.space for r in chosen}:
-        own = [r for r in chosen if r.space == space]
-        by_space[space] = np.array([r.node for r in own]), np.array([r.unit for r in own])
+def _sampled_links(nodes: DataFrame, threshold: float, sample: int, seed: int) -> DataFrame:
+    """``space, a, b``: links of a sample of each space with the whole space, some for each node and block."""
+    counts = nodes.groupBy("space").agg(F.ceil(F.count(F.lit(1)) / (8 * BLOCK)).alias("blocks"))
+    order = Window.partitionBy("space").orderBy(F.xxhash64(F.lit(seed), "node"), "node")
+    chosen = nodes.select("space", "node", F.row_number().over(order).alias("rank")).where(F.col("rank") <= sample)
+    asked = nodes.join(chosen.select("node"), "node").join(counts, "space").select(
+        "space", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), "node", "unit",
+        F.lit(True).alias("asked"),
+    )
+    rest = nodes.join(counts, "space").select(
+        "space", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), "node", "unit", F.lit(False).alias("asked")
+    )
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            space = np.array(batch.column(1).to_pylist())
-            for name, (ids, vectors) in by_space.items():
-                some = batch.take(pa.array(np.flatnonzero(space == name)))
-                if not some.num_rows:
-                    continue
-                node = some.column(0).to_numpy()
-                row, column = np.nonzero(_matrix(some.column(2), np.float64) @ vectors.T >= threshold)
-                other = node[row] != ids[column]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[column][other]), pa.array(node[row][other])], ["a", "b"])
-
-    pairs = nodes.select("node", "space", "unit").mapInArrow(compare, "a bigint, b bigint")
-    both = pairs.join(groups.toDF("a", "ca"), "a", "left").join(groups.toDF("b", "cb"), "b", "left")
-    found = F.sum((F.col("ca") == F.col("cb")).cast("int"))
-    total, inside = both.agg(F.count(F.lit(1)), found).first()
-    return (inside or 0) / total if total else 1.0
-
-
-def _scanned(members: DataFrame, threshold: float) -> DataFrame:
-    """``node, links`` for all members of a component, compared block by block."""
-    size = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / (2 * BLOCK)).alias("blocks"))
-    dealt = members.join(size, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    def meet(table: pa.Table) -> pa.Table:
+        node, asks = table.column("node").to_numpy(), table.column("asked").to_numpy()
+        vectors = _matrix(table.column("unit"), np.float64)
+        linked = vectors[asks] @ vectors[~asks].T >= threshold
+        row, column = np.nonzero(linked & (node[asks][:, None] != node[~asks][None, :]))
+        mix = np.lexsort((np.random.default_rng(seed).random(len(row)), row))
+        row, column = row[mix], column[mix]
+        few = np.arange(len(row)) - np.searchsorted(row, row) < TAKEN
+        a, b = node[asks][row[few]], node[~asks][column[few]]
+        space = pa.array([table.column("space")[0].as_py()] * len(a), pa.string())
+        return pa.table({"space": space, "a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return rest.unionByName(asked).groupBy("space", "block").applyInArrow(meet, "space string, a bigint, b bigint")
+
+
+def _truth(nodes: DataFrame, threshold: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Sampled links ``space, a, b`` to judge by, and the spaces that have too few."""
+    left, truth = nodes.select("space", "node", "unit"), None
+    for sample in AUDITED:
+        large = left.groupBy("space").count().where(F.col("count") > (sample if truth is not None else 0)).select("space")
+        found = written(_sampled_links(left.join(large, "space", "left_semi"), threshold, sample, seed), "truth").distinct()
+        rich = found.groupBy("space").count().where(F.col("count") >= ENOUGH).select("space")
+        some = found.join(rich, "space", "left_semi")
+        truth = some if truth is None else truth.unionByName(some)
+        left = left.join(rich, "space", "left_anti")
+    return truth, written(left.select("space").distinct(), "spaces")
+
+
+def short_of_truth(truth: DataFrame, links: DataFrame, groups: DataFrame, crowded: DataFrame) -> DataFrame:
+    """Spaces that miss too many true links; links inside of ``crowded`` components will be found."""
+    whole = groups.join(crowded, "component", "left_semi")
+    both = truth.join(links.withColumn("listed", F.lit(1)), ["a", "b"], "left")
+    both = both.join(whole.toDF("ca", "a"), "a", "left").join(whole.toDF("cb", "b"), "b", "left")
+    found = F.sum(F.coalesce(F.col("listed"), (F.col("ca") == F.col("cb")).cast("int"), F.lit(0)))
+    judged = both.groupBy("space").agg(F.count(F.lit(1)).alias("true"), found.alias("found"))
+    return written(judged.where(F.col("found") < RECALL * F.col("true")).select("space"), "short")
+
+
+def _scanned(members: DataFrame, by: str, threshold: float) -> DataFrame:
+    """``node, links, peer`` of all members of a ``by`` that have links, compared block by block.
+
+    A node has a row for each pair of blocks that holds links of it; ``peer`` is the least node that
+    these links reach within the two blocks.
+    """
+    size = members.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / (2 * BLOCK)).alias("blocks"))
+    dealt = members.join(size, by).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     # Each block meets each other once, and itself.
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
-    paired = dealt.select("component", "node", "unit", "copies", "block", other).select(
-        "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+    paired = dealt.select(by, "node", "unit", "copies", "block", other).select(
+        by, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         "block", "node", "unit", "copies",
     )
 
@@ -230,14 +299,19 @@ def _scanned(members: DataFrame, threshold: float) -> DataFrame:
         one, two = np.flatnonzero(block == low), np.flatnonzero(block == high)
         linked = vectors[one] @ vectors[two].T >= threshold
         linked &= node[one][:, None] != node[two][None, :]
-        parts = [(node[one], linked @ copies[two])]
+        peer, before = node.copy(), None
+        while linked.any() and not np.array_equal(peer, before):
+            before = peer.copy()
+            peer[one] = np.minimum(peer[one], np.where(linked, peer[two][None, :], peer.max()).min(axis=1))
+            peer[two] = np.minimum(peer[two], np.where(linked, peer[one][:, None], peer.max()).min(axis=0))
+        parts = [(node[one], linked @ copies[two], peer[one])]
         if low != high:
-            parts.append((node[two], linked.T @ copies[one]))
-        nodes, links = (np.concatenate(c) for c in zip(*parts))
-        return pa.table({"node": nodes, "links": links.astype(np.int64)})
+            parts.append((node[two], linked.T @ copies[one], peer[two]))
+        nodes, links, peers = (np.concatenate(c) for c in zip(*parts))
+        some = links > 0
+        return pa.table({"node": nodes[some], "links": links[some].astype(np.int64), "peer": peers[some]})
 
-    counted = paired.groupBy("component", "low", "high").applyInArrow(count, "node bigint, links bigint")
-    return counted.groupBy("node").agg(F.sum("links").alias("links"))
+    return paired.groupBy(by, "low", "high").applyInArrow(count, "node bigint, links bigint, peer bigint")
 
 
 def near_duplicates(
@@ -262,26 +336,34 @@ def near_duplicates(
     """
     rows = spaces(vectors, key, vector, label)
     nodes = _normalised(rows)
-    total = nodes.count()
-    lists = written(_nearest(_forest(nodes, size, trees, seed), size), "lists")
+    truth, exact = _truth(nodes, threshold, seed)
+    judged = written(nodes.join(exact, "space", "left_anti"), "judged")
+    total = judged.count()
+    lists = written(_nearest(_forest(judged, size, trees, seed), size), "lists")
     for done in range(1, MOST_ROUNDS + 1):
-        lists = _descend(lists, nodes, size, total)
-        if done < rounds:
+        lists = _descend(lists, judged, size, total)
+        if done < rounds and done < MOST_ROUNDS:
             continue
-        links = written(_links(lists, nodes, threshold), "links")
+        links = written(_links(lists, judged, threshold), "links")
         groups = written(components(links), "groups")
-        if audited_recall(nodes, groups, threshold, AUDITED, seed + done) >= RECALL:
+        # Lists full of links may miss some: their components are compared as a whole.
+        full = lists.where(
+            (F.size("near") >= size) & (F.element_at("near", -1)["sim"] >= threshold - BAND)
+        ).select(F.col("u").alias("node"))
+        crowded = groups.join(full, "node").select("component").distinct()
+        short = short_of_truth(truth, links, groups, crowded)
+        if short.isEmpty():
             break
 
-    # Lists full of links may miss some: their components are compared as a whole.
-    full = lists.where(
-        (F.size("near") >= size) & (F.element_at("near", -1)["sim"] >= threshold - BAND)
-    ).select(F.col("u").alias("node"))
-    crowded = groups.join(full, "node").select("component").distinct()
+    exact = exact.unionByName(short)
+    members = nodes.select("space", "node", "unit", "copies")
+    whole = written(_scanned(members.join(exact, "space", "left_semi"), "space", threshold), "whole")
+    crowds = members.join(exact, "space", "left_anti").join(groups, "node").join(crowded, "component", "left_semi")
+    scanned = whole.unionByName(_scanned(crowds, "component", threshold))
+    scanned = scanned.groupBy("node").agg(F.sum("links").alias("links"))
+    edges = whole.where("node != peer").select(F.col("peer").alias("a"), F.col("node").alias("b"))
+    groups = written(components(links.unionByName(edges).distinct()), "groups")
     placed = nodes.join(groups, "node")
-    scanned = _scanned(
-        placed.join(crowded, "component", "left_semi").select("component", "node", "unit", "copies"), threshold
-    )
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     weights = nodes.select(F.col("node").alias("b"), "copies")
     listed = both.join(weights, "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("listed"))

@@ -78,3 +78,14 @@ def test_odd_rows(spark):
     assert neighbours.near_duplicates(frame.limit(0)).count() == 0
     alone = neighbours.near_duplicates(frame.where("vec_id = 5"))
     assert [tuple(r) for r in alone.collect()] == [(5, 0, 5, True)]
+
+
+def test_rare_pairs_around_a_common_mean(spark):
+    rng = np.random.default_rng(21)
+    mean = rng.normal(size=32) * 1.5
+    vectors = [(mean + rng.normal(size=32)).tolist() for _ in range(3000)]
+    vectors += [(np.array(v) + rng.normal(size=32) * 0.1).tolist() for v in vectors[:25]]
+    rows = [(i * 7 % 100_003, v, 1) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = sorted((tuple(r) for r in neighbours.near_duplicates(frame).collect()), key=str)
+    assert got == brute(rows) and sum(r[1] for r in got) >= 50
