@@ -19,6 +19,7 @@ from smeltery.llm import (
     neighbours,
     pieces,
     pii,
+    quality,
     repeats,
     simhash,
     substrings,
@@ -166,3 +167,19 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_license_matches")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.find(table(spark, folder, "documents"))
+
+
+@query("op13_quality")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    def held_out(key: Column) -> Column:
+        return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    model = quality.train(docs, labels.where(~held_out(F.col("doc_id"))))
+    return quality.score(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.ACCEPTED).cast("int").alias("predicted"),
+    )
