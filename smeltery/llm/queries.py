@@ -22,6 +22,7 @@ from smeltery.llm import (
     quality,
     repeats,
     simhash,
+    spelling,
     substrings,
     twins,
 )
@@ -183,3 +184,8 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= quality.ACCEPTED).cast("int").alias("predicted"),
     )
+
+
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
