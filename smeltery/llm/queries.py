@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from smeltery.llm import (
     chat,
+    collocations,
     contamination,
     langid,
     licenses,
@@ -189,3 +190,8 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_spelling_variants")
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents"))
+
+
+@query("op12_collocations", twins.COLLOCATIONS)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))

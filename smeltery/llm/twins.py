@@ -71,3 +71,43 @@ select v.vec_id, coalesce(n_links, 0) as n_links, coalesce(component_id, v.vec_i
   coalesce(component_id, v.vec_id) = v.vec_id as kept
 from embeddings v left join named n on v.vec_id = n.a left join counted c on v.vec_id = c.a
 """
+
+# Every run of one to three words of a piece is counted; sums and products are of 128 bits.
+COLLOCATIONS = r"""
+with texts as (
+  select coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as said from documents),
+pieces as (select lang, unnest(regexp_split_to_array(said, '[.,;:!?\x0A-\x0D]')) as piece from texts),
+worded as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces),
+tokens as (select lang, words, unnest(range(1, len(words) + 1)) as i from worded),
+runs as (
+  select lang, 1 as size, words[i] as phrase from tokens
+  union all select lang, 2, words[i] || ' ' || words[i + 1] from tokens where i + 1 <= len(words)
+  union all select lang, 3, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] from tokens
+    where i + 2 <= len(words)),
+counts as (select lang, size, phrase, count(*) as f from runs group by all),
+totals as (select lang, cast(sum(f) as bigint) as n from counts where size = 1 group by lang),
+candidates as (
+  select lang, size, phrase, f as a, string_split(phrase, ' ') as w from counts where size > 1 and f >= 10),
+inner_ones as (
+  select lang, w[1] || ' ' || w[2] as phrase, a from candidates where size = 3
+  union all select lang, w[2] || ' ' || w[3], a from candidates where size = 3),
+longer as (select lang, phrase, max(a) as a from inner_ones group by all),
+own as (
+  select c.* from candidates c left join longer g on c.lang = g.lang and c.phrase = g.phrase and c.size = 2
+  where g.a is null or 100 * g.a < 50 * c.a),
+cuts as (
+  select lang, phrase, a, 1 as k, w[1] as first, array_to_string(w[2:], ' ') as rest from own
+  union all select lang, phrase, a, 2, w[1] || ' ' || w[2], w[3] from own where size = 3),
+judged as (
+  select c.lang, c.phrase, c.a, k, l.f as l, r.f as r,
+    cast(cast(c.a as hugeint) * c.a * 1000000 // (cast(l.f as hugeint) * r.f) as bigint) as score
+  from cuts c join counts l on c.lang = l.lang and c.first = l.phrase
+    join counts r on c.lang = r.lang and c.rest = r.phrase),
+best as (
+  select * from judged qualify row_number() over (partition by lang, phrase order by score, k) = 1)
+select b.lang, row_number() over (partition by b.lang order by score desc, a desc, phrase) as rank,
+  phrase, a, l, r, n, score
+from best b join totals t on b.lang = t.lang
+qualify rank <= 2000
+"""
