@@ -1,17 +1,18 @@
 """Phrase collocations by Toivonen mining: a sample proposes, full passes count and close the border.
 
-1. *Sample*: phrases that occur at least twice in a quarter of the documents are proposed.
-   Proposals are closed downwards: a phrase is proposed only if its parts are.
-2. *Full pass*: exact counts of all words, and of every phrase whose two parts (without its last and
-   without its first word) are proposed. These are the proposals and their negative border.
+1. *Sample*: phrases that occur at least twice in a quarter of the documents are proposed. Proposals
+   are closed downwards: a phrase is proposed only if its parts are.
+2. *Full pass*: counts of all words, and of every phrase whose two parts (without its last and without
+   its first word) are proposed. These are the proposals and their negative border.
 3. *Expansion*: phrases of the border that turn out frequent are added to the proposals, and another
    pass counts what this adds to the border. Passes end when no frequent phrase is left outside.
-4. *Score*: the counts of a phrase's parts are joined to it, and arithmetic is in decimals of 38 digits.
+4. *Texts*: passes count 64-bit codes. Two phrases with one code can only raise its count, so no
+   frequent phrase is missed; phrases with a frequent code are then counted as text, exactly.
+5. *Score*: the counts of a phrase's parts are joined to it, and arithmetic is in decimals of 38 digits.
 
 Tasks know the proposals as one bitmap of ``PLACES`` bits a phrase length, whatever the corpus: a
-phrase that shares a place with a proposal is counted too, which costs time and changes nothing, since
-counts are exact and each phrase is counted in exactly one pass. Phrases travel as text and
-are never told apart by a hash.
+phrase that shares a place with a proposal is counted too, which costs time and changes nothing. Each
+phrase is counted in exactly one pass.
 
 Null texts are empty, a null language is ``und``, repeated rows count as often as they stand in the
 table, and an empty table gives an empty result.
@@ -38,7 +39,7 @@ PROPOSED = 2
 #: Bits of a bitmap of proposals (8 MB).
 PLACES = 1 << 26
 #: Texts are counted in parts of about so many bytes.
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 21
 #: Rows of a much-used part are dealt over so many groups of a join.
 SALTS = 16
 UNKNOWN = "und"
@@ -48,10 +49,8 @@ _PLAIN[65:91] += 32
 _PLAIN[list(b".,;:!?\x0a\x0b\x0c\x0d")] = 10
 _PLAIN[9] = 32
 
-_COUNTS = "lang string, size int, phrase string, n bigint"
-
-#: For each length up to ``LONGEST - 1``, a bitmap of the phrases that may be parts of longer ones.
-Proposals = dict[int, np.ndarray]
+#: For each length, a bitmap of the codes of phrases.
+Bitmaps = dict[int, np.ndarray]
 
 
 def _word_codes(words: pa.Array, lang: str) -> np.ndarray:
@@ -99,116 +98,131 @@ def _words(data: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     return words, joined
 
 
-def _occurrences(
-    data: np.ndarray, lang: str, now: Proposals | None, before: Proposals | None, longest: int
-) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """Lengths, phrases and counts of one part: those that ``now`` admits and ``before`` did not.
+class _Part:
+    """The words of one part, numbered, with a code each."""
+
+    def __init__(self, data: np.ndarray, lang: str):
+        words, self.joined = _words(data)
+        coded = words.dictionary_encode()
+        self.kinds, self.ids = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        self.kind_codes = _word_codes(self.kinds, lang)
+
+    def phrases(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each length from 2: codes of all runs of so many words, and whether they are in one piece."""
+        codes = word_codes = self.kind_codes[self.ids]
+        inside = np.ones(len(codes), bool)
+        for size in range(2, longest + 1):
+            codes = _longer(codes[:-1], word_codes[size - 1 :])
+            inside = inside[:-1] & self.joined[size - 1 :]
+            yield size, codes, inside
+
+
+def _code_counts(
+    data: np.ndarray, lang: str, now: Bitmaps | None, before: Bitmaps | None, longest: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Lengths, codes and counts: what ``now`` admits and ``before`` did not.
 
-    Without ``now`` everything is admitted; without ``before``, words and their total (length 0)
-    are counted as well.
+    Without ``now`` everything is admitted; without ``before``, words are counted as well.
     """
-    words, joined = _words(data)
-    if not len(words):
+    part = _Part(data, lang)
+    if not len(part.ids):
         return
-    coded = words.dictionary_encode()
-    kinds, ids = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
     if before is None:
-        yield 0, pa.array([b""], pa.large_binary()), np.array([len(ids)])
-        yield 1, kinds, np.bincount(ids, minlength=len(kinds))
-    kind_codes = _word_codes(kinds, lang)
-    codes = word_codes = kind_codes[ids]
-
-    def admitted(proposals: Proposals | None, size: int, otherwise: bool) -> np.ndarray:
-        if proposals is None:
-            return np.full(len(codes), otherwise)
-        return _held(proposals[1], kind_codes)[ids] if size == 1 else _held(proposals[size], codes)
-
-    fine, old = admitted(now, 1, True), admitted(before, 1, False)
-    inside, radix, keys = np.ones(len(ids), bool), len(kinds), ids
-    for size in range(2, longest + 1):
-        inside = inside[:-1] & joined[size - 1 :]
+        yield 1, part.kind_codes, np.bincount(part.ids, minlength=len(part.kinds))
+    fine = np.ones(len(part.ids), bool) if now is None else _held(now[1], part.kind_codes)[part.ids]
+    old = np.zeros(len(part.ids), bool) if before is None else _held(before[1], part.kind_codes)[part.ids]
+    for size, codes, inside in part.phrases(longest):
         fine, old = fine[:-1] & fine[1:] & inside, old[:-1] & old[1:] & inside
-        if radix > 2**62 // len(kinds):
-            kept, keys = np.unique(keys, return_inverse=True)
-            radix = len(kept)
-        keys = keys[:-1] * len(kinds) + ids[size - 1 :]
-        radix *= len(kinds)
-        at = np.flatnonzero(fine & ~old)
-        if len(at):
-            order = np.argsort(keys[at], kind="stable")
-            sorted_keys = keys[at[order]]
-            edges = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
-            first = at[order[edges]]
-            said = [kinds.take(pa.array(ids[first + i])) for i in range(size)]
-            space = pa.scalar(b" ", pa.large_binary())
-            yield size, pc.binary_join_element_wise(*said, space), np.diff(np.append(edges, len(order)))
+        yield size, *np.unique(codes[fine & ~old], return_counts=True)
         if size < longest:
-            codes = _longer(codes[:-1], word_codes[size - 1 :])
-            fine, old = fine & admitted(now, size, True), old & admitted(before, size, False)
+            if now is not None:
+                fine &= _held(now[size], codes)
+            if before is not None:
+                old &= _held(before[size], codes)
 
 
-def counted(
-    docs: DataFrame, now: Proposals | None, before: Proposals | None = None, longest: int = LONGEST
-) -> DataFrame:
-    """``lang, size, phrase, n``: exact counts of what one pass has to count."""
+def _text_counts(data: np.ndarray, lang: str, wanted: Bitmaps) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """Lengths, phrases and counts of what ``wanted`` holds; length 0 is the number of words."""
+    part = _Part(data, lang)
+    if not len(part.ids):
+        return
+    yield 0, pa.array([b""], pa.large_binary()), np.array([len(part.ids)])
+    kept = _held(wanted[1], part.kind_codes)
+    yield 1, part.kinds.filter(pa.array(kept)), np.bincount(part.ids, minlength=len(kept))[kept]
+    fine = kept[part.ids]
+    keys, radix = part.ids, len(part.kinds)
+    for size, codes, inside in part.phrases(max(wanted)):
+        fine = fine[:-1] & fine[1:] & inside & _held(wanted[size], codes)
+        if radix > 2**62 // len(part.kinds):
+            smaller, keys = np.unique(keys, return_inverse=True)
+            radix = len(smaller)
+        keys = keys[:-1] * len(part.kinds) + part.ids[size - 1 :]
+        radix *= len(part.kinds)
+        at = np.flatnonzero(fine)
+        _, first, n = np.unique(keys[at], return_index=True, return_counts=True)
+        said = [part.kinds.take(pa.array(part.ids[at[first] + i])) for i in range(size)]
+        yield size, pc.binary_join_element_wise(*said, pa.scalar(b" ", pa.large_binary())), n
+
+
+def _parts_of(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+    """Languages and parts of the texts of a batch of ``lang, text``."""
+    langs = batch.column(0).dictionary_encode()
+    for i, lang in enumerate(langs.dictionary.to_pylist()):
+        for group in texts.groups(batch.filter(pc.equal(langs.indices, i)), 1, CHUNK_BYTES):
+            data, bounds = texts.flat(group.column(1))
+            # The end of a text ends its last piece.
+            for part in _parts(np.insert(_PLAIN[data], bounds[1:], 10)):
+                yield lang, part
+
+
+def counted(docs: DataFrame, now: Bitmaps | None, before: Bitmaps | None, longest: int) -> DataFrame:
+    """``size, code, n``: counts of the codes that one pass has to count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = batch.column(0).dictionary_encode()
-            for i, lang in enumerate(langs.dictionary.to_pylist()):
-                own = batch.filter(pc.equal(langs.indices, i))
-                for group in texts.groups(own, 1, CHUNK_BYTES):
-                    data, bounds = texts.flat(group.column(1))
-                    # A text ends its last piece.
-                    whole = np.insert(_PLAIN[data], bounds[1:], 10)
-                    for part in _parts(whole):
-                        for size, phrases, n in _occurrences(part, lang, now, before, longest):
-                            columns = [
-                                pa.repeat(pa.scalar(lang, pa.string()), len(n)),
-                                pa.array(np.full(len(n), size, np.int32)),
-                                phrases.cast(pa.large_string()).cast(pa.string()),
-                                pa.array(n.astype(np.int64)),
-                            ]
-                            yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
-
-    rows = docs.mapInArrow(run, _COUNTS)
-    return rows.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+            for lang, part in _parts_of(batch):
+                for size, codes, n in _code_counts(part, lang, now, before, longest):
+                    columns = [np.full(len(n), size, np.int32), codes.view(np.int64), n.astype(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["size", "code", "n"])
 
+    return docs.mapInArrow(run, "size int, code bigint, n bigint").groupBy("size", "code").agg(F.sum("n").alias("n"))
 
-def _bits(phrases: DataFrame, size: int) -> np.ndarray:
-    """The bitmap of ``lang, phrase``: bits are gathered on the cluster, at most 16 MB come to the driver."""
-    places = PLACES
+
+def spelled(docs: DataFrame, wanted: Bitmaps) -> DataFrame:
+    """``lang, size, phrase, n``: exact counts of all phrases whose codes are wanted, and totals."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs = batch.column(0).dictionary_encode()
-            for i, lang in enumerate(langs.dictionary.to_pylist()):
-                own = batch.column(1).filter(pc.equal(langs.indices, i))
-                words = pc.split_pattern(own, " ").flatten()
-                each = _word_codes(words, lang).reshape(len(own), size)
-                codes = each[:, 0]
-                for j in range(1, size):
-                    codes = _longer(codes, each[:, j])
-                place = codes & np.uint64(places - 1)
-                block = pa.array((place >> np.uint64(6)).astype(np.int32))
-                bit = pa.array((np.uint64(1) << (place & np.uint64(63))).view(np.int64))
-                yield pa.RecordBatch.from_arrays([block, bit], ["block", "bits"])
-
-    found = (
-        phrases.where(F.col("size") == size)
-        .select("lang", "phrase")
-        .mapInArrow(run, "block int, bits bigint")
-        .groupBy("block")
-        .agg(F.bit_or("bits").alias("bits"))
-        .toArrow()
-    )
-    out = np.zeros(places // 64, np.uint64)
-    out[found.column("block").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return out
+            for lang, part in _parts_of(batch):
+                for size, phrases, n in _text_counts(part, lang, wanted):
+                    columns = [
+                        pa.repeat(pa.scalar(lang, pa.string()), len(n)),
+                        pa.array(np.full(len(n), size, np.int32)),
+                        phrases.cast(pa.large_string()).cast(pa.string()),
+                        pa.array(n.astype(np.int64)),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
+
+    rows = docs.mapInArrow(run, "lang string, size int, phrase string, n bigint")
+    return rows.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
 
 
-def _proposals(phrases: DataFrame, longest: int) -> Proposals:
-    return {size: _bits(phrases, size) for size in range(1, longest)}
+def _bitmaps(codes: DataFrame, longest: int) -> Bitmaps:
+    """Bitmaps of ``size, code``: gathered on the cluster, at most 16 MB a length come to the driver."""
+    place = F.col("code").bitwiseAND(F.lit(PLACES - 1))
+    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    out = {}
+    for size in range(1, longest + 1):
+        found = (
+            codes.where(F.col("size") == size)
+            .select(place.alias("place"))
+            .groupBy((F.col("place") / 64).cast("int").alias("block"))
+            .agg(F.bit_or(bit).alias("bits"))
+            .toArrow()
+        )
+        out[size] = np.zeros(PLACES // 64, np.uint64)
+        out[size][found.column("block").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
 
 
 def frequent_phrases(
@@ -223,20 +237,20 @@ def frequent_phrases(
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
         F.xxhash64(key, text).alias("place"),
     )
-    chance = F.pmod("place", F.lit(1 << 20)) < int(sampled * (1 << 20))
-    sample = counted(rows.where(chance).select("lang", "text"), None, longest=longest - 1)
-    proposed = written(sample.where((F.col("n") >= PROPOSED) & (F.col("size") > 0)), "proposals")
+    sample = rows.where(F.pmod("place", F.lit(1 << 20)) < int(sampled * (1 << 20))).select("lang", "text")
     rows = rows.select("lang", "text")
-    now, before = _proposals(proposed, longest), None
-    found = None
+    proposed = counted(sample, None, None, longest - 1).where(F.col("n") >= PROPOSED)
+    now, before = _bitmaps(written(proposed, "proposals"), longest - 1), None
+    frequent: Bitmaps = {}
     while True:
-        frequent = (F.col("n") >= least) | (F.col("size") == 0)
-        passed = written(counted(rows, now, before, longest).where(frequent), "phrases")
-        found = passed if found is None else found.unionByName(passed)
-        more = _proposals(passed, longest)
-        before, now = now, {size: now[size] | more[size] for size in now}
+        passed = written(counted(rows, now, before, longest).where(F.col("n") >= least), "passes")
+        found = _bitmaps(passed, longest)
+        frequent = {size: bits | frequent.get(size, np.uint64(0)) for size, bits in found.items()}
+        before, now = now, {size: now[size] | found[size] for size in now}
         if all(np.array_equal(now[size], before[size]) for size in now):
-            return found
+            break
+    exact = spelled(rows, frequent).where((F.col("n") >= least) | (F.col("size") == 0))
+    return written(exact, "phrases")
 
 
 def _exact_share(a: Column, left: Column, right: Column) -> Column:

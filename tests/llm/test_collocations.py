@@ -108,13 +108,29 @@ def test_long_texts_are_cut_between_pieces(spark, monkeypatch):
 
 def test_many_kinds_of_words_in_one_part():
     """Numbers of phrases that do not fit 64 bits are made smaller first."""
-    data = collocations._PLAIN[np.frombuffer(b"a b c a b c a b", np.uint8)]
-    got = {(s, p.as_py(), n) for s, ps, ns in collocations._occurrences(data, "en", None, None, 45) for p, n in zip(ps, ns.tolist())}
-    words = b"a b c a b c a b".split()
+    said = b"a b c a b c a b"
+    every = np.full(1, ~np.uint64(0))
+    wanted = {size: every for size in range(1, 46)}
+    data = collocations._PLAIN[np.frombuffer(said, np.uint8)]
+    got = {(s, p.as_py(), n) for s, ps, ns in collocations._text_counts(data, "en", wanted) for p, n in zip(ps, ns.tolist())}
+    words = said.split()
     want = {(0, b"", 8)} | {
         (s, p, n) for s in range(1, 9) for p, n in Counter(b" ".join(words[i : i + s]) for i in range(9 - s)).items()
     }
-    assert {g for g in got if g[0] <= 8} == want
+    assert got == want
+
+
+def test_codes_in_one_place_raise_counts_only():
+    """A pass without bitmaps counts each phrase once; a later one leaves out what was counted."""
+    data = collocations._PLAIN[np.frombuffer(b"a b a b, c a b d. d d d", np.uint8)]
+    whole = {(s, c): n for s, cs, ns in collocations._code_counts(data, "en", None, None, 3) for c, n in zip(cs.tolist(), ns.tolist())}
+    assert sorted(n for (s, _), n in whole.items() if s == 1) == [1, 3, 3, 4]
+    assert sum(n for (s, _), n in whole.items() if s == 2) == 3 + 3 + 2
+    none, every = np.zeros(1, np.uint64), np.full(1, ~np.uint64(0))
+    first = list(collocations._code_counts(data, "en", {1: every, 2: none}, None, 3))
+    second = list(collocations._code_counts(data, "en", {1: every, 2: every}, {1: every, 2: none}, 3))
+    both = {(s, c): n for s, cs, ns in first + second for c, n in zip(cs.tolist(), ns.tolist())}
+    assert both == whole and [len(n) for _, _, n in second] == [0, 5]
 
 
 def test_scores_are_exact_beyond_64_bits(spark):
