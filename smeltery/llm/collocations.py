@@ -41,7 +41,7 @@ PLACES = 1 << 26
 #: Texts are counted in parts of about so many bytes.
 CHUNK_BYTES = 1 << 21
 #: Rows of a much-used part are dealt over so many groups of a join.
-SALTS = 16
+SALTS = 4
 UNKNOWN = "und"
 
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -288,7 +288,7 @@ def scored(counts: DataFrame) -> DataFrame:
     rows = own.select("lang", "phrase", "a", F.explode(cuts).alias("cut")).select(
         "lang", "phrase", "a", "cut.*", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int").alias("salt")
     )
-    parts = counts.where("size > 0").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    parts = counts.where(F.col("size").between(1, LONGEST - 1)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     for column, name in (("first", "l"), ("rest", "r")):
         side = parts.select("lang", "salt", F.col("phrase").alias(column), F.col("n").alias(name))
         rows = rows.join(side, ["lang", "salt", column])
