@@ -176,16 +176,16 @@ def _parts_of(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
 
 
 def counted(docs: DataFrame, now: Bitmaps | None, before: Bitmaps | None, longest: int) -> DataFrame:
-    """``size, code, n``: counts of the codes that one pass has to count."""
+    """``code, n``: counts of the codes that one pass has to count; the last two bits are the length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, part in _parts_of(batch):
                 for size, codes, n in _code_counts(part, lang, now, before, longest):
-                    columns = [np.full(len(n), size, np.int32), codes.view(np.int64), n.astype(np.int64)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["size", "code", "n"])
+                    columns = [(codes << np.uint64(2) | np.uint64(size)).view(np.int64), n.astype(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["code", "n"])
 
-    return docs.mapInArrow(run, "size int, code bigint, n bigint").groupBy("size", "code").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def spelled(docs: DataFrame, wanted: Bitmaps) -> DataFrame:
@@ -208,13 +208,13 @@ def spelled(docs: DataFrame, wanted: Bitmaps) -> DataFrame:
 
 
 def _bitmaps(codes: DataFrame, longest: int) -> Bitmaps:
-    """Bitmaps of ``size, code``: gathered on the cluster, at most 16 MB a length come to the driver."""
-    place = F.col("code").bitwiseAND(F.lit(PLACES - 1))
+    """Bitmaps of ``code``: gathered on the cluster, at most 16 MB a length come to the driver."""
+    place = F.shiftrightunsigned("code", 2).bitwiseAND(F.lit(PLACES - 1))
     bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
     out = {}
     for size in range(1, longest + 1):
         found = (
-            codes.where(F.col("size") == size)
+            codes.where(F.col("code").bitwiseAND(F.lit(3)) == size)
             .select(place.alias("place"))
             .groupBy((F.col("place") / 64).cast("int").alias("block"))
             .agg(F.bit_or(bit).alias("bits"))
