@@ -11,6 +11,7 @@ from smeltery.catalogue import (  # noqa: F401  (imported to register their quer
     rows,
     checks,
     tables,
+    time,
     training,
     whole,
 )
