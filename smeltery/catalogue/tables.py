@@ -209,6 +209,29 @@ def src_manifest(spark, folder):
     return found.select(name.alias("file_name"), "file_size_bytes", "sha256", "ingestion_status")
 
 
+@query(
+    "src_manifest_hashes",
+    """select c_mktsegment as segment, cast(sum(length(c_name) + 1) as bigint) as file_size_bytes,
+         sha256(string_agg(c_name || chr(10), '' order by c_custkey)) as sha256,
+         case when c_mktsegment = 'BUILDING' then 'updated' when c_mktsegment = 'MACHINERY' then 'downloaded'
+           else 'unchanged' end as ingestion_status
+       from customer group by c_mktsegment""",
+)
+def src_manifest_hashes(spark, folder):
+    """One text file for each segment, whose bytes are known, against an older manifest of the same folder."""
+    path = working_folder(spark, "files")
+    customers = table(spark, folder, "customer").select("c_mktsegment", "c_custkey", F.col("c_name").alias("value"))
+    dealt = customers.repartition("c_mktsegment").sortWithinPartitions("c_mktsegment", "c_custkey")
+    dealt.drop("c_custkey").write.partitionBy("c_mktsegment").text(path)
+    segment = F.regexp_extract("path", "c_mktsegment=([^/]*)/", 1)
+    data = written(manifest.manifest(spark, path, smallest=1).where(segment != ""), "manifest")
+    stale = F.when(segment == "BUILDING", "stale").otherwise(F.col("sha256"))
+    older = F.when(segment == "BUILDING", F.lit(0).cast("timestamp")).otherwise(F.col("modified_at"))
+    previous = data.where(segment != "MACHINERY").withColumns({"sha256": stale, "modified_at": older})
+    found = manifest.manifest(spark, path, previous, smallest=1).where(segment != "")
+    return found.select(segment.alias("segment"), "file_size_bytes", "sha256", "ingestion_status")
+
+
 def _fingerprint_sql(columns: str, source: str) -> str:
     def part(start):
         return (

@@ -1,3 +1,4 @@
+import hashlib
 import json
 import os
 
@@ -200,3 +201,42 @@ def test_scans_read_only_what_is_asked(spark, small):
     path = f"{small}/lineitem.parquet"
     plan = readers.read_parquet(spark, path, ["l_partkey"])._jdf.queryExecution().toString()
     assert "ReadSchema: struct<l_partkey:bigint>" in plan
+
+
+@pytest.mark.parametrize("streamable", [True, False])
+def test_hashes_of_files_of_any_size_and_name(spark, tmp_path, monkeypatch, streamable):
+    """In chunks inside tasks, and by Spark's reader where tasks can not open the path."""
+    monkeypatch.setattr(manifest, "_streamable", lambda path: streamable)
+    contents = {"a.bin": b"x" * 100_000, "b c é.bin": b"bc", "d%20e.bin": bytes(range(256)) * 33, "f#g.bin": b"1"}
+    (tmp_path / "deep").mkdir()
+    for name, content in contents.items():
+        (tmp_path / "deep" / name).write_bytes(content)
+    (tmp_path / "deep" / "empty.bin").write_bytes(b"")
+    found = manifest.file_hashes(spark, str(tmp_path)).collect()
+    got = {r.path.rsplit("/", 1)[-1]: (r.file_size_bytes, r.sha256) for r in found}
+    assert got == {n: (len(c), hashlib.sha256(c).hexdigest()) for n, c in contents.items()}
+    if streamable:
+        listed = manifest._listed(spark, str(tmp_path))
+        small = manifest.with_hashes(listed, chunk_bytes=1_000).collect()
+        assert {r.path: r.sha256 for r in small} == {r.path: r.sha256 for r in found}
+
+
+@pytest.mark.parametrize("streamable", [True, False])
+def test_only_changed_files_get_new_hashes(spark, tmp_path, monkeypatch, streamable):
+    monkeypatch.setattr(manifest, "_streamable", lambda path: streamable)
+    for name in "abc":
+        (tmp_path / name).write_text(name * 2_000)
+    found = manifest.manifest(spark, str(tmp_path)).select("path", "file_size_bytes", "modified_at", "sha256")
+    first = spark.createDataFrame(found.collect(), manifest.MANIFEST_SCHEMA)
+    # A hash that no file has shows which ones were read again.
+    marked = first.withColumn("sha256", F.concat(F.lit("kept "), F.element_at(F.split("path", "/"), -1)))
+    (tmp_path / "b").write_text("B" * 3_000)
+    (tmp_path / "d").write_text("d" * 2_000)
+    got = {
+        r.path.rsplit("/", 1)[-1]: (r.sha256, r.ingestion_status)
+        for r in manifest.manifest(spark, str(tmp_path), marked).collect()
+    }
+    fresh = {n: hashlib.sha256(c).hexdigest() for n, c in (("b", b"B" * 3_000), ("d", b"d" * 2_000))}
+    assert got == {
+        "a": ("kept a", "unchanged"), "b": (fresh["b"], "updated"), "c": ("kept c", "unchanged"), "d": (fresh["d"], "downloaded")
+    }
