@@ -10,6 +10,7 @@ from smeltery.catalogue import (  # noqa: F401  (imported to register their quer
     columns,
     rows,
     checks,
+    records,
     releases,
     tables,
     time,

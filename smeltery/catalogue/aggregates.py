@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from smeltery.catalogue import inputs
 from smeltery.catalogue.inputs import CANONICAL, rounded, table, with_inputs
 from smeltery.catalogue.registry import query
-from smeltery.catalogue.training import FEATURES, formula_predictions, split_parts
+from smeltery.catalogue.training import BROKEN, FEATURES, broken_predictions, formula_predictions, split_parts
 from smeltery.operators import dedup, marts, profiling, scoring, shaping, training
 from smeltery.plans import medallion
 
@@ -194,7 +194,7 @@ def agg_regression_metrics(spark, folder):
 @query(
     "agg_prediction_summary",
     with_inputs(
-        """select count(*) as prediction_rows, cast(0 as bigint) as non_finite,
+        """select count(*) as prediction_rows, count(*) - count_if(isfinite(prediction)) as non_finite,
              count_if(prediction < 0) as negative, round(avg(prediction), 4) as mean_prediction,
              round(min(prediction), 4) as min_prediction,
              round(max(prediction), 4) as max_prediction
@@ -204,3 +204,19 @@ def agg_regression_metrics(spark, folder):
 def agg_prediction_summary(spark, folder):
     scored = formula_predictions(spark, folder)["per_unit"]
     return rounded(scoring.prediction_summary(scored, "prediction"), 4)
+
+
+@query(
+    "agg_prediction_broken",
+    with_inputs(
+        f"""select * from (with {BROKEN}
+           select count(*) as prediction_rows, count(*) - count_if(isfinite(prediction)) as non_finite,
+             count_if(prediction < 0) as negative, round(min(prediction), 4) as min_prediction
+           from broken)"""
+    ),
+)
+def agg_prediction_broken(spark, folder):
+    """A summary of predictions that are missing, infinite, no numbers or negative."""
+    scored = broken_predictions(formula_predictions(spark, folder)["per_line"])
+    found = scoring.prediction_summary(scored, "prediction")
+    return rounded(found.select("prediction_rows", "non_finite", "negative", "min_prediction"), 4)

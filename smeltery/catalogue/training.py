@@ -47,6 +47,11 @@ def parts(spark, folder):
     )
 
 
+#: Share of the variance that a useful model explains here: a constant explains none, the revenue is
+#: nearly a product of two features.
+LEAST_EXPLAINED = 0.5
+
+
 def prepared_parts(spark, folder):
     return training.prepare(parts(spark, folder), SETUP, ["lines"])
 
@@ -177,21 +182,26 @@ def _fitted_once(application, spark, folder, name):
 
 
 def _judged(spark, folder, name):
-    """What can be said of every prediction without knowing the model."""
+    """What can be said of every prediction without knowing the model: it is finite and not negative.
+
+    As a whole, predictions explain most of the log target's variance on rows the model has not seen.
+    """
     model, test = _fitted(spark, folder, name)
     value = F.col("prediction")
-    return training.predict(model, test).select(
+    scored = written(training.predict(model, test), "predictions")
+    gap = F.log1p("revenue") - F.log1p("prediction")
+    explained = scored.agg((1 - F.avg(gap * gap) / F.var_pop(F.log1p("revenue"))).alias("share")).first()["share"]
+    return scored.select(
         "part_id",
         "revenue",
         scoring.finite_or_null(value).isNotNull().alias("finite"),
         (value >= 0).alias("non_negative"),
-        # Trees give means of training labels: never beyond what was seen.
-        (value <= 1e12).alias("within_reach"),
+        F.lit(explained > LEAST_EXPLAINED).alias("explains"),
     )
 
 
 _JUDGED = with_inputs(
-    "select part_id, revenue, true as finite, true as non_negative, true as within_reach from test"
+    "select part_id, revenue, true as finite, true as non_negative, true as explains from test"
 )
 
 
@@ -380,12 +390,32 @@ def ml_batch_score(spark, folder):
     )
 
 
+# Predictions of a broken model: some missing, not numbers, infinite or negative, some rows lost.
+BROKEN = """broken as (
+      select case when part_id % 5 = 1 then null when part_id % 7 = 1 then 'nan'::double when part_id % 11 = 1 then 'inf'::double
+          when part_id % 13 = 1 then -1.0 else prediction end as prediction
+      from predictions where model_name = 'per_line' and part_id % 17 <> 2)"""
+
+
+def broken_predictions(scored):
+    """Predictions spoilt in every way that a check should see."""
+    part = F.col("part_id")
+    value = (
+        F.when(part % 5 == 1, None)
+        .when(part % 7 == 1, float("nan"))
+        .when(part % 11 == 1, float("inf"))
+        .when(part % 13 == 1, -1.0)
+        .otherwise(F.col("prediction"))
+    )
+    return scored.where(part % 17 != 2).withColumn("prediction", value)
+
+
 @query(
     "ml_validate_predictions",
     with_inputs(
         """select (select count(*) from test) as input_rows, count(*) as prediction_rows,
-             count(*) = (select count(*) from test) as count_matches, true as all_finite,
-             count_if(prediction < 0) = 0 as none_negative
+             count(*) = (select count(*) from test) as count_matches,
+             count(*) = count_if(isfinite(prediction)) as all_finite, count_if(prediction < 0) = 0 as none_negative
            from predictions where model_name = 'per_line'"""
     ),
 )
@@ -395,6 +425,23 @@ def ml_validate_predictions(spark, folder):
     return scoring.validate_predictions(test, scored, "prediction")
 
 
+@query(
+    "ml_validate_broken",
+    with_inputs(
+        f"""select * from (with {BROKEN}
+           select (select count(*) from test) as input_rows, count(*) as prediction_rows,
+             count(*) = (select count(*) from test) as count_matches,
+             count(*) = count_if(isfinite(prediction)) as all_finite, count_if(prediction < 0) = 0 as none_negative
+           from broken)"""
+    ),
+)
+def ml_validate_broken(spark, folder):
+    """The same check of predictions that fail it in every way."""
+    train, test = split_parts(spark, folder)
+    scored = broken_predictions(_formulas(train, test)["per_line"])
+    return scoring.validate_predictions(test, scored, "prediction")
+
+
 @query(
     "ml_persist_equivalence",
     with_inputs(
