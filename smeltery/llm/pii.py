@@ -5,8 +5,12 @@ one pass over a whole text. At each anchor a parser that looks only at the chara
 expands the span and validates it. Base kinds follow their patterns exactly, leftmost and without
 overlap within a kind; a match that fails its check is dropped and its characters stay used up.
 
-Added kinds: ``login`` (an address with a user name before its host), ``account`` (a value with at
-least five digits behind an account cue) and ``secret`` (a value behind a password or key cue).
+Added kinds: ``login`` (an address with a user name before its host), ``account`` and ``secret`` (a value
+behind a password or key cue). An account stands directly behind a cue that is a word of its own, save
+for a sign or a word like "number", and is one of: an IBAN whose checksum holds, a social security number
+of valid parts, a passport number behind its cue, or five to 20 digits with single blanks or hyphens.
+Prose behind a cue is left alone. Parsers read a bounded number of characters or move past what they
+have read, so the time is linear in the text, whatever it repeats.
 
 Null and empty texts have no spans. Positions are code points, ends exclusive.
 """
@@ -36,7 +40,12 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SCHEME = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+.-"
 _LOGIN = re.compile(r"://[^\s/@?#]+@[^\s/@?#]+")
-_ACCOUNT = re.compile(r"[\x20\t]*(?:(?:no\.?|number|nr\.?)[\x20\t]*)?[:=#]?[\x20\t]*([A-Za-z0-9](?:[\x20-]?[A-Za-z0-9]+)*)", re.I)
+# What may stand between a cue and its value; every repetition is bounded.
+_FILLER = re.compile(r"[\x20\t]{0,4}(?:(?:number|no\.?|nr\.?|is|id)(?![A-Za-z0-9])[\x20\t]{0,4})?[:=#]?[\x20\t]{0,4}", re.I)
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
+_SSN = re.compile(r"(?!000|666|9)[0-9]{3}([\x20-]?)(?!00)[0-9]{2}\1(?!0000)[0-9]{4}")
+_PASSPORT = re.compile(r"[A-Z]{0,2}[0-9]{6,9}")
+_NUMBER = re.compile(r"[0-9](?:[\x20-]?[0-9]){4,19}")
 _SECRET = re.compile(r"[\x20\t]*[:=][\x20\t]*(\S{6,})")
 
 Span = tuple[str, int, int]
@@ -75,6 +84,31 @@ def _digits(match: re.Match) -> str:
     return "".join(_DIGITS.findall(match[0]))
 
 
+def _alone(text: str, start: int, end: int) -> bool:
+    """Whether neither side of a span goes on as a word."""
+    around = text[start - 1 : start] + text[end : end + 1] if start else text[end : end + 1]
+    return not any(c.isalnum() or c == "_" for c in around)
+
+
+def valid_iban(iban: str) -> bool:
+    """The checksum of an IBAN without blanks."""
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+
+
+def _account(text: str, cue: str, end: int) -> tuple[int, int] | None:
+    """The account number behind a cue that ends at ``end``."""
+    start = _FILLER.match(text, end).end()
+    if match := _IBAN.match(text, start):
+        # Words in capitals may follow: the longest part that ends a word and passes counts.
+        for stop in range(match.end(), start + 14, -1):
+            if _alone(text, start, stop) and text[stop - 1] != " " and valid_iban(text[start:stop].replace(" ", "")):
+                return start, stop
+    for pattern in (_SSN, *([_PASSPORT] if cue == "passport" else []), _NUMBER):
+        if (match := pattern.match(text, start)) and _alone(text, start, match.end()):
+            return start, match.end()
+    return None
+
+
 def find_spans(text: str) -> list[Span]:
     """All spans of a text, by kind in the order of ``KINDS``, then start."""
     found: dict[str, list[Span]] = {kind: [] for kind in KINDS}
@@ -113,10 +147,13 @@ def find_spans(text: str) -> list[Span]:
             start = floor + len(text[floor:at].rstrip(_SCHEME))
             if start < at and (match := _LOGIN.match(text, at)):
                 add("login", start, match.end())
-        elif at >= used[anchor]:
-            match = (_ACCOUNT if anchor == "account" else _SECRET).match(text, last + 1)
-            if match and (anchor == "secret" or sum(c in "0123456789" for c in match[1]) >= 5):
-                add(anchor, match.start(1), match.end(1))
+        elif anchor == "account":
+            if at >= used["account"] and _alone(text, at, last + 1):
+                if place := _account(text, text[at : last + 1].lower(), last + 1):
+                    add("account", *place)
+        elif at >= used["secret"]:
+            if match := _SECRET.match(text, last + 1):
+                add("secret", match.start(1), match.end(1))
     return [span for kind in KINDS for span in found[kind]]
 
 
