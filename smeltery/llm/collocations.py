@@ -40,6 +40,8 @@ PROPOSED = 2
 PLACES = 1 << 26
 #: Texts are counted in parts of about so many bytes.
 CHUNK_BYTES = 1 << 21
+#: Codes of a few parts that a task merges before it passes them on.
+HELD_CODES = 1 << 20
 #: Rows of a much-used part are dealt over so many groups of a join.
 SALTS = 4
 UNKNOWN = "und"
@@ -176,16 +178,39 @@ def _parts_of(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
 
 
 def counted(docs: DataFrame, now: Bitmaps | None, before: Bitmaps | None, longest: int) -> DataFrame:
-    """``code, n``: counts of the codes that one pass has to count; the last two bits are the length."""
+    """``code, n``: counts of the codes that one pass has to count; the last two bits are the length.
+
+    Tasks merge equal codes of a few parts and then deal them by code: what most codes have is one or two
+    occurrences, and a table of all codes of a task would save little and hold much.
+    """
+    most = HELD_CODES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size_held = 0
+
+        def merged() -> pa.RecordBatch:
+            codes, n = (np.concatenate(c) for c in zip(*held))
+            order = np.argsort(codes)
+            codes, n = codes[order], n[order]
+            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+            columns = [pa.array(codes[first].view(np.int64)), pa.array(np.add.reduceat(n, first))]
+            return pa.RecordBatch.from_arrays(columns, ["code", "n"])
+
         for batch in batches:
             for lang, part in _parts_of(batch):
                 for size, codes, n in _code_counts(part, lang, now, before, longest):
-                    columns = [(codes << np.uint64(2) | np.uint64(size)).view(np.int64), n.astype(np.int64)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["code", "n"])
-
-    return docs.mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+                    if len(n):
+                        held.append((codes << np.uint64(2) | np.uint64(size), n.astype(np.int64)))
+                        size_held += len(n)
+                if size_held >= most:
+                    yield merged()
+                    held, size_held = [], 0
+        if held:
+            yield merged()
+
+    rows = docs.mapInArrow(run, "code bigint, n bigint")
+    return rows.repartition("code").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def spelled(docs: DataFrame, wanted: Bitmaps) -> DataFrame:
