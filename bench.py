@@ -48,6 +48,13 @@ HEADLINES = (
     "agg_regression_metrics",
     "ml_formula_comparison",
     "written_layers",
+    "asof_lines",
+    "range_join_points",
+    "win_running_frames",
+    "agg_grouping_sets",
+    "release_row_difference",
+    "nested_intake",
+    "ml_gbt",
 )
 
 
@@ -100,10 +107,41 @@ def plain_typing(spark: SparkSession) -> None:
     run(df)
 
 
+def plain_running(spark: SparkSession) -> None:
+    order = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    window = Window.orderBy(*order)
+    lines = inputs.table(spark, FOLDER, "lineitem").select(*order)
+    run(
+        lines.withColumns(
+            {
+                "line": F.row_number().over(window),
+                "total": F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).over(window),
+                "before": F.lag("l_extendedprice").over(window),
+                "ahead": F.lead("l_quantity", 2).over(window),
+                "highest": F.max("l_extendedprice").over(window.rowsBetween(-6, 0)),
+                "lowest": F.min("l_quantity").over(window.rowsBetween(-3, 3)),
+            }
+        )
+    )
+
+
+def plain_points(spark: SparkSession) -> None:
+    customers = inputs.table(spark, FOLDER, "customer").select("c_custkey", "c_acctbal")
+    whole, side = F.col("s_suppkey") == 1, F.col("s_suppkey") % 25
+    bands = inputs.table(spark, FOLDER, "supplier").select(
+        "s_suppkey",
+        F.when(whole, -1e9).otherwise(F.col("s_acctbal") - side).alias("low"),
+        F.when(whole, 1e9).otherwise(F.col("s_acctbal") + side).alias("high"),
+    )
+    run(customers.join(bands, F.col("c_acctbal").between(F.col("low"), F.col("high"))))
+
+
 PLAIN = {
     "win_percent_rank_asc": plain_ranks,
     "line_features": plain_line_features,
     "typed_silver": plain_typing,
+    "win_running_frames": plain_running,
+    "range_join_points": plain_points,
 }
 
 
