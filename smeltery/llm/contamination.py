@@ -19,7 +19,10 @@ over all documents:
    the latent vectors is reported and does not decide.
 
 An item's answer is what follows ``answer`` and a colon, or else its last fifth. A document holds an
-item when a passage keeps ``SAME`` of the item in order, or ``SIMILAR`` of the item and of its answer.
+item when a stretch of a passage keeps ``SAME`` of the item in order, or ``SIMILAR`` of the item and of its
+answer; a stretch has at most ``SPAN`` times the words of the item. An item of fewer than ``WHOLE`` words
+is held only as a whole, word after word, and one of fewer than ``FEWEST`` by nothing: its words are common
+phrases that tell nothing about the benchmark.
 """
 
 from __future__ import annotations
@@ -44,6 +47,12 @@ SAME = 0.8
 SIMILAR = 0.6
 #: Must be less than SIMILAR; a smaller share reads fewer passages and meets more common words.
 LEFT_OUT = 0.5
+#: Words in order must lie within so many times the item's words.
+SPAN = 2
+#: Items of fewer words must be found whole; those of fewer than a shingle are not searched.
+WHOLE = 10
+FEWEST = 5
+
 
 def common_subsequence(masks: dict, size: int, words) -> int:
     """Length of the longest common subsequence; ``masks`` has the places of each word as bits."""
@@ -75,7 +84,7 @@ class Item:
 
 def make_item(item_id: int, text: str) -> Item | None:
     words = hashes_of(plain_words(text)).tolist()
-    if not words:
+    if len(words) < FEWEST:
         return None
     cue = re.search(r"answer\s*:(.*)", text, re.I | re.S)
     answer = hashes_of(plain_words(cue[1])).tolist() if cue else []
@@ -83,6 +92,32 @@ def make_item(item_id: int, text: str) -> Item | None:
     return Item(item_id, words, _masks(words), answer, _masks(answer))
 
 
+def shares_in(item: Item, read: list[int]) -> tuple[float, float] | None:
+    """Shares of the item and of its answer in the best stretch of ``read``; None where it is not held."""
+    size = len(item.words)
+    if size < WHOLE:
+        whole = any(read[i : i + size] == item.words for i in range(len(read) - size + 1))
+        return (1.0, 1.0) if whole else None
+    # Other words do not count, but they do take room.
+    told = [(i, w) for i, w in enumerate(read) if w in item.masks]
+    words, best = [w for _, w in told], None
+    if common_subsequence(item.masks, size, words) / size < SIMILAR:
+        return None
+    low = high = 0
+    while low < len(told) and high < len(told):
+        while high < len(told) and told[high][0] < told[low][0] + SPAN * size:
+            high += 1
+        share = common_subsequence(item.masks, size, words[low:high]) / size
+        if share >= SIMILAR:
+            answer = common_subsequence(item.answer_masks, len(item.answer), words[low:high]) / len(item.answer)
+            if share >= SAME or answer >= SIMILAR:
+                best = max(best or (share, answer), (share, answer))
+        # The next stretch that is not a part of this one begins where one more word fits.
+        while high < len(told) and told[high][0] >= told[low][0] + SPAN * size:
+            low += 1
+    return best
+
+
 def _frequencies(docs: DataFrame, terms: Terms) -> tuple[int, np.ndarray]:
     """Number of documents, and of those that hold each term."""
     size = len(terms.hashes)
@@ -292,13 +327,9 @@ def _searcher(docs: DataFrame, items: list[Item], block: int):
             d, item = int(found.doc[where]), items[number]
             start = int(first[d] + found.at[where] * block)
             passage = words[start : min(start + 3 * block, int(first[d + 1]))]
-            read = passage.tolist()
-            share = common_subsequence(item.masks, len(item.words), read) / len(item.words)
-            if share < SIMILAR:
-                continue
-            answer = common_subsequence(item.answer_masks, len(item.answer), read) / len(item.answer)
-            if share >= SAME or answer >= SIMILAR:
-                shares = (share, answer, cosine(passage, number))
+            held = shares_in(item, passage.tolist())
+            if held:
+                shares = (*held, cosine(passage, number))
                 best[d, number] = max(best.get((d, number), shares), shares)
         return best
 
@@ -331,7 +362,7 @@ def find_leaks(
     """``key, item_id, lcs_share, answer_share, cosine`` for each row of ``docs`` and item it holds.
 
     Shares and cosine are those of the document's best passage. Null and blank texts hold nothing;
-    null or blank items are held by nothing. A repeated row gives its results again; items that
+    null or blank items, and those of fewer than ``FEWEST`` words, are held by nothing. A repeated row gives its results again; items that
     repeat give one result each. An empty table on either side gives an empty result.
     """
     names = [key, "item_id", "lcs_share", "answer_share", "cosine"]

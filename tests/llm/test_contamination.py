@@ -16,6 +16,22 @@ def plain_lcs(a, b):
     return row[-1]
 
 
+def holds(item, read):
+    """The rule itself, over all stretches of a passage."""
+    n = len(item.words)
+    if n < c.WHOLE:
+        return any(read[i : i + n] == item.words for i in range(len(read)))
+    if c.common_subsequence(item.masks, n, read) < c.SIMILAR * n:
+        return False
+    for start in range(len(read)):
+        some = read[start : start + c.SPAN * n]
+        share = c.common_subsequence(item.masks, n, some) / n
+        answer = c.common_subsequence(item.answer_masks, len(item.answer), some) / len(item.answer)
+        if share >= c.SAME or (share >= c.SIMILAR and answer >= c.SIMILAR):
+            return True
+    return False
+
+
 def brute(docs, items):
     """Pairs held by the rule, over the same passages, without retrieval."""
     made = [m for i, t in items if (m := c.make_item(i, t or ""))]
@@ -25,11 +41,7 @@ def brute(docs, items):
         words = c.hashes_of(c.plain_words(text or "")).tolist()
         for start in range(0, len(words), block):
             read = words[start : start + 3 * block]
-            for m in made:
-                share = c.common_subsequence(m.masks, len(m.words), read) / len(m.words)
-                answer = c.common_subsequence(m.answer_masks, len(m.answer), read) / len(m.answer)
-                if share >= c.SAME or (share >= c.SIMILAR and answer >= c.SIMILAR):
-                    held.add((k, m.item_id))
+            held |= {(k, m.item_id) for m in made if holds(m, read)}
     return held
 
 
@@ -86,11 +98,7 @@ def brute_by_length(docs, items):
             words = c.hashes_of(c.plain_words(text)).tolist()
             for start in range(0, len(words), block):
                 read = words[start : start + 3 * block]
-                for m in made:
-                    share = c.common_subsequence(m.masks, len(m.words), read) / len(m.words)
-                    answer = c.common_subsequence(m.answer_masks, len(m.answer), read) / len(m.answer)
-                    if share >= c.SAME or (share >= c.SIMILAR and answer >= c.SIMILAR):
-                        held.add((k, m.item_id))
+                held |= {(k, m.item_id) for m in made if holds(m, read)}
     return held
 
 
@@ -128,3 +136,38 @@ def test_paraphrases_of_the_rare_words(spark):
     got = {(r.doc_id, r.item_id) for r in c.find_leaks(frame, bench).collect()}
     assert got == brute(docs, items)
     assert got >= {(d + i, i) for i in range(10) for d in (100, 200)}
+
+
+def test_short_items_leave_clean_documents_alone(spark):
+    items = [
+        (1, "yes"), (2, "What is the capital of France?"), (3, "of the in"), (4, "the first of its own kind here"),
+        (5, "Name the river that runs through the old town and then on to the sea"),
+    ]
+    spread = "name {0} the {0} river {0} that {0} runs {0} through {0} the {0} old {0} town {0} and {0} then"
+    docs = [
+        (1, "Yes, of the in and yes again"),
+        (2, "what is left of the plan, is the new capital budget of the region of France"),
+        (3, "They asked: what is THE capital of France, and went on"),
+        (4, "the first house, of its own sort and kind, here"),
+        (5, spread.format("some more words here")),
+        (6, "please name the river that runs through the very old town and on then to the sea"),
+        (7, " ".join(["word"] * 61) + " what is the capital of france " + " ".join(["word"] * 300)),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in c.find_leaks(frame, bench).collect()}
+    assert got == brute(docs, items) == {(3, 2), (6, 5), (7, 2)}
+    assert sorted(r.doc_id for r in c.without_leaks(frame, bench).collect()) == [1, 2, 4, 5]
+    few = bench.where("item_id in (1, 3)")
+    assert c.find_leaks(frame, few).count() == 0 and c.without_leaks(frame, few).count() == len(docs)
+
+
+def test_best_stretch_equals_all_stretches():
+    rng = np.random.default_rng(31)
+    for _ in range(300):
+        item = c.make_item(0, " ".join(f"w{i}" for i in rng.integers(0, 12, rng.integers(10, 25))))
+        read = c.hashes_of(c.plain_words(" ".join(f"w{i}" for i in rng.integers(0, 30, 96)))).tolist()
+        for at, word in zip(sorted(rng.choice(96, len(item.words), replace=False)), item.words):
+            if rng.random() < 0.85:
+                read[at] = word
+        assert (c.shares_in(item, read) is not None) == holds(item, read)
