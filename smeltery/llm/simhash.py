@@ -96,9 +96,11 @@ def near_links(prints: DataFrame) -> DataFrame:
 
     ``prints`` has one column ``fingerprint`` of distinct values.
     """
-    # Each value becomes some fifty rows: spread the work before, not after.
+    # Each value becomes some fifty rows: spread the work before, not after. By a hash of its own, since the
+    # planner leaves out a repartition by the column that rows are already grouped by.
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = prints.repartition(parts, "fingerprint").select("fingerprint", F.explode(_cells(segment_counts(F.col("fingerprint")))).alias("cell"))
+    spread = prints.repartition(parts, F.xxhash64("fingerprint"))
+    placed = spread.select("fingerprint", F.explode(_cells(segment_counts(F.col("fingerprint")))).alias("cell"))
     shared = (
         placed.groupBy("cell")
         .agg(F.min("fingerprint").alias("least"), F.max("fingerprint").alias("most"))
