@@ -1,9 +1,9 @@
 """Benchmark items inside documents: latent semantic retrieval, then subsequence and answer checks.
 
 Words are compared without case and ASCII punctuation. The benchmark is the query set; it is read to
-the driver in blocks of at most ``BLOCK_ITEMS`` items, each with tables bounded by the block's size.
-A block's items are of like length: at most 64 words, 128, 256 and so on. For each block, three passes
-over all documents:
+the driver in blocks that end with the item that brings them to ``BLOCK_WORDS`` words, each with tables
+bounded by these words. A block's items are of like length: at most 64 words, 128, 256 and so on. For
+each block, three passes over all documents:
 
 1. *Document frequencies* of the block's words. Each item leaves out its commonest words, as long as
    they are at most ``LEFT_OUT`` of it. That is less than ``SIMILAR``: whatever keeps ``SIMILAR`` of the
@@ -11,12 +11,14 @@ over all documents:
 2. *Randomised SVD*: passages are runs of three blocks of words, each next one a block further; a block
    is half as long as the items of the class may be. With A the TF-IDF matrix of all passages (over the
    terms kept) and B that of the items, tasks add up ``A'A`` times a random matrix; the driver adds
-   ``B'B`` times the same, so that the items' own directions are always among those found, and takes
-   the singular vectors of the small sketch.
-3. *Search*: a passage that keeps ``SIMILAR`` of an item has so many of its words, less those of the
-   terms not kept. Passages that hold so many of an item's kept words, whatever else they hold, are
-   read word by word: the longest common subsequence with the item, and with its answer. The cosine of
-   the latent vectors is reported and does not decide.
+   ``B'B`` times the same and takes the ``LATENT`` first singular vectors of the small sketch.
+3. *Search*: every passage is compared with every item by the cosine of their latent vectors, and is a
+   candidate from the item's own bound on: the cosine that the lightest subsequence which counts still
+   has among other words of the mean weight of a passage. Words are the audit: a passage that keeps
+   ``SIMILAR`` of an item has so many of its words, less those of the terms not kept. Candidates without
+   them are not read, as they cannot hold the item; passages with them are read although the cosine
+   left them out, and their finds are marked as not ``retrieved``. Reading goes word by word: the longest
+   common subsequence with the item, and with its answer.
 
 An item's answer is what follows ``answer`` and a colon, or else its last fifth. A document holds an
 item when a stretch of a passage keeps ``SAME`` of the item in order, or ``SIMILAR`` of the item and of its
@@ -39,7 +41,8 @@ from pyspark.sql import functions as F
 from smeltery.llm import texts
 from smeltery.llm.words import Terms, hashes_of, plain_words, words_of
 
-BLOCK_ITEMS = 256
+BLOCK_WORDS = 1 << 16
+LATENT = 128
 OVERSAMPLING = 16
 #: Items and terms of passages are met so many at a time.
 MET = 1 << 22
@@ -190,12 +193,13 @@ def _three(rows: np.ndarray, index: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketch(docs: DataFrame, terms: Terms, test: np.ndarray, block: int) -> np.ndarray:
-    """``T'T test`` with T the term counts of all passages, added up over tasks."""
-    width = test.shape[1]
+def _sketch(docs: DataFrame, terms: Terms, test: np.ndarray, block: int) -> tuple[np.ndarray, float]:
+    """``T'T test`` with T the term counts of all passages, added up over tasks, and their number."""
+    size, width = test.shape
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(test.shape, np.float64)
+        passages = 0
         for whole in batches:
             for batch in texts.groups(whole, "text"):
                 words, first = words_of(batch.column(0))
@@ -203,13 +207,14 @@ def _sketch(docs: DataFrame, terms: Terms, test: np.ndarray, block: int) -> np.n
                 if not len(places):
                     continue
                 found = _passages(places, first, block)
+                passages += len(found.doc)
                 heard = _three(np.add.reduceat(test[term], found.heads, axis=0), found.parts)
                 back = _three(heard, found.within)
                 order = np.argsort(term, kind="stable")
                 heads = np.flatnonzero(np.diff(term[order], prepend=-1))
                 total[term[order][heads]] += np.add.reduceat(back[found.block[order]], heads, axis=0)
-        some = np.flatnonzero(total.any(axis=1))
-        rows = [total[i].astype("<f4").tobytes() for i in some]
+        some = np.append(np.flatnonzero(total.any(axis=1)), size)  # the number of passages comes last
+        rows = [total[i].astype("<f4").tobytes() for i in some[:-1]] + [np.array([passages], "<f4").tobytes()]
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(rows, pa.binary())], ["term", "part"])
 
     def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,10 +228,12 @@ def _sketch(docs: DataFrame, terms: Terms, test: np.ndarray, block: int) -> np.n
 
     parts = docs.mapInArrow(run, "term bigint, part binary")
     sums = parts.repartition(16, "term").mapInArrow(add, "term bigint, part binary")
-    total = np.zeros((len(terms.hashes), width))
-    for term, part in sums.collect():  # one row for each term
-        total[term] = np.frombuffer(part, "<f8")
-    return total
+    found = {term: np.frombuffer(part, "<f8") for term, part in sums.collect()}  # one row for each term
+    passages = float(found.pop(size, np.zeros(1))[0])
+    total = np.zeros((size, width))
+    for term, part in found.items():
+        total[term] = part
+    return total, passages
 
 
 def latent_basis(sketch: np.ndarray, test: np.ndarray) -> np.ndarray:
@@ -249,6 +256,16 @@ def least_words(size: int) -> int:
     return next(n for n in range(int(SIMILAR * size), size + 1) if n / size >= SIMILAR)
 
 
+def _least_cosine(
+    latent: np.ndarray, count: np.ndarray, rarity: np.ndarray, words: float, target: np.ndarray, mean_square: float
+) -> float:
+    """Cosine with ``target`` of an item's lightest ``words`` words, given by term, beside a passage of mean weight."""
+    order = np.argsort(rarity, kind="stable")
+    held = np.clip(words - (np.cumsum(count[order]) - count[order]), 0, count[order])
+    kept = held @ latent[order].astype(np.float64)
+    return float(kept @ target / np.sqrt(max(kept @ kept + mean_square, 1e-12)))
+
+
 def _searcher(docs: DataFrame, items: list[Item], block: int):
     """A function that finds items in a column of texts; ``docs`` have the corpus as ``text``."""
     everything = Terms.of(np.array([w for i in items for w in i.words], np.uint64))
@@ -278,18 +295,26 @@ def _searcher(docs: DataFrame, items: list[Item], block: int):
     order = np.argsort(in_term, kind="stable")
     in_item, in_count = in_item[order], in_count[order]
     edges = np.searchsorted(in_term[order], np.arange(size + 1))
-    rank = min(size, len(items) + OVERSAMPLING)
-    test = np.random.default_rng(11).normal(size=(size, rank))
-    counted = _sketch(docs, terms, (rarity[:, None] * test).astype(np.float32), block)
+    test = np.random.default_rng(11).normal(size=(size, min(size, LATENT + OVERSAMPLING)))
+    counted, passages = _sketch(docs, terms, (rarity[:, None] * test).astype(np.float32), block)
     corpus = rarity[:, None] * counted
+    # The test matrix is of unit variance: this is the mean square of a passage's length.
+    mean_square = max(0.0, np.vdot(test, corpus)) / test.shape[1] / max(passages, 1.0)
     own = known.T @ (known @ test)
     # The items weigh as much as the strongest direction of the corpus.
     own *= max(1.0, np.linalg.norm(corpus) / max(np.linalg.norm(own), 1e-9))
-    basis = latent_basis(corpus + own, test).astype(np.float32)
-    targets = _unit(_unit(known) @ basis).astype(np.float32)
-
-    def candidates(found: _Passages, term: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Passages and items of which they hold enough kept words."""
+    basis = latent_basis(corpus + own, test)[:, :LATENT]
+    targets = _unit(_unit(known) @ basis)
+    latent = (rarity[:, None] * basis).astype(np.float32)
+    bound = np.array([
+        _least_cosine(latent[term], count, rarity[term], n, target, mean_square)
+        for (term, _, count), n, target in zip(meeting, least, targets)
+    ], np.float32)
+    targets = targets.astype(np.float32)
+
+    def candidates(found: _Passages, term: np.ndarray) -> Iterator[tuple[int, int, float, bool]]:
+        """Passages and items to read, with the cosine; those below the item's bound come from the audit."""
+        heard = np.add.reduceat(latent[term], found.heads, axis=0)
         inside = found.within[found.block]
         some = inside < len(found.doc)
         passage, held = np.divmod(np.unique(inside[some] * size + np.repeat(term, 3).reshape(-1, 3)[some]), size)
@@ -306,30 +331,29 @@ def _searcher(docs: DataFrame, items: list[Item], block: int):
             place = np.repeat(passage[some] - base, n) * len(items) + in_item[at]
             rows = int(passage[some.stop - 1]) - base + 1
             words = np.bincount(place, in_count[at], rows * len(items)).reshape(rows, len(items))
-            where, number = np.nonzero(words >= least)
-            yield from zip((where + base).tolist(), number.tolist())
+            cosine = _unit(_three(heard, found.parts[base : base + rows])) @ targets.T
+            near, able = cosine >= bound, words >= least
+            for audit, chosen in ((False, near & able), (True, able & ~near)):
+                where, number = np.nonzero(chosen)
+                for w, n in zip(where.tolist(), number.tolist()):
+                    yield w + base, n, float(cosine[w, n]), not audit
             low, done = high, int(load[high - 1])
 
-    def cosine(read: np.ndarray, number: int) -> float:
-        term = terms.find(read)[1]
-        vector = (rarity[term, None] * basis[term]).sum(axis=0)
-        return float(_unit(vector[None, :])[0] @ targets[number])
-
     def held_by(column: pa.Array) -> dict[tuple[int, int], tuple]:
-        """Shares and cosine of the best passage for each text and item that it holds."""
+        """Shares, cosine and whether retrieved, of the best passage for each text and item that it holds."""
         words, first = words_of(column)
         places, term = terms.find(words)
         best: dict[tuple[int, int], tuple] = {}
         if not len(places):
             return best
         found = _passages(places, first, block)
-        for where, number in candidates(found, term):
+        for where, number, cosine, retrieved in candidates(found, term):
             d, item = int(found.doc[where]), items[number]
             start = int(first[d] + found.at[where] * block)
             passage = words[start : min(start + 3 * block, int(first[d + 1]))]
             held = shares_in(item, passage.tolist())
             if held:
-                shares = (*held, cosine(passage, number))
+                shares = (*held, cosine, retrieved)
                 best[d, number] = max(best.get((d, number), shares), shares)
         return best
 
@@ -350,7 +374,7 @@ def _searchers(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item
             continue
         block = half_longest(len(made.words))
         held.setdefault(block, []).append(made)
-        if len(held[block]) == BLOCK_ITEMS:
+        if sum(len(i.words) for i in held[block]) >= BLOCK_WORDS:
             yield _searcher(corpus, held[block], block), held.pop(block)
     for block, items in sorted(held.items()):
         yield _searcher(corpus, items, block), items
@@ -359,15 +383,16 @@ def _searchers(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
-    """``key, item_id, lcs_share, answer_share, cosine`` for each row of ``docs`` and item it holds.
+    """``key, item_id, lcs_share, answer_share, cosine, retrieved`` for each row of ``docs`` and item it holds.
 
-    Shares and cosine are those of the document's best passage. Null and blank texts hold nothing;
+    Shares and cosine are those of the document's best passage; ``retrieved`` says whether the cosine made it
+    a candidate, or the audit by words did. Null and blank texts hold nothing;
     null or blank items, and those of fewer than ``FEWEST`` words, are held by nothing. A repeated row gives its results again; items that
     repeat give one result each. An empty table on either side gives an empty result.
     """
-    names = [key, "item_id", "lcs_share", "answer_share", "cosine"]
+    names = [key, "item_id", "lcs_share", "answer_share", "cosine", "retrieved"]
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, item_id bigint, lcs_share double, answer_share double, cosine double"
+    schema = f"`{key}` {kind}, item_id bigint, lcs_share double, answer_share double, cosine double, retrieved boolean"
     rows = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("text"))
     result = docs.sparkSession.createDataFrame([], schema)
     for held_by, items in _searchers(docs, benchmark, text, item, item_text):

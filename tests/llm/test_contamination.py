@@ -1,6 +1,7 @@
 """Leaks against brute force over all documents and items."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from smeltery.llm import contamination as c
 from smeltery.llm.queries import QUERIES
@@ -171,3 +172,28 @@ def test_best_stretch_equals_all_stretches():
             if rng.random() < 0.85:
                 read[at] = word
         assert (c.shares_in(item, read) is not None) == holds(item, read)
+
+
+def test_cosine_retrieves_and_words_audit(spark, small, monkeypatch):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    bench = spark.read.parquet(f"{small}/benchmark.parquet")
+    found = {(r.doc_id, r.item_id): r for r in c.find_leaks(docs, bench).collect()}
+    assert len(found) > 5 and all(r.retrieved for r in found.values())
+    # With a bound that nothing reaches, the audit still reads whatever counts, and says so.
+    monkeypatch.setattr(c, "_least_cosine", lambda *_: 2.0)
+    audited = {(r.doc_id, r.item_id): r for r in c.find_leaks(docs, bench).collect()}
+    assert audited.keys() == found.keys() and not any(r.retrieved for r in audited.values())
+    # Blocks of one item each give the same pairs.
+    monkeypatch.undo()
+    monkeypatch.setattr(c, "BLOCK_WORDS", 1)
+    few = bench.where(F.col("item_id").isin(sorted({i for _, i in found})[:4]))
+    some = {(r.doc_id, r.item_id) for r in c.find_leaks(docs, few).collect()}
+    assert some == {k for k in found if k[1] in {r.item_id for r in few.collect()}}
+
+
+def test_least_cosine_takes_the_lightest_words():
+    latent, count = np.array([[3.0, 0.0], [1.0, 0.0], [0.0, 2.0]]), np.array([1, 2, 1])
+    rarity = np.array([3.0, 1.0, 2.0])
+    # Both of the lightest term, then the next lightest one.
+    got = c._least_cosine(latent, count, rarity, 3, np.array([1.0, 0.0]), 1.0)
+    assert abs(got - 2 / np.sqrt(4 + 4 + 1)) < 1e-12
