@@ -4,9 +4,10 @@ Bytes are embedded, convolved by filters of several widths, pooled by their maxi
 fixed length, and weighed by a softmax. A text of any length is cut into windows that together cover
 all of it; its language has the highest mean log probability over them, weighted by their bytes.
 
-The network is trained on the driver with Adam on windows of a bounded sample: about
-``docs_per_language`` documents of each language, chosen by a hash of their key, and at most
-``windows_per_doc`` windows of each. Neither key, language nor source is an input of a prediction.
+The network is trained on the driver with Adam on windows of a bounded sample: at most
+``docs_per_language`` documents of each language, those of the smallest hashes of key and text, and at
+most ``windows_per_doc`` windows of each. A document that repeats, or a key with many texts, counts by its
+different texts. One count for each language comes to the driver. Neither key, language nor source is an input of a prediction.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +29,7 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8  # of each width
 DEPTH = 8  # of the byte embedding
+SLACK = 4
 #: Windows in one matrix product; keeps its operands in a processor's cache.
 BLOCK = 64
 
@@ -161,17 +163,29 @@ def train(
 ) -> Network | None:
     """A network for the languages of ``docs``; None where no text with letters has one."""
     name = F.col(language).cast("string")
-    labelled = docs.where(F.col(language).isNotNull() & has_letters(F.col(text)))
+    value = F.col(text).cast("string")
+    labelled = docs.where(F.col(language).isNotNull() & has_letters(value))
     counts = {r[0]: r[1] for r in labelled.groupBy(name).count().collect()}  # one row a language
     if not counts:
         return None
-    # Of n documents, each stays with probability docs_per_language / n.
+    # A document that repeats has one hash and counts once; of n rows, SLACK times the sample pass the
+    # first look, and the smallest hashes of them stay, so that the bound holds however often one repeats.
+    sample_hash = F.xxhash64(F.lit("sample"), F.col(key), value)
     part = F.lit(1.0)
     for lang, n in counts.items():
-        part = F.when(name == lang, min(1.0, docs_per_language / n)).otherwise(part)
-    chance = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.where(chance < part).select(
-        name.alias("lang"), F.xxhash64(F.lit("crop"), F.col(key)).alias("seed"), F.col(text).alias("text")
+        part = F.when(name == lang, min(1.0, SLACK * docs_per_language / n)).otherwise(part)
+    chance = F.pmod(sample_hash, F.lit(1 << 30)) / float(1 << 30)
+    smallest = Window.partitionBy("lang").orderBy(F.pmod("picked", F.lit(1 << 30)), "picked")
+    sample = (
+        labelled.where(chance < part)
+        .select(
+            name.alias("lang"), sample_hash.alias("picked"), F.xxhash64(F.lit("crop"), F.col(key), value).alias("seed"),
+            value.alias("text"),
+        )
+        .dropDuplicates(["lang", "picked"])
+        .withColumn("place", F.row_number().over(smallest))
+        .where(F.col("place") <= docs_per_language)
+        .select("lang", "seed", "text")
     )
 
     def crops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -61,3 +61,19 @@ def test_odd_rows(spark):
     assert sorted((r.lang_pred, r.score > 0) for r in got) == [("und", False)] * 3 + [("x", True)] * 2
     assert [r.lang_pred for r in langid.predict(docs, None).collect()] == ["und"] * 5
     assert langid.train(docs.limit(0)) is None and langid.predict(docs.limit(0), None).count() == 0
+
+
+def test_sample_is_bounded_and_sees_every_text(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda windows, labels, languages: seen.append((windows, labels)))
+    words = [f"word{i} and more of it" for i in range(400)]
+    # Half of the rows share a null key, a quarter are one row again and again.
+    rows = [(None, w, "x") for w in words[:200]] + [(7, "the same row", "x")] * 100
+    rows += [(10 + i, w, "x") for i, w in enumerate(words[200:300])] + [(900, "autre", "y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    langid.train(docs, docs_per_language=30)
+    langid.train(docs.repartition(13), docs_per_language=30)
+    assert (seen[0][1] == 0).sum() == 30 and (seen[0][1] == 1).sum() == 1
+    assert all(np.array_equal(a, b) for a, b in zip(*seen))
+    langid.train(docs, docs_per_language=1000)
+    assert (seen[2][1] == 0).sum() == 301
