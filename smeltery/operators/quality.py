@@ -22,6 +22,9 @@ FAIL_WORDS = ("fail", "failed", "failure", "false", "invalid", "error")
 # Keys of a nested check that may hold its result, best first.
 RESULT_KEYS = ("passed", "pass", "success", "successful", "ok", "valid", "result", "status")
 
+# The JSON parser reads no deeper nesting.
+DEEPEST = 1000
+
 
 class GateError(RuntimeError):
     """A hard quality check did not pass."""
@@ -236,39 +239,58 @@ def _is_object(value: Column) -> Column:
     return F.ltrim(value, F.lit(" \t\r\n")).startswith("{")
 
 
-def _variant_verdict(item: Column, depth: int) -> Column:
-    """Of a parsed value: a boolean, a word, or an object at most ``depth`` levels deep."""
-    kind = F.schema_of_variant(item)
+def _kind(item: Column) -> Column:
+    """Type of a parsed value, by one look at its top: ``schema_of_variant`` descends to the last level."""
+    fields, elements = (F.try_variant_get(item, "$", t) for t in ("map<string,variant>", "array<variant>"))
+    return (
+        F.when(fields.isNotNull(), "OBJECT").when(elements.isNotNull(), "ARRAY").otherwise(F.schema_of_variant(item))
+    )
+
+
+def _unfolded(item: Column) -> Column:
+    """A parsed value one level down: what settles it, in order, as (verdict, what is still to unfold)."""
+
+    def entry(verdict: Column, rest: Column) -> Column:
+        return F.struct(verdict.cast("boolean").alias("verdict"), rest.cast("variant").alias("rest"))
+
+    nothing, kind = F.lit(None), _kind(item)
     plain = F.when(kind == "BOOLEAN", F.try_variant_get(item, "$", "boolean")).when(
         kind == "STRING", _word_verdict(F.try_variant_get(item, "$", "string"))
     )
-    if depth == 0:
-        return plain
     fields = F.try_variant_get(item, "$", "map<string,variant>")
-    results = F.array(*[fields.getItem(key) for key in RESULT_KEYS])
-    # The first known key that settles the check.
-    settled = F.filter(F.transform(results, lambda v: _variant_verdict(v, depth - 1)), F.isnotnull)
-    booleans = F.filter(F.map_values(fields), lambda v: F.schema_of_variant(v) == "BOOLEAN")
+    results = F.filter(F.array(*[fields.getItem(key) for key in RESULT_KEYS]), F.isnotnull)
+    booleans = F.filter(F.map_values(fields), lambda v: _kind(v) == "BOOLEAN")
     only = F.when(F.size(booleans) == 1, F.try_variant_get(F.get(booleans, F.lit(0)), "$", "boolean"))
-    return F.when(kind.startswith("OBJECT"), F.coalesce(F.get(settled, F.lit(0)), only)).otherwise(plain)
+    inside = F.concat(F.transform(results, lambda v: entry(nothing, v)), F.array(entry(only, nothing)))
+    return F.when(kind == "OBJECT", inside).otherwise(F.array(entry(plain, nothing)))
 
 
-def check_verdict(value: Column, depth: int) -> Column:
+def check_verdict(value: Column) -> Column:
     """True, false or null (unknown) for a reported check.
 
     ``value`` is text: a word, or a JSON object whose result sits under one of the known keys
-    (possibly nested) or, failing that, is its only boolean. Objects are parsed once; a string that
-    looks like JSON is a word. ``depth`` must be at least the nesting of the values (``_nesting``).
+    (possibly nested) or, failing that, is its only boolean. Objects are parsed once and unfolded level by
+    level, each value as often as it is deep: the plan does not depend on the data. A string that looks
+    like JSON is a word; what is nested deeper than ``DEEPEST`` can not be parsed and is unknown.
     """
-    parsed = F.when(_is_object(value), F.try_parse_json(value))
-    return F.when(_is_object(value), _variant_verdict(parsed, depth)).otherwise(_word_verdict(value))
+    parsed = F.try_parse_json(value)
+    start = F.array(F.struct(F.lit(None).cast("boolean").alias("verdict"), parsed.alias("rest")))
+
+    def unfold(entries: Column, _) -> Column:
+        opened = F.transform(entries, lambda e: F.when(e["rest"].isNull(), F.array(e)).otherwise(_unfolded(e["rest"])))
+        # What comes after a settled entry never counts, and what has nothing to say goes.
+        said = F.filter(F.flatten(opened), lambda e: e["verdict"].isNotNull() | e["rest"].isNotNull())
+        return F.when(F.get(said, F.lit(0))["verdict"].isNotNull(), F.slice(said, 1, 1)).otherwise(said)
+
+    levels = F.sequence(F.lit(0), F.least(_nesting(value), F.lit(DEEPEST)))
+    found = F.aggregate(levels, start, unfold)
+    first = F.get(F.filter(found, lambda e: e["verdict"].isNotNull()), F.lit(0))["verdict"]
+    return F.when(_is_object(value), first).otherwise(_word_verdict(value))
 
 
 def with_verdict(reports: DataFrame, value: str = "value", name: str = "verdict") -> DataFrame:
     """``reports`` with the verdict of each value, however deep the deepest of them is."""
-    text = F.col(value)
-    deepest = reports.where(text.contains("{")).agg(F.max(_nesting(text))).first()[0]
-    return reports.withColumn(name, check_verdict(text, deepest or 0))
+    return reports.withColumn(name, check_verdict(F.col(value)))
 
 
 def evaluate_reports(reports: DataFrame, stages: Sequence[str]) -> DataFrame:
@@ -276,14 +298,14 @@ def evaluate_reports(reports: DataFrame, stages: Sequence[str]) -> DataFrame:
 
     ``reports`` has columns stage, check, value; a stage reported without checks
     has one row with a null check. A stage passes only with at least one check
-    and neither a failed nor an unknown one.
+    and neither a failed nor an unknown one. Equal values of a stage are counted before they are judged.
     """
-    judged = with_verdict(reports).select("stage", "check", "verdict")
-    is_check = F.col("check").isNotNull()
-    seen = judged.groupBy("stage").agg(
-        F.count_if(is_check).alias("checks"),
-        F.count_if(is_check & (F.col("verdict") == F.lit(False))).alias("failed"),
-        F.count_if(is_check & F.col("verdict").isNull()).alias("unknown"),
+    told = reports.groupBy("stage", "value").agg(F.count("check").alias("n"))
+    verdict = F.col("verdict")
+    seen = with_verdict(told).groupBy("stage").agg(
+        F.sum("n").alias("checks"),
+        F.sum(F.when(verdict == F.lit(False), F.col("n")).otherwise(0)).alias("failed"),
+        F.sum(F.when(verdict.isNull(), F.col("n")).otherwise(0)).alias("unknown"),
     )
     expected = reports.sparkSession.createDataFrame([(s,) for s in stages], "stage string")
     outcome = (

@@ -168,6 +168,32 @@ def test_check_verdict(spark):
     assert [r for r in found if r["expected"] != r["got"]] == []
 
 
+def test_verdicts_of_any_depth_by_one_plan(spark):
+    def nested(depth, inner):
+        return '{"result": ' * depth + inner + "}" * depth
+
+    def length(df):
+        return len(df._jdf.queryExecution().optimizedPlan().toString())
+
+    rows = [
+        (1, nested(900, '{"ok": "failed"}'), False), (2, nested(40, '{"a": 1, "reached": true}'), True),
+        (3, nested(2000, "true"), None), (4, '{"note": "' + "{" * 5000 + '", "passed": "yes", "status": "ok"}', True),
+        (5, '{"passed": {"a": 1}, "ok": {"result": {"status": "invalid"}}, "valid": true}', False),
+        (6, '{"result": {"a": true, "b": true}, "reached": true}', True),
+    ]
+    deep = quality.with_verdict(spark.createDataFrame(rows, "id int, value string, expected boolean"))
+    assert [r for r in deep.collect() if r["expected"] != r["verdict"]] == []
+    flat = quality.with_verdict(spark.createDataFrame([(1, "ok", True)] * 6, "id int, value string, expected boolean"))
+    assert abs(length(deep) - length(flat)) < 100
+
+
+def test_repeated_values_count_each_time(spark):
+    rows = [("a", str(i), v) for i, v in enumerate(["ok"] * 7 + ["fail"] * 5 + ["hm"] * 3)] + [("a", None, "fail")]
+    reports = spark.createDataFrame(rows, "stage string, check string, value string")
+    found = quality.evaluate_reports(reports, ["a"]).first()
+    assert (found["checks"], found["failed"], found["unknown"], found["outcome"]) == (15, 5, 3, "failed")
+
+
 def test_stages(spark):
     rows = [("a", "x", "true"), ("b", "x", "true"), ("b", "y", "fail"), ("c", None, None),
             ("d", "x", "hm")]
