@@ -95,14 +95,16 @@ def record_hash(spark, folder):
     """select o_orderkey, 'shop' as _source_system, 'orders' as _source_dataset,
          '2024_25' as _source_release, 'run-1' as _ingestion_run_id,
          'orders.parquet' as _source_file, true as stamped,
-         sha256(cast(o_orderkey as varchar)) as _record_hash
+         sha256(concat_ws('||', coalesce(o_orderkey::varchar, ''), coalesce(o_custkey::varchar, ''),
+           coalesce(o_orderstatus, ''), coalesce(o_totalprice::varchar, ''), coalesce(o_orderdate::varchar, ''),
+           coalesce(o_orderpriority, ''))) as _record_hash
        from orders""",
 )
 def lineage_columns(spark, folder):
     source = shaping.SourceInfo("shop", "orders", "2024_25", "run-1")
-    orders = table(spark, folder, "orders").select("o_orderkey")
+    orders = table(spark, folder, "orders")
     traced = shaping.with_lineage(orders, source, source_file=file_of_row())
-    return traced.select(
+    return traced.drop(*orders.columns[1:]).select(
         "*", F.col("_ingested_at_utc").isNotNull().alias("stamped")
     ).withColumns(
         {"_source_file": F.element_at(F.split("_source_file", "/"), -1)}

@@ -239,6 +239,11 @@ def _is_object(value: Column) -> Column:
     return F.ltrim(value, F.lit(" \t\r\n")).startswith("{")
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _kind(item: Column) -> Column:
     """Type of a parsed value, by one look at its top: ``schema_of_variant`` descends to the last level."""
     fields, elements = (F.try_variant_get(item, "$", t) for t in ("map<string,variant>", "array<variant>"))
@@ -253,16 +258,21 @@ def _unfolded(item: Column) -> Column:
     def entry(verdict: Column, rest: Column) -> Column:
         return F.struct(verdict.cast("boolean").alias("verdict"), rest.cast("variant").alias("rest"))
 
-    nothing, kind = F.lit(None), _kind(item)
-    plain = F.when(kind == "BOOLEAN", F.try_variant_get(item, "$", "boolean")).when(
-        kind == "STRING", _word_verdict(F.try_variant_get(item, "$", "string"))
-    )
-    fields = F.try_variant_get(item, "$", "map<string,variant>")
-    results = F.filter(F.array(*[fields.getItem(key) for key in RESULT_KEYS]), F.isnotnull)
-    booleans = F.filter(F.map_values(fields), lambda v: _kind(v) == "BOOLEAN")
-    only = F.when(F.size(booleans) == 1, F.try_variant_get(F.get(booleans, F.lit(0)), "$", "boolean"))
-    inside = F.concat(F.transform(results, lambda v: entry(nothing, v)), F.array(entry(only, nothing)))
-    return F.when(kind == "OBJECT", inside).otherwise(F.array(entry(plain, nothing)))
+    def told(kind: Column) -> Column:
+        plain = F.when(kind == "BOOLEAN", F.try_variant_get(item, "$", "boolean")).when(
+            kind == "STRING", _word_verdict(F.try_variant_get(item, "$", "string"))
+        )
+        return F.array(entry(plain, nothing))
+
+    def inside(fields: Column) -> Column:
+        results = F.filter(F.array(*[fields.getItem(key) for key in RESULT_KEYS]), F.isnotnull)
+        booleans = F.filter(F.map_values(fields), lambda v: _kind(v) == "BOOLEAN")
+        only = _let(booleans, lambda b: F.when(F.size(b) == 1, F.try_variant_get(F.get(b, F.lit(0)), "$", "boolean")))
+        unfolded = F.concat(F.transform(results, lambda v: entry(nothing, v)), F.array(entry(only, nothing)))
+        return F.when(fields.isNotNull(), unfolded).otherwise(_let(_kind(item), told))
+
+    nothing = F.lit(None)
+    return _let(F.try_variant_get(item, "$", "map<string,variant>"), inside)
 
 
 def check_verdict(value: Column) -> Column:
@@ -280,7 +290,7 @@ def check_verdict(value: Column) -> Column:
         opened = F.transform(entries, lambda e: F.when(e["rest"].isNull(), F.array(e)).otherwise(_unfolded(e["rest"])))
         # What comes after a settled entry never counts, and what has nothing to say goes.
         said = F.filter(F.flatten(opened), lambda e: e["verdict"].isNotNull() | e["rest"].isNotNull())
-        return F.when(F.get(said, F.lit(0))["verdict"].isNotNull(), F.slice(said, 1, 1)).otherwise(said)
+        return _let(said, lambda s: F.when(F.get(s, F.lit(0))["verdict"].isNotNull(), F.slice(s, 1, 1)).otherwise(s))
 
     levels = F.sequence(F.lit(0), F.least(_nesting(value), F.lit(DEEPEST)))
     found = F.aggregate(levels, start, unfold)

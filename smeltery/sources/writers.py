@@ -68,15 +68,32 @@ def _files(spark: SparkSession, path: str):
 
 
 def publish(staged: Iterable[Staged]) -> None:
-    """Put staged releases in their places; the old ones go once the new ones are there."""
-    for one in staged:
-        files, make = _files(one.frame.sparkSession, one.target)
-        target, old = make(one.target), make(f"{one.path}-old")
-        if files.exists(target) and not files.rename(target, old):
-            raise ReconciliationError(f"cannot move the old release away: {one.target}")
-        if not files.rename(make(one.path), target):
-            files.rename(old, target)
-            raise ReconciliationError(f"cannot publish {one.target}")
+    """Put staged releases in their places, all of them or none.
+
+    A move that fails takes back every move before it, so that the tables of a layer stay of one
+    delivery; the old releases go once all new ones are there.
+    """
+    staged, moved, olds = list(staged), [], []
+
+    def move(files, source, target) -> None:
+        if not files.rename(source, target):
+            raise ReconciliationError(f"cannot move {source} to {target}")
+        moved.append((files, source, target))
+
+    try:
+        for one in staged:
+            files, make = _files(one.frame.sparkSession, one.target)
+            target, old = make(one.target), make(f"{one.path}-old")
+            if files.exists(target):
+                move(files, target, old)
+                olds.append((files, old))
+            move(files, make(one.path), target)
+    except Exception:
+        for files, source, target in reversed(moved):
+            files.rename(target, source)
+        discard(staged)
+        raise
+    for files, old in olds:
         files.delete(old, True)
 
 

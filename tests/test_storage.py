@@ -1,6 +1,7 @@
 import hashlib
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +58,22 @@ def test_failed_gates_leave_the_published_release(spark, small, tmp_path):
     assert not os.listdir(f"{lake}/gold/mart/_staged")
 
 
+def test_tables_of_a_layer_are_published_together(spark, tmp_path):
+    paths = [str(tmp_path / name) for name in ("mart", "features", "summary")]
+    for path in paths[:2]:
+        writers.write_release(frame(spark, 3), path, "r")
+    staged = [writers.stage_release(frame(spark, 5), path, "r") for path in paths]
+    shutil.rmtree(staged[2].path)
+    with pytest.raises(Exception):
+        writers.publish(staged)
+    assert [writers.release_rows(spark, path, "r").count() for path in paths[:2]] == [3, 3]
+    assert not os.path.exists(writers.release_path(paths[2], "r"))
+    assert [os.listdir(f"{path}/_staged") for path in paths] == [[], [], []]
+    writers.publish(writers.stage_release(frame(spark, 6), path, "r") for path in paths)
+    assert [writers.release_rows(spark, path, "r").count() for path in paths] == [6, 6, 6]
+    assert [os.listdir(f"{path}/_staged") for path in paths] == [[], [], []]
+
+
 def test_scratch_needs_a_shared_folder_off_one_machine():
     assert folders.shared_base("s3://x/y/", "yarn") == "s3://x/y"
     assert folders.shared_base(None, "local[8]") == folders.shared_base(None, "local")
