@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from smeltery.operators.forest import ForestModel
 from smeltery.operators.quantiles import percentiles
 from smeltery.sources.folders import written
 
@@ -355,6 +356,8 @@ def score_by_table(
 def forest_table(spark: SparkSession, stage_path: str, features: Sequence[str]) -> DataFrame:
     """The trees of a saved forest or boosting stage as the same table of nodes."""
     saved = spark.read.parquet(f"{stage_path}/data")
+    if "nodeData" not in saved.columns:
+        return ForestModel.load(stage_path).table(features)
     names = F.array(*[F.lit(f) for f in features])
     split = F.col("nodeData.leftChild") >= 0
     return saved.select(

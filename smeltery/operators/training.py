@@ -10,12 +10,13 @@ from functools import reduce
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.pipeline import Pipeline
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.functions.measures import clip_nonnegative
 from smeltery.operators.dedup import keep_last
+from smeltery.operators.forest import Forest
 from smeltery.operators.quantiles import percentiles
 from smeltery.operators.shaping import coerce_numbers, replace_columns
 
@@ -168,7 +169,7 @@ def imputer(medians: Mapping[str, float | None]) -> SQLTransformer:
 def regressors(setup: TrainingSetup, medians: Mapping[str, float | None]) -> dict[str, Pipeline]:
     """The tree models, each behind imputer and feature assembly, trained on log1p."""
     common = {"featuresCol": "__features", "labelCol": "__label", "seed": setup.seed}
-    forest = RandomForestRegressor(
+    forest = Forest(
         featureSubsetStrategy=square_root_subset(len(setup.features)), **common, **setup.forest
     )
     boosting = GBTRegressor(**common, **setup.boosting)
