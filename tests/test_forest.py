@@ -1,11 +1,12 @@
-"""Forests whose trees are grown by tasks."""
+"""Forests whose trees are grown by tasks, and boosting on cells, against what rows say."""
 
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-from smeltery.operators import forest
+from smeltery.operators import forest, training
 from test_boosting import FEATURES, frame, made
 
 
@@ -89,3 +90,24 @@ def test_repeated_rows_are_drawn_as_often(spark):
     (value,) = {r.prediction for r in model.transform(few).collect()}
     assert abs(value - 1.75) < 0.05 and model.table(FEATURES).count() == 30
     assert grown(few.withColumn("y", F.lit(2.5)), numTrees=2).transform(few).select("prediction").distinct().collect() == [(2.5,)]
+
+
+def test_boosting_passes_over_cells(spark, monkeypatch):
+    """Ten times the rows make no more cells, and the trees of the cells are those of the rows."""
+    rows, label = made(400)
+    data = frame(spark, np.round(rows), np.exp(label / 4)).withColumnRenamed("y", "target")
+    seen = []
+    inner = GBTRegressor._fit
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, df: seen.append(df.count()) or inner(self, df))
+    setup = training.TrainingSetup("id", FEATURES, "target", boosting={"stepSize": 0.3, "maxIter": 4, "maxDepth": 3})
+    pipeline = training.regressors(setup, {f: 0.0 for f in FEATURES})["gradient_boosting"]
+    tenfold = data.crossJoin(spark.range(10).select(F.col("id").alias("copy")))
+    one, ten = (training.fit(pipeline, df, setup) for df in (data, tenfold))
+    assert seen[0] == seen[1] < 400
+    scored = training.predict(one, data).withColumnRenamed("prediction", "p").join(training.predict(ten, data), "id")
+    assert scored.agg(F.max(F.abs(F.col("p") - F.col("prediction")))).first()[0] < 1e-9
+    # The same codes, row by row, without weights.
+    coded = one.stages[2].transform(one.stages[1].transform(one.stages[0].transform(data))).withColumn("__label", F.log1p("target"))
+    plain = inner(pipeline.getStages()[-1].copy(), coded).transform(coded.select("id", "__features"))
+    both = plain.join(training.predict(one, data, "p"), "id")
+    assert both.agg(F.max(F.abs(F.expm1("prediction") - F.col("p")))).first()[0] < 1e-9
