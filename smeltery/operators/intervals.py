@@ -7,7 +7,10 @@ every level above. A pair meets on the level of the longer of the two, in the bi
 starts. The first width is the median length of a sample.
 
 One interval that spans everything sits on a level of its own, whose few intervals are broadcast; it
-does not widen the bins of the others, and the other side is not shuffled for it.
+does not widen the bins of the others, and the other side is not shuffled for it by key.
+
+Pairs grow with the product of both sides, so tasks are as many as the pairs of all bins ask for, and a bin of many
+pairs is cut into blocks that meet each other.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smeltery.operators.positions import position
+from smeltery.sources.folders import written
 
 STEP = 16
 #: Lengths looked at to choose the first width.
@@ -27,6 +31,9 @@ SAMPLE = 10_000
 SAMPLE_SEED = 23
 #: Intervals of one level, of one side, up to which they are broadcast.
 BROADCAST_ROWS = 10_000
+#: Pairs of equal bins that one task compares, about; levels of fewer possible pairs are not dealt anew.
+PAIRS_PER_TASK = 4_000_000
+MOST_TASKS = 8_192
 #: Levels above this one are one: its bins are longer than any range of numbers in use.
 MOST_LEVELS = 40
 
@@ -122,11 +129,48 @@ def _joined(
         )
 
     a, b = binned(a, "left"), binned(b, "right")
+    places = ["bin", *[f"key{i}" for i, _ in enumerate(on)]]
+    if sizes[0] * sizes[1] > PAIRS_PER_TASK:
+        a, b, places = _dealt(a, b, places, sizes, broadcast_rows)
     if min(sizes) <= broadcast_rows:
         a, b = (F.broadcast(a), b) if sizes[0] < sizes[1] else (a, F.broadcast(b))
-    same = F.col("left_bin") == F.col("right_bin")
-    for i, _ in enumerate(on):
-        same = same & (F.col(f"left_key{i}") == F.col(f"right_key{i}"))
+    same = F.lit(True)
+    for place in places:
+        same = same & (F.col(f"left_{place}") == F.col(f"right_{place}"))
     meet = (F.col("left_start") <= F.col("right_end")) & (F.col("right_start") <= F.col("left_end"))
     first = _bin(F.greatest("left_from", "right_from"), wide) == F.col("left_bin")
     return a.join(b, same & meet & first).select("left", "right")
+
+
+def _dealt(
+    a: DataFrame, b: DataFrame, places: list[str], sizes: tuple[int, int], broadcast_rows: int
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides dealt by how many pairs a bin holds, not by how few rows.
+
+    The rows of a bin are cut into blocks of about the root of ``PAIRS_PER_TASK`` on either side, and every
+    block of one side meets every block of the other. A broadcast side is whole in every task, so the rows of the other
+    are only spread.
+    """
+    counts = a.groupBy(*[F.col(f"left_{p}").alias(p) for p in places]).agg(F.count("*").alias("lefts")).join(
+        b.groupBy(*[F.col(f"right_{p}").alias(p) for p in places]).agg(F.count("*").alias("rights")), places
+    )
+    counts = written(counts, "bins")
+    pairs = counts.agg(F.sum(F.col("lefts").cast("double") * F.col("rights"))).first()[0] or 0.0
+    tasks = max(1, min(MOST_TASKS, math.ceil(pairs / PAIRS_PER_TASK)))
+    if min(sizes) <= broadcast_rows:
+        if tasks > 1:
+            a, b = (a, b.repartition(tasks)) if sizes[0] < sizes[1] else (a.repartition(tasks), b)
+        return a, b, places
+    side = math.sqrt(PAIRS_PER_TASK)
+    blocks = counts.select(*places, *[F.ceil(F.col(n) / F.lit(side)).cast("int").alias(n) for n in ("lefts", "rights")])
+    blocks = blocks.where("lefts > 1 or rights > 1")
+
+    def cut(rows: DataFrame, name: str, own: str, other: str) -> DataFrame:
+        known = blocks.select(*[F.col(p).alias(f"{name}_{p}") for p in places], "lefts", "rights")
+        drawn = rows.withColumn("draw", F.rand(SAMPLE_SEED)).join(known, [f"{name}_{p}" for p in places], "left")
+        number = F.floor(F.col("draw") * F.coalesce(F.col(own), F.lit(1))).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1))
+        named = drawn.select(*rows.columns, number.alias(f"{name}_{own}"), every.alias(f"{name}_{other}"))
+        return named.repartition(tasks, *[f"{name}_{p}" for p in [*places, "lefts", "rights"]])
+
+    return cut(a, "left", "lefts", "rights"), cut(b, "right", "rights", "lefts"), [*places, "lefts", "rights"]

@@ -5,6 +5,7 @@ import random
 
 import plans
 import pytest
+from pyspark.sql import functions as F
 
 from smeltery.operators import intervals
 
@@ -70,6 +71,23 @@ def test_integers_and_dates(spark):
     assert ids(intervals.overlaps(b, b, BOUNDS, BOUNDS)) == plain(rows, rows)
 
 
+@pytest.mark.parametrize("broadcast_rows", [10_000, 0])
+@pytest.mark.parametrize("keyed", [False, True])
+def test_tasks_follow_the_pairs(spark, monkeypatch, keyed, broadcast_rows):
+    """One bin of many pairs and copies of one row: every pair once, and no task has more than its share."""
+    monkeypatch.setattr(intervals, "PAIRS_PER_TASK", 2_000)
+    left = made(3, 200, [0, 1, 40], span=50.0) + [(500 + i, 1, 7.0, 7.0) for i in range(200)]
+    right = made(4, 200, [0, 2, 15], span=50.0, whole=[(-1e9, 1e9)]) + [(500 + i, 1, 6.5, 7.5) for i in range(150)]
+    found = intervals.overlaps(
+        frame(spark, left).coalesce(1), frame(spark, right).coalesce(1), BOUNDS, BOUNDS, ["k"] if keyed else [], broadcast_rows=broadcast_rows
+    )
+    want = plain(left, right, keyed)
+    assert ids(found) == want and len(want) > 30_000
+    most = found.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+    assert most[0] < 8_000 and most[1] > 15
+    assert not plans.has_pair_loop(found)
+
+
 def test_one_long_interval_does_not_widen_the_bins_of_others(spark):
     left = [(i, 1, float(i), float(i)) for i in range(2_000)]
     right = [(i, 1, float(i), i + 0.5) for i in range(2_000)] + [(5_000, 1, -1e9, 1e9)]
