@@ -35,6 +35,8 @@ from smeltery.sources.folders import written
 CELLS_PER_GROUP = 65_536
 #: Rows of one cell and label that a task draws weights for, and cells that one group scores.
 ROWS_PER_TASK = 10_000
+#: Most tasks that draw weights: Spark samples 300 rows for each.
+MOST_TASKS = 1_024
 CELLS_PER_CHUNK = 25_000
 #: Groups of trees that are scored apart.
 TREE_GROUPS = 16
@@ -224,7 +226,7 @@ class Forest(RandomForestRegressor):
                     columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
                     yield pa.RecordBatch.from_arrays(columns, ["tree", "node", "code", "weight", "total"])
 
-        parts = max(1, math.ceil(counted.count() / ROWS_PER_TASK))
+        parts = max(1, min(MOST_TASKS, math.ceil(counted.count() / ROWS_PER_TASK)))
         dealt = counted.repartitionByRange(parts, "code", "label").sortWithinPartitions("code", "label")
         return written(dealt.withColumn("key", F.xxhash64("code", "label")).mapInArrow(run, _CELLS), "bagged")
 

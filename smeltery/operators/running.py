@@ -21,7 +21,9 @@ from smeltery.sources.folders import written
 
 ROWS_PER_RANGE = 1_000_000
 #: Most ranges. Beyond ROWS_PER_RANGE times this many rows ranges grow; a task sorts and spills them.
-MOST_RANGES = 32_768
+#: Spark places the bounds by SAMPLED keys a range, which come to the driver: about 100 bytes each.
+MOST_RANGES = 1_024
+SAMPLED = 300
 #: The farthest row that a frame may reach; bounds the guests: 2 * REACH rows a range.
 REACH = 1_000
 
@@ -40,6 +42,10 @@ def neighbour(column: str, offset: int) -> Frame:
     return Frame(F.first(F.col(f"`{column}`")), offset, offset)
 
 
+def range_count(rows: int, rows_per_range: int) -> int:
+    return max(1, min(MOST_RANGES, math.ceil(rows / rows_per_range)))
+
+
 def with_running(
     df: DataFrame,
     order: Sequence[Column | str],
@@ -62,7 +68,7 @@ def with_running(
     if reach > REACH:
         raise ValueError(f"a frame may reach {REACH} rows, not {reach}")
     spark = df.sparkSession
-    ranges = max(1, min(MOST_RANGES, math.ceil(df.count() / rows_per_range)))
+    ranges = range_count(df.count(), rows_per_range)
     terms = {f"__term{i}": value for i, value in enumerate(totals.values())}
     dealt = df.withColumns(terms).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     numbered = written(dealt.withColumn("__id", F.monotonically_increasing_id()), "ranges")

@@ -57,6 +57,17 @@ def test_equals_the_window_of_one_task(spark, rows_per_range):
     assert got.columns == want.columns and rows_of(got) == rows_of(want)
 
 
+def test_keys_sent_to_the_driver_are_bounded(spark, monkeypatch):
+    """Spark samples keys for each range; ranges grow instead, and give the same."""
+    assert running.range_count(12_000, 5_000) == 3
+    for rows in (36_000_000, 216_000_000, 10**12):
+        assert running.range_count(rows, 5_000) * running.SAMPLED < 400_000
+    monkeypatch.setattr(running, "MOST_RANGES", 3)
+    df = made(spark)
+    got = with_running(df, ORDER, number="n", totals={"total": F.col("v")}, frames=frames(), rows_per_range=2)
+    assert rows_of(got) == rows_of(plain(df))
+
+
 def test_rows_that_agree_in_the_first_column_part(spark):
     df = made(spark, n=2_000)
     got = with_running(df, ORDER, number="n", rows_per_range=100)
